@@ -28,26 +28,59 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Trailing marks that the vocabulary always splits from a letter before them.
+TAIL = b".,;:!?%*&$#"
+
+
+class ChunkIds:
+    """Ids of white-space-separated chunks as little-endian bytes, remembered within a task.
+
+    The vocabulary drops white space and lower-cases, and a letter never joins a mark after it, so
+    a chunk is the ids of its ASCII-lower-cased stem and then of its trailing marks.
+    """
+
+    def __init__(self, tokenizer_path: str, chunks: int = 400_000, stems: int = 800_000):
+        from tokenizers import Tokenizer
+
+        self.encoder = Tokenizer.from_file(tokenizer_path)
+        self.chunks: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
+        self.limits = chunks, stems
+
+    def learn(self, rows: list[list[bytes]]) -> dict[bytes, bytes]:
+        """Make sure that every chunk of ``rows`` is known."""
+        if len(self.chunks) > self.limits[0]:
+            self.chunks.clear()
+        if len(self.stems) > self.limits[1]:
+            self.stems.clear()
+        split = {}
+        for w in set().union(*rows).difference(self.chunks):
+            stem = w.rstrip(TAIL)
+            if stem and b"<|" not in w and stem.decode()[-1].isalpha():
+                split[w] = stem.lower(), w[len(stem) :]
+            else:
+                split[w] = w, b""
+        new = list({part for parts in split.values() for part in parts if part and part not in self.stems})
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            for w, e in zip(some, self.encoder.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
+                self.stems[w] = np.array(e.ids, "<u4").tobytes()
+        for w, (stem, tail) in split.items():
+            self.chunks[w] = self.stems[stem] + self.stems[tail] if tail else self.stems[stem]
+        return self.chunks
+
+
 def _tokenize(tokenizer_path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_file(tokenizer_path)
-        known: dict[bytes, bytes] = {}
+        memory = ChunkIds(tokenizer_path)
         end = np.uint32(end_id).tobytes()
         for batch in batches:
             texts = raw_texts(batch.column("text"))
             rows = batch.column("doc_id").to_pylist()
             for lo in range(0, len(texts), 256):
                 words = [words_of(t) for t in texts[lo : lo + 256]]
-                if len(known) > 300_000:
-                    known.clear()
-                new = list({w for ws in words for w in ws if w not in known})
-                for at in range(0, len(new), 4096):
-                    some = new[at : at + 4096]
-                    for w, e in zip(some, encoder.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                        known[w] = np.array(e.ids, "<u4").tobytes()
+                known = memory.learn(words)
                 out = defaultdict(list)
                 for doc_id, ws in zip(rows[lo : lo + 256], words):
                     ids = b"".join(map(known.__getitem__, ws)) + end
@@ -73,8 +106,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: i
 
     Columns doc_id, piece, start, length, ids_crc32 (of the little-endian unsigned 32-bit ids)
     and, with ``with_ids``, the ids themselves. The vocabulary drops white space, so each
-    ASCII-space-separated chunk is encoded once per task and remembered (a test compares this
-    with encoding whole texts). A null text counts as empty: one piece that holds ``end_id``.
+    chunk between ASCII white space is encoded by itself and remembered in the task (a test
+    compares this with encoding whole texts). A null text counts as empty: one piece that holds ``end_id``.
     A null doc_id keeps its rows. Rows that repeat are packed as often as they occur.
     """
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
