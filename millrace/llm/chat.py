@@ -70,7 +70,7 @@ def tree_paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     paths = base.join(inner, ["tree_id", "node_id"], "left_anti").select("tree_id", F.col("node_id").alias("path_id"), "node_id", F.lit(0).cast("long").alias("up_steps"))
     for k in range(len(jumps) - 1, -1, -1):
         more = paths.join(jumps[k], ["tree_id", "node_id"]).select("tree_id", "path_id", F.col("up").alias("node_id"), (F.col("up_steps") + 2**k).alias("up_steps"))
-        paths = paths.unionAll(more)
+        paths = checkpointed(paths.unionAll(more))  # else the plan doubles with every level
     scored = paths.join(base.select("tree_id", "node_id", "score"), ["tree_id", "node_id"])
     totals = scored.groupBy("tree_id", "path_id").agg(F.sum("score").alias("total"), F.max("up_steps").alias("deepest"))
     totals = totals.withColumn("branch", F.row_number().over(Window.partitionBy("tree_id").orderBy(F.desc("total"), "path_id")))
