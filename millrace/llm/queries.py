@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat, packing
+from millrace.llm import chat, decontaminate, embedding, jaccard, packing, substring, toxicity
 
 QUERIES = {
+    "op2_benchmark_decontamination": decontaminate.query,
+    "op3_embedding_near_dedup": embedding.query,
+    "op6_toxicity": toxicity.query,
+    "op7_substring_dedup": substring.query,
+    "op8_ngram_jaccard_join": jaccard.query,
     "op9_best_fit_packing": packing.query,
     "op10_chat_formatting": chat.query,
 }
 
 ORACLE_SQL = {
+    "op3_embedding_near_dedup": embedding.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
 }

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.llm.common import table
+from millrace.llm.common import table, with_row
 from millrace.llm.words import WordHashes, raw_texts, signed, sliding, sliding_argmin, words_of
 
 WINDOW = 13
@@ -294,6 +295,23 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     return joined.mapInArrow(_cut(n), "doc_id long, text string, kept_text string, n_words long, n_removed long")
 
 
+def cut_rows(docs: DataFrame, n: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, all columns, with repeats (see ``remove_repeats``) cut from text.
+
+    Texts without repeats stay as they are. A column n_chars is brought in line with a cut text.
+    """
+    base = with_row(docs)
+    joined = base.join(repeated_spans(docs, n), "doc_id", "left").select("text", "row", "spans")
+    schema = T.StructType([base.schema["text"], base.schema["row"], T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    made = joined.mapInArrow(_cut(n), schema)
+    cut = F.col("n_removed") > 0
+    columns = {c: F.col("row").getField(c) for c in docs.columns}
+    columns["text"] = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(cut, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return made.select(*[v.alias(k) for k, v in columns.items()])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = remove_repeats(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
