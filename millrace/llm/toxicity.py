@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import small_side, table, with_row
+from millrace.llm.words import WordHashes, shingles
 
 #: The fit takes at most about this many labelled rows of each class, chosen by hash of doc_id ...
 FIT_ROWS = 3000
 #: ... and none of more bytes than this (scoring reads whole texts of any length).
 FIT_BYTES = 200_000
 FEATURES, GRAM, GRADES = 4000, 5, 3
+#: One in a million by chance, as there are very many features to choose from.
+LEAST_RATIO = 24.0
 EDGES = ".,;:!?\"'()[]{}<>%$&*#|-"
 
 
@@ -49,7 +52,7 @@ class OrdinalModel:
 
 
 def _select(words: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Features seen far more often in one class, by the z-score of their log odds."""
+    """Features that toxic texts hold far more often, by the log-likelihood ratio of their counts."""
     seen = (Counter(), Counter())
     known: dict[str, list[str]] = {}
     for own, t in zip(words, toxic):
@@ -59,17 +62,39 @@ def _select(words: list[set[str]], toxic: np.ndarray) -> list[str]:
                 known[w] = features_of(w)
             found.update(known[w])
         seen[int(t)].update(found)
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
+    share = toxic.mean() if len(toxic) else 0.0
     ranked = []
     for f, a in seen[1].items():
         b = seen[0].get(f, 0)
-        if a >= 3 and a * n0 > 4 * b * n1:
-            odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
-            ranked.append((-odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)), f))
-    return [f for z, f in sorted(ranked)[:FEATURES] if z < -2.5]
+        if a >= 4 and a * (1 - share) > 4 * b * share:
+            ratio = 2 * (a * np.log(a / ((a + b) * share)) + (b * np.log(b / ((a + b) * (1 - share))) if b else 0))
+            if ratio >= LEAST_RATIO:
+                ranked.append((-ratio, f))
+    return [f for _, f in sorted(ranked)[:FEATURES]]
 
 
-def fit(texts: list[str], toxic: np.ndarray, grades: np.ndarray | None = None, steps: int = 400) -> OrdinalModel | None:
+def _distinct(texts: list[str], bands: int = 8, rows: int = 3) -> list[int]:
+    """One text of each group of near copies (equal in a band of min-hashes of word 5-shingles).
+
+    Else words that only happen to stand in a much-copied toxic text would look toxic.
+    """
+    hashes = WordHashes()
+    odd = np.random.default_rng(7).integers(1, 2**63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
+    seen: set[tuple] = set()
+    out = []
+    for i, t in enumerate(texts):
+        own = shingles(t.lower().encode().split(), hashes, 5)
+        if not len(own):
+            continue
+        low = [int((own * m).min()) for m in odd]
+        keys = {(b, *low[b * rows : b * rows + rows]) for b in range(bands)}
+        if not keys & seen:
+            out.append(i)
+        seen |= keys
+    return out
+
+
+def fit(texts: list[str], toxic: np.ndarray, grades: np.ndarray | None = None, steps: int = 600) -> OrdinalModel | None:
     """Fit on a bounded sample. None if there is only one class or nothing tells them apart.
 
     Without ``grades`` they are derived: 0 for texts not labelled toxic; labelled ones get 1..GRADES
@@ -79,7 +104,8 @@ def fit(texts: list[str], toxic: np.ndarray, grades: np.ndarray | None = None, s
     toxic = np.asarray(toxic, bool)
     if toxic.all() or not toxic.any():
         return None
-    index = {f: i for i, f in enumerate(_select([set(w) for w in words], toxic))}
+    alone = _distinct(texts)
+    index = {f: i for i, f in enumerate(_select([set(words[i]) for i in alone], toxic[alone]))}
     if not index:
         return None
     model = OrdinalModel(index, np.zeros(len(index)), np.zeros(1))
@@ -104,7 +130,6 @@ def fit(texts: list[str], toxic: np.ndarray, grades: np.ndarray | None = None, s
     weight = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
     w, first, gaps = np.zeros(len(index)), 1.0, np.zeros(top - 1)
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (w, np.zeros(1), gaps)]
-    reach = (grades[:, None] >= np.arange(1, top + 1)[None, :]).astype(float)
     for step in range(1, steps + 1):
         cuts = first + np.concatenate(([0.0], np.cumsum(np.exp(gaps))))
         score = np.bincount(rows, w[cols], len(texts))
@@ -120,7 +145,7 @@ def fit(texts: list[str], toxic: np.ndarray, grades: np.ndarray | None = None, s
         d_cut[at[here], grades[here] - 1] -= (weight * slope[at, grades] / like)[here]
         below = grades < top
         d_cut[at[below], grades[below]] += (weight * slope[at, grades + 1] / like)[below]
-        g_w = np.bincount(cols, d_score[rows], len(w)) - 1e-4 * w
+        g_w = np.bincount(cols, d_score[rows], len(w)) - 2e-6 * w
         g_first = np.array([d_cut.sum()])
         g_gaps = np.array([d_cut[:, k + 1 :].sum() * np.exp(gaps[k]) for k in range(top - 1)])
         moved = []
@@ -129,7 +154,6 @@ def fit(texts: list[str], toxic: np.ndarray, grades: np.ndarray | None = None, s
             v += 0.01 * (g * g - v)
             moved.append(0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8))
         w, first, gaps = w + moved[0], first + moved[1][0], gaps + moved[2]
-    del reach
     return OrdinalModel(index, w, first + np.concatenate(([0.0], np.cumsum(np.exp(gaps)))))
 
 
