@@ -15,7 +15,7 @@ from millrace.llm.common import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose chance of severity 1 or more is at least one half."""
+    """Drop documents that the ordinal model calls toxic."""
     model = toxicity.fit_labelled(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where("not toxic").select("row.*")
 

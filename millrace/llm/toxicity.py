@@ -42,6 +42,7 @@ class OrdinalModel:
     index: dict[str, int]
     weights: np.ndarray
     cuts: np.ndarray
+    threshold: float = 0.5
 
     def hits(self, word: str) -> tuple[int, ...]:
         return tuple(self.index[f] for f in features_of(word) if f in self.index)
@@ -154,7 +155,20 @@ def fit(texts: list[str], toxic: np.ndarray, grades: np.ndarray | None = None, s
             v += 0.01 * (g * g - v)
             moved.append(0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8))
         w, first, gaps = w + moved[0], first + moved[1][0], gaps + moved[2]
-    return OrdinalModel(index, w, first + np.concatenate(([0.0], np.cumsum(np.exp(gaps)))))
+    model = OrdinalModel(index, w, first + np.concatenate(([0.0], np.cumsum(np.exp(gaps)))))
+    model.threshold = _operating_point(np.bincount(rows, w[cols], len(texts)), toxic, model)
+    return model
+
+
+def _operating_point(score: np.ndarray, toxic: np.ndarray, model: OrdinalModel) -> float:
+    """The chance of grade 1 that best parts the two classes of the sample, midway between scores."""
+    values = np.unique(score)
+    right = [((score[toxic] >= v).mean() - (score[~toxic] >= v).mean(), v) for v in values[1:]]
+    if not right:
+        return 0.5
+    _, cut = max(right)
+    middle = (cut + values[values < cut][-1]) / 2
+    return float(model.at_least(np.array([middle]))[0, 0])
 
 
 def fit_labelled(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> OrdinalModel | None:
@@ -205,14 +219,14 @@ def score(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
     """Severity of every row: doc_id, row (the whole input row), severity, p_toxic, toxic.
 
     severity is the expected grade, p_toxic the probability of grade 1 or more, and toxic says
-    that it is at least one half. Whole texts are read. Null and empty texts have no features
+    that it reaches the model's operating point (where it best parts the fitted sample). Whole texts are read. Null and empty texts have no features
     and score as the model's clean baseline; without a model (no labels of both classes) all
     rows score 0 and none is toxic.
     """
     base = with_row(docs)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     schema = T.StructType([base.schema["doc_id"], base.schema["row"], T.StructField("severity", T.DoubleType()), T.StructField("p_toxic", T.DoubleType())])
-    return base.mapInArrow(_score(shared), schema).withColumn("toxic", F.col("p_toxic") >= 0.5)
+    return base.mapInArrow(_score(shared), schema).withColumn("toxic", F.col("p_toxic") >= (0.5 if model is None else model.threshold))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
