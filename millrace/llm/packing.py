@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
@@ -28,15 +29,26 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: Trailing marks that the vocabulary always splits from a letter before them.
+#: Trailing marks that a lower-casing word vocabulary always splits from a letter before them.
 TAIL = b".,;:!?%*&$#"
+#: Texts on which shortcuts must give the ids of plain encoding, or they are not used.
+PROBES = ("The quick,  brown fox.\nJumped!! Over 12.5 DOGS?", "élan Über straße; año Ça%%% x*** it's &&&a")
+
+
+def byte_letters() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (chr(256 + n) for n in range(256))
+    return [chr(b) if b in plain else next(rest) for b in range(256)]
 
 
 class ChunkIds:
     """Ids of white-space-separated chunks as little-endian bytes, remembered within a task.
 
-    The vocabulary drops white space and lower-cases, and a letter never joins a mark after it, so
-    a chunk is the ids of its ASCII-lower-cased stem and then of its trailing marks.
+    A vocabulary that drops white space gives a text the ids of its chunks, one after the other; one
+    that lower-cases and never joins a letter with a mark after it gives a chunk the ids of its
+    stem and its trailing marks; and a Latin stem needs only the merges. PROBES decide which of these
+    holds for the vocabulary at hand; where none does, whole texts are encoded.
     """
 
     def __init__(self, tokenizer_path: str, chunks: int = 400_000, stems: int = 800_000):
@@ -46,28 +58,60 @@ class ChunkIds:
         self.chunks: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
         self.limits = chunks, stems
+        self.letters = byte_letters()
+        self.by_chunk = self.by_stem = self.by_merges = True
+        for flag in ("by_merges", "by_stem", "by_chunk"):
+            if all(b"".join(self.encoded([self.split(t.encode())])[0]) == np.array(self._plain(t), "<u4").tobytes() for t in PROBES):
+                break
+            setattr(self, flag, False)
+            self.chunks.clear()
+            self.stems.clear()
 
-    def learn(self, rows: list[list[bytes]]) -> dict[bytes, bytes]:
-        """Make sure that every chunk of ``rows`` is known."""
+    def _plain(self, text: str) -> list[int]:
+        return self.encoder.encode(text, add_special_tokens=False).ids
+
+    def split(self, text: bytes | None) -> list[bytes]:
+        return words_of(text) if self.by_chunk else [text] if text else []
+
+    def _stem(self, word: bytes) -> tuple[bytes, bytes]:
+        stem = word.rstrip(TAIL)
+        if self.by_stem and stem and b"<|" not in word and stem.decode()[-1].isalpha():
+            return stem.lower(), word[len(stem) :]
+        return word, b""
+
+    def _merged(self, stem: bytes) -> bytes | None:
+        """Ids of a stem of Latin letters by the vocabulary's merges alone."""
+        if stem.isascii():
+            if stem.isalpha():
+                return np.array([t.id for t in self.merges(stem.decode())], "<u4").tobytes()
+            return None
+        text = stem.decode().lower()
+        if text.isalpha() and max(text) < "\u0250" and unicodedata.is_normalized("NFC", text):
+            return np.array([t.id for t in self.merges("".join([self.letters[b] for b in text.encode()]))], "<u4").tobytes()
+        return None
+
+    def encoded(self, rows: list[list[bytes]]) -> list[list[bytes]]:
+        """The ids of every chunk of every row."""
         if len(self.chunks) > self.limits[0]:
             self.chunks.clear()
         if len(self.stems) > self.limits[1]:
             self.stems.clear()
-        split = {}
-        for w in set().union(*rows).difference(self.chunks):
-            stem = w.rstrip(TAIL)
-            if stem and b"<|" not in w and stem.decode()[-1].isalpha():
-                split[w] = stem.lower(), w[len(stem) :]
-            else:
-                split[w] = w, b""
+        split = {w: self._stem(w) for w in set().union(*rows).difference(self.chunks)}
         new = list({part for parts in split.values() for part in parts if part and part not in self.stems})
+        if self.by_merges:
+            self.merges = self.encoder.model.tokenize
+            for w in new:
+                if (ids := self._merged(w)) is not None:
+                    self.stems[w] = ids
+            new = [w for w in new if w not in self.stems]
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             for w, e in zip(some, self.encoder.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
                 self.stems[w] = np.array(e.ids, "<u4").tobytes()
         for w, (stem, tail) in split.items():
             self.chunks[w] = self.stems[stem] + self.stems[tail] if tail else self.stems[stem]
-        return self.chunks
+        known = self.chunks.__getitem__
+        return [list(map(known, ws)) for ws in rows]
 
 
 def _tokenize(tokenizer_path: str, capacity: int, end_id: int, with_ids: bool):
@@ -79,11 +123,10 @@ def _tokenize(tokenizer_path: str, capacity: int, end_id: int, with_ids: bool):
             texts = raw_texts(batch.column("text"))
             rows = batch.column("doc_id").to_pylist()
             for lo in range(0, len(texts), 256):
-                words = [words_of(t) for t in texts[lo : lo + 256]]
-                known = memory.learn(words)
+                made = memory.encoded([memory.split(t) for t in texts[lo : lo + 256]])
                 out = defaultdict(list)
-                for doc_id, ws in zip(rows[lo : lo + 256], words):
-                    ids = b"".join(map(known.__getitem__, ws)) + end
+                for doc_id, ws in zip(rows[lo : lo + 256], made):
+                    ids = b"".join(ws) + end
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]
                         out["doc_id"].append(doc_id)
