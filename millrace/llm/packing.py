@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -56,7 +57,7 @@ class ChunkIds:
 
         self.encoder = Tokenizer.from_file(tokenizer_path)
         self.chunks: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {b"": b""}
         self.limits = chunks, stems
         self.letters = byte_letters()
         self.by_chunk = self.by_stem = self.by_merges = True
@@ -65,7 +66,7 @@ class ChunkIds:
                 break
             setattr(self, flag, False)
             self.chunks.clear()
-            self.stems.clear()
+            self.stems = {b"": b""}
 
     def _plain(self, text: str) -> list[int]:
         return self.encoder.encode(text, add_special_tokens=False).ids
@@ -74,20 +75,19 @@ class ChunkIds:
         return words_of(text) if self.by_chunk else [text] if text else []
 
     def _stem(self, word: bytes) -> tuple[bytes, bytes]:
-        stem = word.rstrip(TAIL)
-        if self.by_stem and stem and b"<|" not in word and stem.decode()[-1].isalpha():
-            return stem.lower(), word[len(stem) :]
+        if self.by_stem:
+            stem = word.rstrip(TAIL)
+            if stem.isalpha() or (stem and b"<|" not in word and stem.decode()[-1].isalpha()):  # bytes.isalpha: ASCII alone
+                return stem.lower(), word[len(stem) :]
         return word, b""
 
     def _merged(self, stem: bytes) -> bytes | None:
         """Ids of a stem of Latin letters by the vocabulary's merges alone."""
-        if stem.isascii():
-            if stem.isalpha():
-                return np.array([t.id for t in self.merges(stem.decode())], "<u4").tobytes()
-            return None
-        text = stem.decode().lower()
-        if text.isalpha() and max(text) < "\u0250" and unicodedata.is_normalized("NFC", text):
-            return np.array([t.id for t in self.merges("".join([self.letters[b] for b in text.encode()]))], "<u4").tobytes()
+        if stem.isalpha():
+            return array("I", [t.id for t in self.merges(stem.decode())]).tobytes()
+        text = stem.decode()
+        if text.isalpha() and max(text) < "\u0250" and (text := text.lower()).isalpha() and unicodedata.is_normalized("NFC", text):
+            return array("I", [t.id for t in self.merges("".join([self.letters[b] for b in text.encode()]))]).tobytes()
         return None
 
     def encoded(self, rows: list[list[bytes]]) -> list[list[bytes]]:
@@ -95,22 +95,23 @@ class ChunkIds:
         if len(self.chunks) > self.limits[0]:
             self.chunks.clear()
         if len(self.stems) > self.limits[1]:
-            self.stems.clear()
-        split = {w: self._stem(w) for w in set().union(*rows).difference(self.chunks)}
-        new = list({part for parts in split.values() for part in parts if part and part not in self.stems})
+            self.stems = {b"": b""}
+        stem, stems, chunks = self._stem, self.stems, self.chunks
+        split = [(w, *stem(w)) for w in set().union(*rows).difference(chunks)]
+        new = [part for part in {x[1] for x in split}.union([x[2] for x in split]) if part not in stems]
         if self.by_merges:
             self.merges = self.encoder.model.tokenize
             for w in new:
                 if (ids := self._merged(w)) is not None:
-                    self.stems[w] = ids
-            new = [w for w in new if w not in self.stems]
+                    stems[w] = ids
+            new = [w for w in new if w not in stems]
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             for w, e in zip(some, self.encoder.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
                 self.stems[w] = np.array(e.ids, "<u4").tobytes()
-        for w, (stem, tail) in split.items():
-            self.chunks[w] = self.stems[stem] + self.stems[tail] if tail else self.stems[stem]
-        known = self.chunks.__getitem__
+        for w, first, tail in split:
+            chunks[w] = stems[first] + stems[tail]
+        known = chunks.__getitem__
         return [list(map(known, ws)) for ws in rows]
 
 
