@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat, decontaminate, embedding, jaccard, packing, substring, toxicity
+from millrace.llm import chat, decontaminate, embedding, jaccard, langid, packing, quality, substring, toxicity, urls
 
 QUERIES = {
+    "op1_url_filter": urls.query,
     "op2_benchmark_decontamination": decontaminate.query,
     "op3_embedding_near_dedup": embedding.query,
+    "op4_language_id": langid.query,
+    "op5_quality": quality.query,
     "op6_toxicity": toxicity.query,
     "op7_substring_dedup": substring.query,
     "op8_ngram_jaccard_join": jaccard.query,
@@ -15,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_url_filter": urls.ORACLE,
     "op3_embedding_near_dedup": embedding.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
 }
