@@ -101,6 +101,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     return now.select(F.col("b").alias("id"), F.col("a").alias("component_id")).unionAll(now.select(F.col("a").alias("id"), F.col("a").alias("component_id")).distinct())
 
 
-def with_row(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the whole row beside them, so that no name of an extra column can clash."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+def with_row(docs: DataFrame, but: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text and beside them the row (all columns ``but`` some), so that no name of an extra column can clash."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in but)).alias("row"))

@@ -10,7 +10,6 @@ segments through it. Decisions are made on the words themselves, not on hashes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import table, with_row
+from millrace.llm.common import BROADCAST_ROWS, small_side, table, with_row, written
 from millrace.llm.words import WordHashes, raw_texts, signed, sliding, sliding_argmin, words_of
 
 WINDOW = 13
@@ -137,15 +136,11 @@ def _emit_minimizers(n: int, k: int):
     return run
 
 
-def text_key(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
-
-
 def _emit_segments(n: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
             shared = batch.column("shared")
             common = batch.column("common")
             out = ([], [], [], [], [])
@@ -153,7 +148,6 @@ def _emit_segments(n: int, k: int):
                 words = words_of(text)
                 if len(words) < n:
                     continue
-                key = text_key(text)
                 a = hashes.of(words)
                 at, best = _minimizers(a, n, k)
                 m = signed(best)
@@ -168,7 +162,7 @@ def _emit_segments(n: int, k: int):
                     runs += [(int(x), int(x) + 1, int(whole[x])) for x in np.nonzero(single)[0]]
                 for x, y, route in runs:
                     out[0].append(ids[i])
-                    out[1].append(key)
+                    out[1].append(keys[i])
                     out[2].append(x)
                     out[3].append(route)
                     out[4].append(b" ".join(words[x : y + n - 1]))
@@ -234,47 +228,60 @@ def _match_shards(n: int, shard_words: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, n: int = WINDOW, k: int = GRAM, common: int = COMMON, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Windows of ``n`` words that also start in a document with a smaller doc_id.
+def _keyed(docs: DataFrame) -> DataFrame:
+    """with_row plus a hash of the text, which tells rows of one doc_id apart."""
+    return with_row(docs, ("text",)).withColumn("text_key", F.xxhash64("text"))
+
+
+def _later_copies(base: DataFrame) -> DataFrame:
+    """(doc_id, text_key) of rows whose whole text a smaller doc_id has too."""
+    own = base.where("doc_id is not null and text is not null").select("doc_id", "text_key", F.unhex(F.md5("text")).alias("digest"))
+    firsts = own.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    return written(own.join(firsts, "digest").where("doc_id > first").select("doc_id", "text_key").distinct())
 
-    Returns doc_id, spans: array of (text_key, start, bits), where bit j set in ``bits`` says
-    that the window at word start + j repeats. Only documents with such windows appear.
+
+def repeated_spans(base: DataFrame, n: int = WINDOW, k: int = GRAM, common: int = COMMON, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Windows of ``n`` words that also start in a row with a smaller doc_id.
+
+    ``base``: doc_id, text, text_key. Returns doc_id, text_key and spans: array of (start, at), where
+    the windows at words start + at repeat. Only rows with such windows appear.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = base.where("doc_id is not null").mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long")
+    base = base.where("doc_id is not null").select("doc_id", "text_key", "text")
+    seen = base.mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long")
     counts = seen.groupBy("mhash").agg(F.count("*").alias("n")).where("n > 1")
     # hot minimizers: Spark splits the skewed side of this join
     per_doc = seen.join(counts, "mhash").groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("n") <= common, F.col("mhash"))).alias("shared"), F.collect_list(F.when(F.col("n") > common, F.col("mhash"))).alias("common")
     )
-    segments = base.join(per_doc, "doc_id").select("doc_id", "text", "shared", "common").mapInArrow(_emit_segments(n, k), "doc_id long, text_key long, start int, route long, segment binary")
+    found = base.join(per_doc, "doc_id").mapInArrow(_emit_segments(n, k), "doc_id long, text_key long, start int, route long, segment binary")
+    segments = written(found.withColumn("key", F.unhex(F.md5("segment"))))
     distinct = segments.groupBy("route", "segment").agg(F.min("doc_id").alias("owner"))
     shards = distinct.repartition("route").sortWithinPartitions("route")
-    answers = shards.mapInArrow(_match_shards(n, shard_words), "segment binary, owners array<long>").select(F.md5("segment").alias("key"), "owners")
-    found = segments.select("doc_id", "text_key", "start", F.md5("segment").alias("key")).join(answers, "key")
+    answers = shards.mapInArrow(_match_shards(n, shard_words), "segment binary, owners array<long>").select(F.unhex(F.md5("segment")).alias("key"), "owners")
     hits = F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), i)), lambda x: x.isNotNull())
-    return found.select("doc_id", F.struct("text_key", "start", hits.alias("at")).alias("s")).where(F.size("s.at") > 0).groupBy("doc_id").agg(F.collect_list("s").alias("spans"))
+    told = segments.select("key", "doc_id", "text_key", "start").join(answers, "key").select("doc_id", "text_key", F.struct("start", hits.alias("at")).alias("s"))
+    return told.where(F.size("s.at") > 0).groupBy("doc_id", "text_key").agg(F.collect_list("s").alias("spans"))
 
 
 def _cut(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, counts, removed = [], [], []
-            for text, spans in zip(raw_texts(batch.column("text")), batch.column("spans")):
+            for text, spans, copied in zip(raw_texts(batch.column("text")), batch.column("spans").to_pylist(), batch.column("copied").to_pylist()):
                 words = words_of(text)
-                gone = np.zeros(len(words) + 1, np.int32)
-                if spans.is_valid and words:
-                    key = text_key(text)
-                    for s in spans.as_py():
-                        if s["text_key"] == key:
-                            at = np.asarray(s["at"]) + s["start"]
-                            np.add.at(gone, at, 1)
-                            np.add.at(gone, at + n, -1)
-                left = np.cumsum(gone[:-1]) == 0
-                kept.append(b" ".join([w for w, keep in zip(words, left) if keep]) if not left.all() else b" ".join(words))
                 counts.append(len(words))
-                removed.append(int(len(words) - left.sum()))
-            names = [c for c in batch.schema.names if c != "spans"]
+                if copied and len(words) >= n:
+                    words = []
+                elif spans and words:
+                    gone = np.zeros(len(words) + 1, np.int32)
+                    for s in spans:
+                        at = np.asarray(s["at"]) + s["start"]
+                        np.add.at(gone, at, 1)
+                        np.add.at(gone, at + n, -1)
+                    words = [w for w, over in zip(words, np.cumsum(gone[:-1]).tolist()) if not over]
+                kept.append(b" ".join(words))
+                removed.append(counts[-1] - len(words))
+            names = [c for c in batch.schema.names if c not in ("spans", "copied")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "kept_text", "n_words", "n_removed"]
             )
@@ -285,14 +292,28 @@ def _cut(n: int):
 def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     """Remove every word covered by an ``n``-word window that a smaller doc_id holds too.
 
-    Returns doc_id, text, kept_text (left words joined by one space), n_words, n_removed, one row
-    per row of ``docs``. Null and empty texts have no words. A null doc_id has no order: its words
-    stay and count for nothing. Rows that repeat a doc_id don't take from each other; each is
-    judged by its own text.
+    Returns doc_id, text, row (the other input columns), kept_text (left words joined by one space),
+    n_words and n_removed, one row per row of ``docs``. Null and empty texts have no words. A null
+    doc_id has no order: its words stay and count for nothing. Rows that repeat a doc_id don't take
+    from each other; each is judged by its own text.
+
+    A row whose whole text a smaller doc_id has loses all its windows at once; the rest goes through the automata.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = base.join(repeated_spans(docs, n), "doc_id", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_cut(n), "doc_id long, text string, kept_text string, n_words long, n_removed long")
+    base = _keyed(docs)
+    copies = _later_copies(base)
+    copied = small_side(copies)
+    spans = written(repeated_spans(base.join(copied, ["doc_id", "text_key"], "left_anti"), n))
+    touched = spans.select("doc_id", "text_key")
+    marked = base.join(copied.withColumn("copied", F.lit(True)), ["doc_id", "text_key"], "left")
+    if touched.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # then only texts with repeats are shuffled
+        ids = F.broadcast(touched)
+        plain = marked.join(ids, ["doc_id", "text_key"], "left_anti").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+        marked = marked.join(ids, ["doc_id", "text_key"], "left_semi").join(spans, ["doc_id", "text_key"]).unionByName(plain)
+    else:
+        marked = marked.join(spans, ["doc_id", "text_key"], "left")
+    fields = [base.schema["doc_id"], base.schema["text"], base.schema["row"]]
+    schema = T.StructType([*fields, T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    return marked.select("doc_id", "text", "row", "spans", "copied").mapInArrow(_cut(n), schema)
 
 
 def cut_rows(docs: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -300,12 +321,9 @@ def cut_rows(docs: DataFrame, n: int = WINDOW) -> DataFrame:
 
     Texts without repeats stay as they are. A column n_chars is brought in line with a cut text.
     """
-    base = with_row(docs)
-    joined = base.join(repeated_spans(docs, n), "doc_id", "left").select("text", "row", "spans")
-    schema = T.StructType([base.schema["text"], base.schema["row"], T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    made = joined.mapInArrow(_cut(n), schema)
+    made = remove_repeats(docs, n)
     cut = F.col("n_removed") > 0
-    columns = {c: F.col("row").getField(c) for c in docs.columns}
+    columns = {c: F.col("text") if c == "text" else F.col("row").getField(c) for c in docs.columns}
     columns["text"] = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
     if "n_chars" in columns:
         columns["n_chars"] = F.when(cut, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
@@ -313,5 +331,5 @@ def cut_rows(docs: DataFrame, n: int = WINDOW) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = remove_repeats(table(spark, sf_dir, "documents"))
+    made = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return made.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
