@@ -38,6 +38,8 @@ SUBSET_WEIGHT = 1 << 20
 #: Cost of one entry of an inverted list against one enumerated subset, and the largest boundary tried.
 LIST_COST, MOST_SMALL = 3, 14
 LEAST_SMALL = 5
+#: A list of more members than this is read in blocks of BLOCK_ROWS inside tasks, without making rows of its pairs.
+HOT_LIST, BLOCK_ROWS = 128, 1024
 
 
 def lower_words(text: bytes | None) -> list[bytes]:
@@ -146,6 +148,48 @@ def _emit_postings(n: int, small: int, weights):
     return run
 
 
+def _count_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of one block (or pair of blocks) of a long list that are of different classes and share enough lists."""
+    this = pdf["h"].iloc[0]
+    one_block = pdf["i"].iloc[0] == pdf["j"].iloc[0]
+    left = pdf if one_block else pdf[pdf["chunk"] == pdf["i"]]
+    right = pdf if one_block else pdf[pdf["chunk"] == pdf["j"]]
+    if not len(left) or not len(right) or pdf["cls"].nunique() < 2:
+        return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+
+    def entries(side: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        h, w = np.concatenate(side["hs"].to_list()), np.concatenate(side["ws"].to_list())
+        row = np.repeat(np.arange(len(side)), [len(x) for x in side["hs"]])
+        order = np.argsort(h, kind="stable")
+        h, w, row = h[order], w[order], row[order]
+        names, start = np.unique(h, return_index=True)
+        return names, start, np.append(start[1:], len(h)), row, w
+
+    names_a, lo_a, hi_a, row_a, w_a = entries(left)
+    names_b, lo_b, hi_b, row_b, _ = entries(right)
+    both, at_a, at_b = np.intersect1d(names_a, names_b, assume_unique=True, return_indices=True)
+    count = np.zeros((len(left), len(right)), np.int64)
+    hot_before = np.zeros(count.shape, bool)  # the pair is told by the first long list that it shares
+    first = np.zeros(count.shape, bool)
+    for name, x, y in zip(both.tolist(), at_a.tolist(), at_b.tolist()):
+        place = np.ix_(row_a[lo_a[x] : hi_a[x]], row_b[lo_b[y] : hi_b[y]])
+        weight = int(w_a[lo_a[x]])
+        if name == this:
+            first[place] = ~hot_before[place]
+        elif weight < 0 and name < this:
+            hot_before[place] = True
+        count[place] += abs(weight)
+    m, n = left["size"].to_numpy()[:, None].astype(np.int64), right["size"].to_numpy()[None, :].astype(np.int64)
+    small, large = np.minimum(m, n), np.maximum(m, n)
+    need = np.maximum(SHARE, -(-NUMER * (m + n) // (NUMER + DENOM)) + NUMER * -large // DENOM + SHARE)
+    fine = first & (left["cls"].to_numpy()[:, None] != right["cls"].to_numpy()[None, :]) & (DENOM * small >= NUMER * large) & (count >= need)
+    if one_block:
+        fine = np.triu(fine, 1)
+    x, y = np.nonzero(fine)
+    a, b = left["doc_id"].to_numpy()[x], right["doc_id"].to_numpy()[y]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
 def _verify(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -198,7 +242,8 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     2. Inverted lists (subset and prefix entries) that two representatives share are kept.
     3. In each list and size band all link up with the smallest member, after verification.
     4. Only pairs that are still in different classes are then looked up, in all lists: first
-       by class, then by document, counted against the number of lists they must share.
+       by class, then by document, counted against the number of lists they must share. Long lists are
+       counted block by block inside tasks; only pairs that share enough leave them.
 
     Null and empty texts have no shingles and link with nothing. A null doc_id keeps its row, with
     a null class. Rows that repeat a doc_id are one node with the links of all of them.
@@ -233,15 +278,25 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     classed = met.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("cls", F.coalesce("component_id", "doc_id")).select("h", "doc_id", "size", "w", "cls")
     mixed = classed.groupBy("h").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("h")
     classed = written(classed.join(mixed, "h"))
-    in_list = classed.groupBy("h", "cls").agg(F.max("w").alias("w"))
+    sizes = written(classed.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT_LIST))
+    cold = classed.join(sizes, "h", "left_anti")
+    in_list = cold.groupBy("h", "cls").agg(F.max("w").alias("w"))
     meet = in_list.select("h", F.col("cls").alias("c1"), "w").join(in_list.select("h", F.col("cls").alias("c2")), "h").where("c1 < c2")
     close = meet.groupBy("c1", "c2").agg(F.sum("w").alias("w")).where(F.col("w") >= SHARE).select("c1", "c2")
     meet = meet.join(close, ["c1", "c2"]).select("h", "c1", "c2")
-    left = classed.select("h", F.col("cls").alias("c1"), F.col("doc_id").alias("d1"), F.col("size").alias("s1"), "w")
-    right = classed.select("h", F.col("cls").alias("c2"), F.col("doc_id").alias("d2"), F.col("size").alias("s2"))
+    left = cold.select("h", F.col("cls").alias("c1"), F.col("doc_id").alias("d1"), F.col("size").alias("s1"), "w")
+    right = cold.select("h", F.col("cls").alias("c2"), F.col("doc_id").alias("d2"), F.col("size").alias("s2"))
     pairs = meet.join(left, ["h", "c1"]).join(right, ["h", "c2"]).where(_fits(F.col("s1"), F.col("s2")))
     pairs = pairs.groupBy(F.least("d1", "d2").alias("a"), F.greatest("d1", "d2").alias("b")).agg(F.sum("w").alias("w"), F.max("s1").alias("x"), F.max("s2").alias("y"))
-    pairs = written(pairs.where(F.col("w") >= _needed(F.col("x"), F.col("y"))).select("a", "b"))
+    pairs = pairs.where(F.col("w") >= _needed(F.col("x"), F.col("y"))).select("a", "b")
+    # pairs that share a hot list, counted over all the lists of both
+    members = classed.join(sizes, "h").withColumn("chunks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+    marked = classed.join(sizes, "h", "left").withColumn("w", F.when(F.col("n").isNotNull(), -F.col("w")).otherwise(F.col("w")))  # below zero: a long list
+    own = marked.join(members.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("h", "w")).alias("e")).select("doc_id", F.col("e.h").alias("hs"), F.col("e.w").alias("ws"))
+    dealt = members.join(own, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select("h", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "doc_id", "size", "cls", "hs", "ws")
+    hot = dealt.groupBy("h", "i", "j").applyInPandas(_count_block, "a long, b long")
+    pairs = written(pairs.unionByName(hot).distinct())
     links = links.unionByName(verified(pairs, base, n))
 
     found = components(links)
