@@ -136,10 +136,17 @@ def _emit_minimizers(n: int, k: int):
     return run
 
 
+def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that what is made of one slice stays small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def _emit_segments(n: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in pieces_of(batches):
             ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
             shared = batch.column("shared")
             common = batch.column("common")
@@ -176,14 +183,14 @@ def _emit_segments(n: int, k: int):
 def _match_shards(n: int, shard_words: int):
     """Build an automaton of each block of routes and stream the block's segments through it."""
 
-    def answer(block: list[tuple[bytes, int]]) -> list[list[int]]:
+    def answer(block: list[tuple[bytes, int, int]]) -> list[list[int]]:
         if len(block) == 1:  # one reference alone owns all its windows
             return [[block[0][1]] * (len(block[0][0].split()) - n + 1)]
         numbers: dict[bytes, int] = {}
         number = numbers.setdefault
-        rows = [[number(w, len(numbers)) for w in segment.split()] for segment, _ in block]
+        rows = [[number(w, len(numbers)) for w in segment.split()] for segment, _, _ in block]
         automaton = SuffixAutomaton()
-        for words, (_, owner) in zip(rows, block):
+        for words, (_, owner, _) in zip(rows, block):
             automaton.add(words, owner)
         automaton.finish()
         return [automaton.smallest_owners(words, n) for words in rows]
@@ -191,26 +198,31 @@ def _match_shards(n: int, shard_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(groups):
             segments, owners = [], []
-            block: list[tuple[bytes, int]] = []
+
+            def tell(block):
+                for (segment, _, last), own in zip(block, answer(block)):
+                    if min(own) < last:  # else no row that holds the segment is told anything
+                        segments.append(segment)
+                        owners.append(own)
+
+            block: list[tuple[bytes, int, int]] = []
             size = 0
-            for group in [*groups, None]:
-                if block and (group is None or len(group) == 1 or size > shard_words):
-                    segments += [s for s, _ in block]
-                    owners += answer(block)
-                    block, size = [], 0
-                if group is None:
-                    break
+            for group in groups:
                 if len(group) == 1:
-                    segments.append(group[0][0])
-                    owners += answer(group)
+                    tell(group)
                 else:
                     block += group
-                    size += sum(s.count(b" ") + 1 for s, _ in group)
+                    size += sum(s.count(b" ") + 1 for s, _, _ in group)
+                    if size > shard_words:
+                        tell(block)
+                        block, size = [], 0
+            if block:
+                tell(block)
             return pa.RecordBatch.from_arrays([pa.array(segments, pa.binary()), pa.array(owners, pa.list_(pa.int64()))], names=["segment", "owners"])
 
         route, group, groups, held = None, [], [], 0
         for batch in batches:
-            for r, s, o in zip(batch.column("route").to_pylist(), batch.column("segment").to_pylist(), batch.column("owner").to_pylist()):
+            for r, s, o, last in zip(*(batch.column(c).to_pylist() for c in ("route", "segment", "owner", "last"))):
                 if r != route and group:
                     groups.append(group)
                     held += len(group)
@@ -219,7 +231,7 @@ def _match_shards(n: int, shard_words: int):
                         yield flush(groups)
                         groups, held = [], 0
                 route = r
-                group.append((s, o))
+                group.append((s, o, last))
         if group:
             groups.append(group)
         if groups:
@@ -229,8 +241,11 @@ def _match_shards(n: int, shard_words: int):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """with_row plus a hash of the text, which tells rows of one doc_id apart."""
-    return with_row(docs, ("text",)).withColumn("text_key", F.xxhash64("text"))
+    """with_row plus text_key: a hash of the text where a doc_id has several texts, else 0."""
+    base = with_row(docs, ("text",))
+    several = base.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b")
+    several = written(several.select("doc_id", F.lit(True).alias("several")))
+    return base.join(small_side(several), "doc_id", "left").withColumn("text_key", F.when(F.col("several"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).drop("several")
 
 
 def _later_copies(base: DataFrame) -> DataFrame:
@@ -250,22 +265,22 @@ def repeated_spans(base: DataFrame, n: int = WINDOW, k: int = GRAM, common: int
     seen = base.mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long")
     counts = seen.groupBy("mhash").agg(F.count("*").alias("n")).where("n > 1")
     # hot minimizers: Spark splits the skewed side of this join
-    per_doc = seen.join(counts, "mhash").groupBy("doc_id").agg(
+    per_doc = seen.join(counts, "mhash").select("doc_id", "mhash", "n").repartition("doc_id").groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("n") <= common, F.col("mhash"))).alias("shared"), F.collect_list(F.when(F.col("n") > common, F.col("mhash"))).alias("common")
     )
     found = base.join(per_doc, "doc_id").mapInArrow(_emit_segments(n, k), "doc_id long, text_key long, start int, route long, segment binary")
-    segments = written(found.withColumn("key", F.unhex(F.md5("segment"))))
-    distinct = segments.groupBy("route", "segment").agg(F.min("doc_id").alias("owner"))
+    segments = written(found)
+    distinct = segments.groupBy("route", "segment").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
     shards = distinct.repartition("route").sortWithinPartitions("route")
     answers = shards.mapInArrow(_match_shards(n, shard_words), "segment binary, owners array<long>").select(F.unhex(F.md5("segment")).alias("key"), "owners")
     hits = F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), i)), lambda x: x.isNotNull())
-    told = segments.select("key", "doc_id", "text_key", "start").join(answers, "key").select("doc_id", "text_key", F.struct("start", hits.alias("at")).alias("s"))
-    return told.where(F.size("s.at") > 0).groupBy("doc_id", "text_key").agg(F.collect_list("s").alias("spans"))
+    told = segments.select(F.unhex(F.md5("segment")).alias("key"), "doc_id", "text_key", "start").join(answers, "key").select("doc_id", "text_key", F.struct("start", hits.alias("at")).alias("s"))
+    return told.where(F.size("s.at") > 0).repartition("doc_id").groupBy("doc_id", "text_key").agg(F.collect_list("s").alias("spans"))
 
 
 def _cut(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             kept, counts, removed = [], [], []
             for text, spans, copied in zip(raw_texts(batch.column("text")), batch.column("spans").to_pylist(), batch.column("copied").to_pylist()):
                 words = words_of(text)
