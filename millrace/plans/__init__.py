@@ -1,0 +1,6 @@
+"""All registered queries of the timing, replay, text, tensor and streaming jobs."""
+
+from millrace.operators import replay, timing
+from millrace.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "replay", "timing"]
