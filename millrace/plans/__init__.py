@@ -1,6 +1,7 @@
-"""All registered queries of the timing, replay, text, tensor and streaming jobs."""
+"""All registered queries of the timing, replay, text and tensor jobs."""
 
-from millrace.operators import replay, timing
+from millrace.functions import text
+from millrace.operators import replay, tensor, timing
 from millrace.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "replay", "timing"]
+__all__ = ["ORACLE_SQL", "QUERIES", "replay", "tensor", "text", "timing"]
