@@ -41,15 +41,15 @@ class Templates:
 
     def clear(self) -> None:
         self.at: dict[bytes, int] = {}
-        self.first: list[int] = []  # reading at the start of a sentence
-        self.inside: list[int] = []  # reading within one
-        self.flags: list[int] = []  # 1: ends a sentence, 2: a number, 4: a unit word
+        self.first = np.zeros(4096, np.uint64)  # reading at the start of a sentence
+        self.inside = np.zeros(4096, np.uint64)  # reading within one
+        self.flags = np.zeros(4096, np.int64)  # 1: ends a sentence, 2: a number, 4: a unit word
 
     def _read(self, word: bytes) -> int:
         raw = word.decode(errors="replace")
         bare = raw.strip(EDGES)
         ends = 1 if raw.rstrip("\"')]}*").endswith((".", "!", "?", ":")) else 0
-        m = NUMBER.match(bare)
+        m = None if bare.isalpha() else NUMBER.match(bare)
         if m:
             first = inside = int(_NUM_UNIT if m[1] else _NUM)
             flags = ends | (0 if m[1] else 2)
@@ -59,10 +59,10 @@ class Templates:
             if len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
                 inside = int(_NAME)
             flags = ends | (4 if lower in UNITS else 0)
-        at = self.at[word] = len(self.first)
-        self.first.append(first)
-        self.inside.append(inside)
-        self.flags.append(flags)
+        at = self.at[word] = len(self.at)
+        if at == len(self.first):
+            self.first, self.inside, self.flags = (np.concatenate((x, np.zeros_like(x))) for x in (self.first, self.inside, self.flags))
+        self.first[at], self.inside[at], self.flags[at] = first, inside, flags
         return at
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -70,13 +70,13 @@ class Templates:
         if len(self.at) > self.limit:
             self.clear()
         known = self.at
-        for w in set(words).difference(known):
-            self._read(w)
-        idx = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        used, place = np.unique(idx, return_inverse=True)
-        first = np.array([self.first[i] for i in used], np.uint64)[place]
-        inside = np.array([self.inside[i] for i in used], np.uint64)[place]
-        flags = np.array([self.flags[i] for i in used], np.int64)[place]
+        try:
+            idx = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        except KeyError:
+            for w in set(words).difference(known):
+                self._read(w)
+            idx = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        first, inside, flags = self.first[idx], self.inside[idx], self.flags[idx]
         before = np.concatenate(([1], flags[:-1]))
         out = np.where(before & 1, first, inside)
         out[(before & 2 > 0) & (flags & 4 > 0)] = _UNIT
