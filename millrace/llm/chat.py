@@ -59,11 +59,12 @@ def tree_paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
         base.join(known, ["tree_id", "parent_id"], "left")
         .select("tree_id", "node_id", F.when(F.col("_there"), F.col("parent_id")).alias("parent_id"), "score")
     )
+    most = base.groupBy("tree_id").count().agg(F.max("count")).first()[0] or 0  # no path is longer, and a cycle never runs out
     jumps = [base.where("parent_id is not null").select("tree_id", "node_id", F.col("parent_id").alias("up"))]
-    while True:
+    while 2 ** len(jumps) <= most:
         far = jumps[-1].alias("x").join(jumps[-1].select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("up2")), ["tree_id", "up"])
         far = checkpointed(far.select("tree_id", "node_id", F.col("up2").alias("up")))
-        if far.isEmpty() or len(jumps) > 40:  # a cycle never runs out
+        if far.isEmpty():
             break
         jumps.append(far)
     inner = base.where("parent_id is not null").select("tree_id", F.col("parent_id").alias("node_id")).distinct()

@@ -55,12 +55,13 @@ class OrdinalModel:
 def _select(words: list[set[str]], toxic: np.ndarray) -> list[str]:
     """Features that toxic texts hold far more often, by the log-likelihood ratio of their counts."""
     seen = (Counter(), Counter())
-    known: dict[str, list[str]] = {}
+    known: dict[str, tuple[str, ...]] = {}
+    names: dict[str, str] = {}  # one string object for each feature
     for own, t in zip(words, toxic):
         found = set()
         for w in own:
             if w not in known:
-                known[w] = features_of(w)
+                known[w] = tuple(names.setdefault(f, f) for f in features_of(w))
             found.update(known[w])
         seen[int(t)].update(found)
     share = toxic.mean() if len(toxic) else 0.0
