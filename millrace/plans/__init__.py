@@ -1,7 +1,9 @@
-"""All registered queries of the timing, replay, text and tensor jobs."""
+"""All registered queries of the timing, replay, text, tensor, file and streaming jobs."""
 
 from millrace.functions import text
 from millrace.operators import replay, tensor, timing
 from millrace.registry import ORACLE_SQL, QUERIES
+from millrace.sources import evidence
+from millrace.streaming import jobs
 
-__all__ = ["ORACLE_SQL", "QUERIES", "replay", "tensor", "text", "timing"]
+__all__ = ["ORACLE_SQL", "QUERIES", "evidence", "jobs", "replay", "tensor", "text", "timing"]

@@ -24,7 +24,7 @@ def read_evidence_tsv(spark: SparkSession, path: str, schema: T.StructType) -> D
     names = [f.name for f in schema.fields]
     head = "\t".join(names)
     rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    first = spark.read.option("wholetext", True).text(path).select(F.substring_index("value", "\n", 1).alias("h")).where(F.col("h") != head)
+    first = spark.read.text(path, wholetext=True).select(F.substring_index("value", "\n", 1).alias("h")).where(F.col("h") != head)
     wrong = first.limit(1).collect()
     if wrong:
         raise ValueError(f"header {wrong[0]['h']!r} is not {head!r}")
@@ -35,7 +35,7 @@ def read_evidence_tsv(spark: SparkSession, path: str, schema: T.StructType) -> D
 
 def read_reports(spark: SparkSession, path: str, version: str) -> DataFrame:
     """Whole text reports with their path; ``ok`` says that the version line is there."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), F.contains("value", F.lit(version)).alias("ok"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), F.contains("value", F.lit(version)).alias("ok"))
 
 
 def read_json_evidence(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

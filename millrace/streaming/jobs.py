@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from millrace.registry import query
 
@@ -16,72 +18,51 @@ def stream_measurement_dedupe(measurements: DataFrame, key: list[str]) -> DataFr
     return measurements.dropDuplicates(key)
 
 
-class _Keyed(StatefulProcessor):
-    """Keeps one row of state per key."""
+def _case_state(allowed: list[tuple[str, str]]):
+    legal = set(allowed)
 
-    schema = ""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", self.schema)
-
-    def close(self) -> None:
-        pass
-
-
-class CaseState(_Keyed):
-    """Accept or reject the events of a case by the table of allowed steps."""
-
-    schema = "state string, attempt long"
-
-    def __init__(self, allowed: list[tuple[str, str]]):
-        self.allowed = set(allowed)
-
-    def handleInputRows(self, key, rows, timers):
-        import pandas as pd
-
-        every = pd.concat(list(rows)).sort_values("sequence")
-        now, attempt = self.state.get() if self.state.exists() else (None, 0)
+    def run(key, parts, state):
+        every = pd.concat(list(parts)).sort_values("sequence")
+        now, attempt = state.get if state.exists else ("", 0)
         out = []
         for r in every.itertuples():
-            fine = now is None or (now, r.state) in self.allowed
+            fine = now == "" or (now, r.state) in legal
             if fine:
                 now = r.state
-                attempt += r.state == "running"
+                attempt += int(r.state == "running")
             out.append((key[0], r.sequence, r.state, fine, now, attempt))
-        self.state.update((now, int(attempt)))
+        state.update((now, attempt))
         yield pd.DataFrame(out, columns=["case_id", "sequence", "state", "accepted", "current", "attempt"])
 
+    return run
 
-class FirstClaim(_Keyed):
-    """The first case to claim a fingerprint owns it; a release by the owner frees it."""
 
-    schema = "owner long"
-
-    def handleInputRows(self, key, rows, timers):
-        import pandas as pd
-
-        every = pd.concat(list(rows)).sort_values("sequence")
-        owner = self.state.get()[0] if self.state.exists() else None
-        out = []
-        for r in every.itertuples():
-            if owner is None and not r.released:
-                owner = r.case_id
-            granted = owner == r.case_id
-            out.append((key[0], r.sequence, r.case_id, bool(granted)))
-            if granted and r.released:
-                owner = None
-        self.state.clear() if owner is None else self.state.update((int(owner),))
-        yield pd.DataFrame(out, columns=["fingerprint", "sequence", "case_id", "granted"])
+def _first_claim(key, parts, state):
+    every = pd.concat(list(parts)).sort_values("sequence")
+    owner = state.get[0] if state.exists else None
+    out = []
+    for r in every.itertuples():
+        if owner is None and not r.released:
+            owner = r.case_id
+        granted = owner == r.case_id
+        out.append((key[0], r.sequence, r.case_id, granted))
+        if granted and r.released:
+            owner = None
+    if owner is not None:
+        state.update((int(owner),))
+    elif state.exists:
+        state.remove()
+    yield pd.DataFrame(out, columns=["fingerprint", "sequence", "case_id", "granted"])
 
 
 def stream_case_state(events: DataFrame, allowed: list[tuple[str, str]]) -> DataFrame:
-    """``events``: case_id, sequence, state. One row of state per case, in RocksDB."""
-    return events.groupBy("case_id").transformWithStateInPandas(CaseState(allowed), "case_id long, sequence long, state string, accepted boolean, current string, attempt long", "append", "none")
+    """``events``: case_id, sequence, state. Accepts steps of the table ``allowed``; keeps one row of state per case."""
+    return events.groupBy("case_id").applyInPandasWithState(_case_state(allowed), "case_id long, sequence long, state string, accepted boolean, current string, attempt long", "current string, attempt long", "append", GroupStateTimeout.NoTimeout)
 
 
 def stream_first_claim(claims: DataFrame) -> DataFrame:
-    """``claims``: fingerprint, sequence, case_id, released. One row of state per fingerprint."""
-    return claims.groupBy("fingerprint").transformWithStateInPandas(FirstClaim(), "fingerprint string, sequence long, case_id long, granted boolean", "append", "none")
+    """``claims``: fingerprint, sequence, case_id, released. The first case owns a fingerprint until it releases it."""
+    return claims.groupBy("fingerprint").applyInPandasWithState(_first_claim, "fingerprint string, sequence long, case_id long, granted boolean", "owner long", "append", GroupStateTimeout.NoTimeout)
 
 
 def run_once(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -89,8 +70,6 @@ def run_once(spark: SparkSession, stream: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     top = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not top:
-        import tempfile
-
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         top = sc.getCheckpointDir()
     path = f"{top.rstrip('/')}/stream-{uuid.uuid4().hex}"
@@ -98,8 +77,19 @@ def run_once(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
+#: Event types of the test table as states, and the allowed steps.
+STATES = {"view": "planned", "click": "running", "add_to_cart": "measured", "purchase": "accepted", "error": "failed"}
+ALLOWED = [("planned", "running"), ("running", "measured"), ("running", "failed"), ("measured", "accepted"), ("measured", "failed"), ("failed", "running")]
+
+
 def _events(t) -> DataFrame:
     return t.spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events*.parquet")
 
 
 query("stream_measurement_dedupe", "SELECT DISTINCT user_id, event_type FROM events")(lambda t: run_once(t.spark, stream_measurement_dedupe(_events(t).select("user_id", "event_type"), ["user_id", "event_type"])))
+query("stream_case_state")(
+    lambda t: run_once(t.spark, stream_case_state(_events(t).select(F.col("user_id").alias("case_id"), F.col("event_id").alias("sequence"), F.create_map(*[F.lit(x) for kv in STATES.items() for x in kv])[F.col("event_type")].alias("state")).where("state is not null"), ALLOWED))
+)
+query("stream_first_claim", "WITH c AS (SELECT 'k' || (event_id % 500) AS fingerprint, event_id AS sequence, user_id AS case_id FROM events) SELECT fingerprint, sequence, case_id, case_id = first_value(case_id) OVER (PARTITION BY fingerprint ORDER BY sequence) AS granted FROM c")(
+    lambda t: run_once(t.spark, stream_first_claim(_events(t).select(F.concat(F.lit("k"), (F.col("event_id") % 500).cast("string")).alias("fingerprint"), F.col("event_id").alias("sequence"), F.col("user_id").alias("case_id"), F.lit(False).alias("released"))))
+)
