@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, small_side, table, written
-from millrace.llm.words import WordHashes, raw_texts, shingles, signed, words_of
+from millrace.llm.words import WordHashes, pieces_of, raw_texts, shingles, signed, words_of
 
 SHINGLE = 5
 #: Similarity as a fraction: 80 / 100.
@@ -119,7 +119,7 @@ def _emit_postings(n: int, small: int, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         counts = weights.value
-        for batch in batches:
+        for batch in pieces_of(batches, 512):
             out_h, out_d, out_n, out_w = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_numpy(zero_copy_only=False), raw_texts(batch.column("text"))):
                 own = shingles(lower_words(text), hashes, n)
@@ -194,7 +194,7 @@ def _verify(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         last, last_set = None, None
-        for batch in batches:
+        for batch in pieces_of(batches, 512):
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             keep = []
             for i, (x, y) in enumerate(zip(raw_texts(batch.column("text_a")), raw_texts(batch.column("text_b")))):

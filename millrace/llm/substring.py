@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import BROADCAST_ROWS, small_side, table, with_row, written
-from millrace.llm.words import WordHashes, raw_texts, signed, sliding, sliding_argmin, words_of
+from millrace.llm.words import WordHashes, pieces_of, raw_texts, signed, sliding, sliding_argmin, words_of
 
 WINDOW = 13
 GRAM = 5
@@ -136,13 +136,6 @@ def _emit_minimizers(n: int, k: int):
     return run
 
 
-def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of a few rows, so that what is made of one slice stays small."""
-    for batch in batches:
-        for lo in range(0, batch.num_rows, rows):
-            yield batch.slice(lo, rows)
-
-
 def _emit_segments(n: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
