@@ -202,7 +202,7 @@ def endpoint_specialists(cells: DataFrame, n: int = 3) -> DataFrame:
 
 def topk_candidates(candidates: DataFrame, k: int, target: float, lo: float | None = None, hi: float | None = None) -> DataFrame:
     """The k candidates whose predicted slack is nearest to the target, in a total order."""
-    out = candidates.withColumn("predicted_ns", F.round(F.col("slack_ns") - F.col("delay_ns") * (F.col("source_drive") / F.col("variant_drive") - 1), 12))
+    out = candidates.withColumn("predicted_ns", F.round(F.col("slack_ns") - F.col("delay_ns") * (F.col("source_drive") / F.col("variant_drive") - 1), 14))
     if lo is not None:
         out = out.where(F.col("predicted_ns") >= lo)
     if hi is not None:
@@ -317,12 +317,12 @@ query("rank_contiguity", """WITH r AS (SELECT *, row_number() OVER (PARTITION BY
     lambda t: rank_contiguity(stable_rank(t.paths, ["analysis", "hierarchy_group"], ORDER).where("not (hierarchy_group like '1%' and stable_rank = 3)"), ["analysis", "hierarchy_group"], ORDER)
 )
 LEVELS = f"""lv AS (SELECT q.path_id, q.point_index, o.endpoint, q.instance, q.ref, variant_ref, row_number() OVER (PARTITION BY q.path_id, q.point_index ORDER BY abs(variant_drive - source_drive), variant_drive, variant_ref) AS level,
-    round(delay_ns * (source_drive / variant_drive - 1), 12) AS estimate_ns FROM {{points}} q JOIN {{paths}} o ON o.path_id = q.path_id JOIN {{ladders}} ON source_ref = ref AND variant_drive < source_drive WHERE {ELIGIBLE})"""
+    round(delay_ns * (source_drive / variant_drive - 1), 14) AS estimate_ns FROM {{points}} q JOIN {{paths}} o ON o.path_id = q.path_id JOIN {{ladders}} ON source_ref = ref AND variant_drive < source_drive WHERE {ELIGIBLE})"""
 
 
 def _levels(t) -> DataFrame:
     cells = ladder_candidates(cell_eligibility(path_point_join(t.paths, t.points)), t.ladders)
-    return ladder_levels(cells, ["path_id", "point_index"]).withColumn("estimate_ns", F.round("estimate_ns", 12))
+    return ladder_levels(cells, ["path_id", "point_index"]).withColumn("estimate_ns", F.round("estimate_ns", 14))
 
 
 query("ladder_levels", f"WITH {LEVELS} SELECT path_id, point_index, variant_ref, level, estimate_ns FROM lv")(lambda t: _levels(t).select("path_id", "point_index", "variant_ref", "level", "estimate_ns"))
@@ -331,7 +331,7 @@ query("top_path_cells", """WITH a AS (SELECT *, row_number() OVER (PARTITION BY
 query("endpoint_specialists", f"WITH {LEVELS}, s AS (SELECT *, row_number() OVER (PARTITION BY endpoint ORDER BY point_index DESC, estimate_ns DESC, instance, variant_ref, path_id) AS place FROM lv) SELECT endpoint, instance, variant_ref, place FROM s WHERE place <= 3")(
     lambda t: endpoint_specialists(_levels(t)).select("endpoint", "instance", "variant_ref", "place")
 )
-query("topk_candidates", """WITH c AS (SELECT o.endpoint, q.instance, variant_ref AS new_ref, q.path_id, point_index, round(slack_ns - delay_ns * (source_drive / variant_drive - 1), 12) AS predicted_ns FROM {points} q JOIN {paths} o ON o.path_id = q.path_id JOIN {ladders} ON source_ref = ref AND variant_drive < source_drive)
+query("topk_candidates", """WITH c AS (SELECT o.endpoint, q.instance, variant_ref AS new_ref, q.path_id, point_index, round(slack_ns - delay_ns * (source_drive / variant_drive - 1), 14) AS predicted_ns FROM {points} q JOIN {paths} o ON o.path_id = q.path_id JOIN {ladders} ON source_ref = ref AND variant_drive < source_drive)
     SELECT * FROM c WHERE predicted_ns BETWEEN -0.05 AND 0.2 ORDER BY round(abs(predicted_ns - 0.01), 12), endpoint, instance, new_ref, path_id, point_index LIMIT 200""")(
     lambda t: topk_candidates(ladder_candidates(path_point_join(t.paths, t.points), t.ladders).withColumnRenamed("variant_ref", "new_ref"), 200, 0.01, -0.05, 0.2).select("endpoint", "instance", "new_ref", "path_id", "point_index", "predicted_ns")
 )
@@ -339,7 +339,7 @@ query("worst_paths", "SELECT path_id, endpoint, slack_ns FROM {paths} ORDER BY s
 query("unseen_first_quota", f"WITH {CANDIDATES}, f AS (SELECT *, row_number() OVER (PARTITION BY instance ORDER BY predicted_ns, path_id, point_index, new_ref) AS place FROM cand WHERE instance NOT IN (SELECT instance FROM {{measured}})) SELECT instance, path_id, point_index, place FROM f WHERE place <= 2 ORDER BY predicted_ns, instance, path_id, point_index, new_ref LIMIT 300")(
     lambda t: unseen_first_quota(_candidates(t), t.measured, 2, 300).select("instance", "path_id", "point_index", "place")
 )
-MINE = f"""WITH {SPLIT}, c AS (SELECT o.endpoint, q.instance, variant_ref AS new_ref, q.path_id, point_index, round(slack_ns - delay_ns * (source_drive / variant_drive - 1), 12) AS predicted_ns
+MINE = f"""WITH {SPLIT}, c AS (SELECT o.endpoint, q.instance, variant_ref AS new_ref, q.path_id, point_index, round(slack_ns - delay_ns * (source_drive / variant_drive - 1), 14) AS predicted_ns
     FROM {{paths}} o JOIN split s ON s.path_id = o.path_id JOIN {{points}} q ON q.path_id = o.path_id JOIN {{ladders}} ON source_ref = ref AND variant_drive < source_drive
     WHERE slack_ns <= 0.1 AND c + n > 0 AND c / (c + n) >= 0.7 AND n / (c + n) <= 0.3 AND {ELIGIBLE} AND q.instance IN (SELECT instance FROM {{reach}} GROUP BY instance HAVING count(*) = 1))
     SELECT endpoint, instance, new_ref, path_id, point_index, predicted_ns FROM c WHERE NOT EXISTS (SELECT 1 FROM {{measured}} m WHERE m.endpoint = c.endpoint AND m.instance = c.instance AND m.new_ref = c.new_ref)
