@@ -144,6 +144,19 @@ def test_leaks_verbatim_reparameterised_and_clean(spark):
     assert decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench.where("false")).where("size(leaks) > 0").count() == 0
 
 
+def leaks_of(items, text):
+    index = decontaminate.Index(list(enumerate(items, 1)), 13).open()
+    return {i: x for i, *x in index.leaks([text.encode().split()], decontaminate.Templates())[0]}
+
+
+def test_leaks_beside_a_conflict():
+    item = "Every morning the farmer named Alice Brown carries 12 baskets of ripe apples over 3 km to the market and sells 7 of them before noon."
+    assert leaks_of([item, item.split(" and ")[0]], "Said " + item.replace("Alice Brown", "Maria Maria")) == {1: [19, 8, 0]}
+    assert leaks_of([item], item.replace("12", "45").replace("7", "45")) == {1: [21, 0, 1]}  # up to the second 45
+    twice = "near the old mill Tom bakes bread for the whole village every day and in the long dark winter then Tom sleeps until noon because nobody buys bread in the deep snow"
+    assert leaks_of([twice], twice.replace("Tom", "Bob", 1).replace("Tom", "Ann")) == {1: [27, 5, 1]}
+
+
 def check_packing(pieces, capacity):
     by = {}
     for p in pieces:
