@@ -18,7 +18,7 @@ from millrace.llm.common import table, with_row
 from millrace.llm.words import raw_texts, words_of
 
 WINDOW = 13
-#: With changed slots an item needs so many words, and a window this share of plain words.
+#: With changed slots an item needs so many words, and a window this share of plain words; verbatim copies need neither.
 LEAST_WORDS, PLAIN_SHARE = 5, 0.5
 #: Words that are looked up together.
 AT_ONCE = 20_000
@@ -122,7 +122,8 @@ class Powers:
 class Index:
     """Windows of benchmark items: sorted hashes, and which item and place each is.
 
-    Windows of ``LEAST_WORDS`` at least with enough plain words are held by their templates.
+    Every window is held by its plain words, so that a verbatim copy is found whatever its words are.
+    Windows of ``LEAST_WORDS`` at least with enough plain words are held by their templates too.
     """
 
     BOTH = 4
@@ -140,6 +141,7 @@ class Index:
             if not words:
                 continue
             size = min(n, len(words))
+            found[size, True].append((powers.runs(powers.sums(plain), size), key, np.arange(len(words) - size + 1)))
             if len(words) >= LEAST_WORDS:
                 for tokens in self._readings(near, far):
                     slots = np.convolve(is_slot(tokens), np.ones(size, int), "valid")
@@ -306,8 +308,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_byt
     Words become template tokens: numbers, units after a number, and names (capitalised inside a
     sentence) turn into typed placeholders, other words lose case and outer punctuation.
     Windows of ``n`` tokens (a whole item if it has fewer) of the benchmark are hash-joined with
-    those of every whole text in the scan itself, from 5 words on and with plain words
-    for half of them at least. Neighbouring windows join up as long as they are verbatim or their
+    those of every whole text in the scan itself, by their plain words and, from 5 words on and with plain words
+    for half of them at least, by their tokens. Neighbouring windows join up as long as they are verbatim or their
     slots agree: one value of the item always stands for one value of the text and back. The longest such
     stretch counts.
 

@@ -157,6 +157,12 @@ def test_leaks_beside_a_conflict():
     assert leaks_of([twice], twice.replace("Tom", "Bob", 1).replace("Tom", "Ann")) == {1: [27, 5, 1]}
 
 
+def test_leaks_of_slots_and_short_items_are_verbatim():
+    items = ["1 2 4 8 16 32 64 128 256 512 1024 2048 4096 8192 16384", "Paris London Berlin Madrid Rome Vienna", "two words", "2 + 2 = 4", "***"]
+    assert leaks_of(items, f"so {items[0]} and {items[1]} with two words, 2 + 2 = 4 end ## two words") == {1: [15, 1, 0], 2: [6, 17, 0], 3: [2, 33, 0], 4: [5, 26, 0]}
+    assert leaks_of(items, "so 1 2 4 8 16 32 64 129 256 512 1024 2048 and Oslo London Berlin Madrid Rome Vienna with 3 + 3 = 6 or two other words") == {}
+
+
 def check_packing(pieces, capacity):
     by = {}
     for p in pieces:
