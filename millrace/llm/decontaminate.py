@@ -72,7 +72,7 @@ class Templates:
     def of(self, words: list[bytes], starts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Three tokens of each word of texts that begin at ``starts``: the word itself; its canonical token
         (numbers, units after numbers and names inside a sentence are placeholders, other words hashes);
-        and the token by which slots are told."""
+        and the same with every capitalised word as a name."""
         if len(self.at) > self.limit:
             self.clear()
         known = self.at
@@ -88,7 +88,7 @@ class Templates:
         units = (before & 2 > 0) & (flags & 4 > 0)
         near = np.where(before & 1, first, inside)
         near[units] = inside[units] = _UNIT
-        return self.plain[idx], near, near
+        return self.plain[idx], near, inside
 
 
 def is_slot(tokens: np.ndarray) -> np.ndarray:
@@ -123,7 +123,9 @@ class Index:
     """Windows of benchmark items: sorted hashes, and which item and place each is.
 
     Every window is held by its plain words, so that a verbatim copy is found whatever its words are.
-    Windows of ``LEAST_WORDS`` at least with enough plain words are held by their templates too.
+    Windows of ``LEAST_WORDS`` at least with enough plain words are held by their templates too, with each
+    capitalised sentence start (an item's first word is one) read both as a plain word and as a name; windows with more
+    than ``BOTH`` of them have the readings that repeat after as many.
     """
 
     BOTH = 4
@@ -311,7 +313,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_byt
     those of every whole text in the scan itself, by their plain words and, from 5 words on and with plain words
     for half of them at least, by their tokens. Neighbouring windows join up as long as they are verbatim or their
     slots agree: one value of the item always stands for one value of the text and back. The longest such
-    stretch counts.
+    stretch counts. A capitalised word at the start of a sentence is read both as a name and as a plain word.
 
     Returns doc_id, row, leaks (item_id, words, start word, changed slots), one row per input row.
     Null or empty texts and items match nothing; items that are repeated are each reported. The benchmark is the stated

@@ -163,6 +163,19 @@ def test_leaks_of_slots_and_short_items_are_verbatim():
     assert leaks_of(items, "so 1 2 4 8 16 32 64 129 256 512 1024 2048 and Oslo London Berlin Madrid Rome Vienna with 3 + 3 = 6 or two other words") == {}
 
 
+def test_leaks_do_not_depend_on_the_word_before():
+    words = "The train leaves the station for the coast at noon with 5 cars".split()
+    for n in range(6, 14):
+        item = " ".join(words[:n])
+        for text in (f"intro words {item} end", f"intro: {item} end", item):
+            assert leaks_of([item], text)[1][::2] == [n, 0]
+    assert leaks_of([" ".join(words) + ". Nobody sees it go"], "intro words " + " ".join(words))[1][::2] == [13, 0]
+    item = "Alice has 3 apples and eats one. Carl sees it."
+    for text in ("Bob has 4 apples and eats one. Dave sees it.", "so Bob has 4 apples and eats one. Carl sees it.", "So. Bob has 4 apples and eats one: carl sees it."):
+        assert leaks_of([item], text)[1][0] == 10
+    assert leaks_of([item], "Bob has 4 pears and eats one. Dave sees it.") == {}
+
+
 def check_packing(pieces, capacity):
     by = {}
     for p in pieces:
