@@ -50,7 +50,7 @@ def host_links(pages: DataFrame) -> DataFrame:
 def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """Personalised PageRank (host, score): score = seed + damping * incoming shares, ``rounds`` times.
 
-    ``seeds``: host, seed. ``edges``: src, dst, p, where p is the share of src's score that follows
+    ``seeds``: host, seed. ``edges``: src, dst, p, where p is the share of src's score that dst takes over
     the edge. Scores aren't divided by the number of hosts, so a threshold means the same at
     every size. Shares are added up before and after each shuffle; the lineage is cut in the
     shared folder.
@@ -68,7 +68,8 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, edges: D
 
     A rule decides where one fits. Elsewhere the host decides: trust starts at hosts by the share
     of their pages that rules allow and follows links forward; distrust starts at the share of
-    blocked pages and follows links backward (who links to bad hosts is suspect). A host is blocked
+    blocked pages and follows links backward (who links to bad hosts is suspect). A host takes distrust
+    by the share of its own links that lead to the distrusted host, however many others link there. A host is blocked
     if its distrust is at least ``threshold`` and above its trust; unknown hosts are allowed.
     A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed. Rows
     that repeat count as often as they occur. ``edges`` (src, dst, w) may replace the links of the html.
@@ -79,10 +80,10 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, edges: D
     hosts = written(base.where("host <> ''").groupBy("host").agg(is_("allow").alias("allowed"), is_("block").alias("blocked")))
     scores = hosts
     rounds = ROUNDS if not links.isEmpty() else 0
+    shares = links.join(links.groupBy("src").agg(F.sum("w").alias("all")), "src").select("src", "dst", (F.col("w") / F.col("all")).alias("p"))
+    shares = written(shares) if rounds else shares
     for name, seed, src, dst in (("trust", "allowed", "src", "dst"), ("distrust", "blocked", "dst", "src")):
-        out = links.groupBy(F.col(src).alias("src")).agg(F.sum("w").alias("all"))
-        own = links.select(F.col(src).alias("src"), F.col(dst).alias("dst"), "w").join(out, "src").select("src", "dst", (F.col("w") / F.col("all")).alias("p"))
-        own = written(own) if rounds else own
+        own = shares.select(F.col(src).alias("src"), F.col(dst).alias("dst"), "p")
         scores = scores.join(spread(hosts.select("host", F.col(seed).alias("seed")), own, rounds=rounds).withColumnRenamed("score", name), "host", "left")
     scores = written(scores.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
     bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))

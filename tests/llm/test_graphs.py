@@ -24,6 +24,15 @@ def test_urls(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_urls_distrust_of_a_hub_with_many_linkers(spark):
+    rows = [(0, "http://hub.net/es/", None)] + [(i, f"http://h{i}.org/", '<a href="http://hub.net/">' + '<a href="http://fine.org/">' * (i % 2)) for i in range(1, 301)]
+    rows += [(1000, "http://mixed.org/", '<a href="http://hub.net/">' + '<a href="http://fine.org/">' * 3)]
+    by = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(1, 301):
+        assert abs(by[i]["distrust"] - 0.85 / (1 + i % 2)) < 1e-9 and by[i]["verdict"] == ("allow" if i % 2 else "block")
+    assert abs(by[1000]["distrust"] - 0.85 / 4) < 1e-9 and by[1000]["verdict"] == "allow"
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(40)] + [(200, i) for i in range(201, 300)] + [(5, 5), (None, 3)]
