@@ -40,6 +40,8 @@ LIST_COST, MOST_SMALL = 3, 14
 LEAST_SMALL = 5
 #: A list of more members than this is read in blocks of BLOCK_ROWS inside tasks, without making rows of its pairs.
 HOT_LIST, BLOCK_ROWS = 128, 1024
+#: Bytes of its digest that tell a text from the others of its doc_id.
+TAG_BYTES = 7
 
 
 def lower_words(text: bytes | None) -> list[bytes]:
@@ -81,6 +83,10 @@ def boundary(sizes: dict[int, int]) -> int:
     return best
 
 
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
 def _profile(n: int):
     """Digest and set size of each document, and this task's counts of all its shingles."""
 
@@ -94,7 +100,7 @@ def _profile(n: int):
                 words = lower_words(text)
                 own = shingles(words, hashes, n)
                 np.add.at(counts, (own >> np.uint64(44)).astype(np.int64), 1)
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None)
+                digests.append(_digest(words) if words else None)
                 sizes.append(len(own))
             none = [None] * len(sizes)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, t) for v, (_, t) in zip((digests, sizes, none, none, none), fields[1:]))], names=[k for k, _ in fields])
@@ -120,9 +126,10 @@ def _emit_postings(n: int, small: int, weights):
         hashes = WordHashes()
         counts = weights.value
         for batch in pieces_of(batches, 512):
-            out_h, out_d, out_n, out_w = [], [], [], []
+            out_h, out_d, out_n, out_w, out_t = [], [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_numpy(zero_copy_only=False), raw_texts(batch.column("text"))):
-                own = shingles(lower_words(text), hashes, n)
+                words = lower_words(text)
+                own = shingles(words, hashes, n)
                 size = len(own)
                 if not size:
                     continue
@@ -142,8 +149,9 @@ def _emit_postings(n: int, small: int, weights):
                 out_w.append(np.array(w, np.int32))
                 out_d.append(np.full(len(h), doc_id, np.int64))
                 out_n.append(np.full(len(h), size, np.int32))
+                out_t.append(np.full(len(h), int.from_bytes(_digest(words)[:TAG_BYTES], "big"), np.int64))
             if out_h:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(out_h))), *(pa.array(np.concatenate(v)) for v in (out_d, out_n, out_w))], names=["h", "doc_id", "size", "w"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(out_h))), *(pa.array(np.concatenate(v)) for v in (out_d, out_n, out_w, out_t))], names=["h", "doc_id", "size", "w", "tag"])
 
     return run
 
@@ -246,7 +254,8 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
        counted block by block inside tasks; only pairs that share enough leave them.
 
     Null and empty texts have no shingles and link with nothing. A null doc_id keeps its row, with
-    a null class. Rows that repeat a doc_id are one node with the links of all of them.
+    a null class. Rows that repeat a doc_id are one node with the links of all of them; only the text that is a
+    copy leaves the lists, and pairs are counted for each size of either side.
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -260,18 +269,20 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
 
     nodes = rows.where("doc_id is not null and digest is not null")
     firsts = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    copies = written(nodes.join(firsts, "digest").where("doc_id > rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct())
+    tag = F.conv(F.hex(F.substring("digest", 1, TAG_BYTES)), 16, 10).cast("long")
+    gone = written(nodes.join(firsts, "digest").where("doc_id > rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), tag.alias("tag")).distinct())
+    copies = gone.select("a", "b")
 
     shared = spark.sparkContext.broadcast(weights)
-    postings = written(base.where("doc_id is not null").mapInArrow(_emit_postings(n, small, shared), "h long, doc_id long, size int, w int"))
+    postings = written(base.where("doc_id is not null").mapInArrow(_emit_postings(n, small, shared), "h long, doc_id long, size int, w int, tag long"))
     lists = postings.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    met = postings.join(lists, "h").join(small_side(copies.select(F.col("b").alias("doc_id")).distinct()), "doc_id", "left_anti")
+    met = postings.join(lists, "h").join(small_side(gone.select(F.col("b").alias("doc_id"), "tag").distinct()), ["doc_id", "tag"], "left_anti").drop("tag")
     # bands of sizes that may match: log base 1.25
     met = written(met.withColumn("band", F.floor(F.log("size") / F.log(F.lit(DENOM / NUMER))).cast("int")))
 
     centers = met.groupBy("h", "band").agg(F.min(F.struct("doc_id", "size")).alias("c"), F.count("*").alias("n")).where("n > 1").select("h", "band", F.col("c.doc_id").alias("a"), F.col("c.size").alias("size_a"))
-    stars = met.join(centers, ["h", "band"]).where("doc_id > a").groupBy("a", F.col("doc_id").alias("b")).agg(F.sum("w").alias("w"), F.max("size_a").alias("x"), F.max("size").alias("y"))
-    stars = written(stars.where(_fits(F.col("x"), F.col("y")) & (F.col("w") >= _needed(F.col("x"), F.col("y")))).select("a", "b"))
+    stars = met.join(centers, ["h", "band"]).where("doc_id > a").groupBy("a", F.col("doc_id").alias("b"), F.col("size_a").alias("x"), F.col("size").alias("y")).agg(F.sum("w").alias("w"))
+    stars = written(stars.where(_fits(F.col("x"), F.col("y")) & (F.col("w") >= _needed(F.col("x"), F.col("y")))).select("a", "b").distinct())
     links = copies.unionByName(verified(stars, base, n))
 
     classes = written(components(links))
@@ -287,7 +298,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     left = cold.select("h", F.col("cls").alias("c1"), F.col("doc_id").alias("d1"), F.col("size").alias("s1"), "w")
     right = cold.select("h", F.col("cls").alias("c2"), F.col("doc_id").alias("d2"), F.col("size").alias("s2"))
     pairs = meet.join(left, ["h", "c1"]).join(right, ["h", "c2"]).where(_fits(F.col("s1"), F.col("s2")))
-    pairs = pairs.groupBy(F.least("d1", "d2").alias("a"), F.greatest("d1", "d2").alias("b")).agg(F.sum("w").alias("w"), F.max("s1").alias("x"), F.max("s2").alias("y"))
+    pairs = pairs.groupBy(F.least("d1", "d2").alias("a"), F.greatest("d1", "d2").alias("b"), F.col("s1").alias("x"), F.col("s2").alias("y")).agg(F.sum("w").alias("w"))
     pairs = pairs.where(F.col("w") >= _needed(F.col("x"), F.col("y"))).select("a", "b")
     # pairs that share a hot list, counted over all the lists of both
     members = classed.join(sizes, "h").withColumn("chunks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))

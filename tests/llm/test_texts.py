@@ -121,6 +121,14 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, hot):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_jaccard(rows)
 
 
+def test_jaccard_ids_with_several_texts(spark):
+    one, two = (" ".join(f"{k}{j}" for j in range(60)) for k in "ab")
+    rows = [(1, one), (5, one), (5, two), (8, two), (9, two + " more"), (20, "c d e f g h i j"), (21, "c d e f g h i j"), (21, "p q r s t u v w x y z"), (22, "p q r s t u v w x y z a")]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_jaccard(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {1: 1, 5: 1, 8: 1, 9: 1, 20: 20, 21: 20, 22: 20}
+
+
 def test_jaccard_empty_table_and_subset_sizes(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     for a in range(1, 15):  # linked small sets share an enumerated subset size
