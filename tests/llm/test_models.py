@@ -70,6 +70,44 @@ def test_severity_grows_with_toxic_words(spark):
     assert toxicity.score(docs, None).where("toxic").count() == 0
 
 
+def test_ordinal_gradients_and_probabilities():
+    rng = np.random.default_rng(4)
+    n, m = 12, 5
+    rows, cols = np.repeat(np.arange(n), 2), rng.integers(0, m, 2 * n)
+    values, grades, weight = rng.random(2 * n) + 0.5, rng.integers(0, 4, n), rng.random(n)
+    w, first, gaps = rng.standard_normal(m), 0.3, np.array([0.2, -0.4])
+    total, g_w, g_first, g_gaps = toxicity.gradients(w, first, gaps, rows, cols, values, grades, weight)
+    cuts = [first, first + np.exp(0.2), first + np.exp(0.2) + np.exp(-0.4)]
+    by_hand = 0.0
+    for i in range(n):
+        score = sum(w[c] * v for r, c, v in zip(rows, cols, values) if r == i)
+        above = [1.0, *(1 / (1 + np.exp(c - score)) for c in cuts), 0.0]
+        by_hand += weight[i] * np.log(above[grades[i]] - above[grades[i] + 1])
+    assert abs(total - by_hand) < 1e-9
+    value = lambda w_, f_, g_: toxicity.gradients(w_, f_, g_, rows, cols, values, grades, weight)[0]
+    for j in range(m):
+        e = np.eye(m)[j] * 1e-6
+        assert abs((value(w + e, first, gaps) - value(w - e, first, gaps)) / 2e-6 - g_w[j]) < 1e-6
+    assert abs((value(w, first + 1e-6, gaps) - value(w, first - 1e-6, gaps)) / 2e-6 - g_first) < 1e-6
+    for k in range(2):
+        e = np.eye(2)[k] * 1e-6
+        assert abs((value(w, first, gaps + e) - value(w, first, gaps - e)) / 2e-6 - g_gaps[k]) < 1e-6
+
+
+def test_toxicity_edges(spark):
+    rng = random.Random(9)
+    rows = [(i, text(rng, "aa", 30) + (" awful" * 3 if i % 2 else ""), {"a": 1}) for i in range(80)]
+    rows += [(7, "fine words " * 40_000 + "awful", None), (3, None, None), (None, "awful awful", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, severity map<string,int>")
+    labels = spark.createDataFrame([(i, i % 2 * (1 + i % 3)) for i in range(80)] * 2, "doc_id long, toxic int")
+    model = toxicity.fit_labelled(docs, labels)
+    assert len(model.cuts) == 3  # labels of several grades are taken as they are
+    got = {(r["doc_id"], bool(r["row"]["severity"])): r["toxic"] for r in toxicity.score(docs, model).collect()}
+    assert got[(5, True)] and got[(None, False)] and not got[(4, True)] and not got[(3, False)] and (7, False) in got
+    empty = docs.where("false")
+    assert toxicity.fit_labelled(empty, labels) is None and toxicity.score(empty, model).count() == 0
+
+
 def test_quality_shrinks_sparse_sites(spark):
     rows = [("big", "big/a", 0.9)] * 50 + [("big", "big/b", 0.1)] * 50 + [("small", "small/a", 0.2)] + [("bad", "bad/a", 0.05)] * 60
     got = quality.posterior(spark.createDataFrame(rows, "host string, path string, p double")).collect()
