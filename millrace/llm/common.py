@@ -60,6 +60,19 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def later_of_equals(rows: DataFrame, key: str, order: str, hot: int = 1000) -> DataFrame:
+    """Those ``rows`` (a written table, nothing null) beside which a row of equal ``key`` has a smaller ``order``; adds ``first``, the smallest.
+
+    Keys of more than ``hot`` rows are at most rows / hot; they are joined by broadcast (where their count allows),
+    so that no task gets all rows of such a key.
+    """
+    firsts = written(rows.groupBy(key).agg(F.min(order).alias("first"), F.count("*").alias("_n")).where("_n > 1"))
+    many = small_side(firsts.where(F.col("_n") > hot).drop("_n"))
+    few = firsts.where(F.col("_n") <= hot).drop("_n")
+    rest = rows.join(many.select(key), key, "left_anti").join(few, key)
+    return rows.join(many, key).unionByName(rest).where(F.col(order) > F.col("first"))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, small_side, table, written
+from millrace.llm.common import components, later_of_equals, small_side, table, written
 from millrace.llm.words import WordHashes, pieces_of, raw_texts, shingles, signed, words_of
 
 SHINGLE = 5
@@ -268,9 +268,8 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     small = boundary({r["n_shingles"]: r["n"] for r in rows.where(F.col("n_shingles").between(1, MOST_SMALL)).groupBy("n_shingles").agg(F.count("*").alias("n")).collect()})
 
     nodes = rows.where("doc_id is not null and digest is not null")
-    firsts = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     tag = F.conv(F.hex(F.substring("digest", 1, TAG_BYTES)), 16, 10).cast("long")
-    gone = written(nodes.join(firsts, "digest").where("doc_id > rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), tag.alias("tag")).distinct())
+    gone = written(later_of_equals(nodes, "digest", "doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b"), tag.alias("tag")).distinct())
     copies = gone.select("a", "b")
 
     shared = spark.sparkContext.broadcast(weights)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import BROADCAST_ROWS, small_side, table, with_row, written
+from millrace.llm.common import BROADCAST_ROWS, later_of_equals, small_side, table, with_row, written
 from millrace.llm.words import WordHashes, pieces_of, raw_texts, signed, sliding, sliding_argmin, words_of
 
 WINDOW = 13
@@ -111,27 +111,45 @@ class SuffixAutomaton:
         return out
 
 
-def _minimizers(a: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each ``n``-word window: the position and hash of its minimizer."""
-    grams = sliding(a, k)
-    at = sliding_argmin(grams, n - k + 1)
-    return at, grams[at]
+class Windows:
+    """The ``n``-word windows of a slice of texts, with the minimizer of each, worked out for all texts at once."""
+
+    def __init__(self, texts: list[bytes | None], hashes: WordHashes, n: int, k: int):
+        self.words: list[bytes] = []
+        ends = []
+        for text in texts:
+            self.words += words_of(text)
+            ends.append(len(self.words))
+        self.hashed = hashes.of(self.words)
+        self.begins = np.array([0, *ends[:-1]], np.int64)
+        of = np.repeat(np.arange(len(texts)), np.diff([0, *ends]))
+        if len(self.words) < n:
+            self.at = self.row = self.place = np.zeros(0, np.int64)
+            self.minimizer = np.zeros(0, np.uint64)
+            return
+        grams = sliding(self.hashed, k)
+        place = sliding_argmin(grams, n - k + 1)
+        self.at = np.nonzero(of[: len(place)] == of[n - 1 :])[0]  # windows that lie in one text
+        self.row, self.place = of[self.at], place[self.at]
+        self.minimizer = grams[self.place]
 
 
 def _emit_minimizers(n: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in pieces_of(batches):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            rows, owners = [], []
-            for doc_id, text in zip(ids, raw_texts(batch.column("text"))):
-                words = words_of(text)
-                if len(words) >= n:
-                    own = np.unique(_minimizers(hashes.of(words), n, k)[1])
-                    rows.append(own)
-                    owners.append(np.full(len(own), doc_id, np.int64))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(rows))), pa.array(np.concatenate(owners))], names=["mhash", "doc_id"])
+            w = Windows(raw_texts(batch.column("text")), hashes, n, k)
+            if not len(w.at):
+                continue
+            new = np.ones(len(w.at), bool)  # windows next to each other mostly have one minimizer
+            new[1:] = np.diff(w.place) != 0
+            row, m = w.row[new], signed(w.minimizer[new])
+            order = np.lexsort((m, row))
+            row, m = row[order], m[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (np.diff(row) != 0) | (np.diff(m) != 0)
+            yield pa.RecordBatch.from_arrays([pa.array(m[new]), pa.array(ids[row[new]])], names=["mhash", "doc_id"])
 
     return run
 
@@ -140,35 +158,31 @@ def _emit_segments(n: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in pieces_of(batches):
-            ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
-            shared = batch.column("shared")
-            common = batch.column("common")
-            out = ([], [], [], [], [])
-            for i, text in enumerate(raw_texts(batch.column("text"))):
-                words = words_of(text)
-                if len(words) < n:
-                    continue
-                a = hashes.of(words)
-                at, best = _minimizers(a, n, k)
-                m = signed(best)
-                plain = np.isin(m, np.asarray(shared[i].values))
-                single = np.isin(m, np.asarray(common[i].values))
-                edge = np.nonzero(np.diff(at))[0] + 1
-                lo = np.concatenate(([0], edge))
-                hi = np.concatenate((edge, [len(at)]))
-                runs = [(int(x), int(y), int(m[x])) for x, y in zip(lo, hi) if plain[x]]
-                if single.any():
-                    whole = signed(sliding(a, n))
-                    runs += [(int(x), int(x) + 1, int(whole[x])) for x in np.nonzero(single)[0]]
-                for x, y, route in runs:
-                    out[0].append(ids[i])
-                    out[1].append(keys[i])
-                    out[2].append(x)
-                    out[3].append(route)
-                    out[4].append(b" ".join(words[x : y + n - 1]))
-            if out[0]:
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=["doc_id", "text_key", "start", "route", "segment"])
+            ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "text_key"))
+            w = Windows(raw_texts(batch.column("text")), hashes, n, k)
+            if not len(w.at):
+                continue
+            # whether a minimizer is shared or common is the same for all documents
+            shared, common = (np.unique(batch.column(c).flatten().to_numpy(zero_copy_only=False)) for c in ("shared", "common"))
+            m = signed(w.minimizer)
+            first = np.ones(len(m), bool)
+            first[1:] = (np.diff(w.place) != 0) | (np.diff(w.row) != 0)
+            lo = np.nonzero(first)[0]
+            hi = np.append(lo[1:], len(m))
+            plain = np.isin(m[lo], shared)
+            lo, hi = lo[plain], hi[plain]
+            route = m[lo]
+            single = np.nonzero(np.isin(m, common))[0]
+            if len(single):
+                lo, hi = np.concatenate((lo, single)), np.concatenate((hi, single + 1))
+                route = np.concatenate((route, signed(sliding(w.hashed, n)[w.at[single]])))
+            if not len(lo):
+                continue
+            row, x, y = w.row[lo], w.at[lo], w.at[hi - 1] + n
+            words, join = w.words, b" ".join
+            segments = [join(words[i:j]) for i, j in zip(x.tolist(), y.tolist())]
+            arrays = (pa.array(ids[row]), pa.array(keys[row]), pa.array((x - w.begins[row]).astype(np.int32)), pa.array(route), pa.array(segments, pa.binary()))
+            yield pa.RecordBatch.from_arrays(list(arrays), names=["doc_id", "text_key", "start", "route", "segment"])
 
     return run
 
@@ -244,18 +258,17 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _later_copies(base: DataFrame) -> DataFrame:
     """(doc_id, text_key) of rows whose whole text a smaller doc_id has too."""
     own = base.where("doc_id is not null and text is not null").select("doc_id", "text_key", F.unhex(F.md5("text")).alias("digest"))
-    firsts = own.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    return written(own.join(firsts, "digest").where("doc_id > first").select("doc_id", "text_key").distinct())
+    return written(later_of_equals(written(own), "digest", "doc_id").select("doc_id", "text_key").distinct())
 
 
 def repeated_spans(base: DataFrame, n: int = WINDOW, k: int = GRAM, common: int = COMMON, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Windows of ``n`` words that also start in a row with a smaller doc_id.
 
-    ``base``: doc_id, text, text_key. Returns doc_id, text_key and spans: array of (start, at), where
-    the windows at words start + at repeat. Only rows with such windows appear.
+    ``base``: doc_id, text, text_key. Returns doc_id, text_key and starts: the words at which such windows
+    begin. Only rows with such windows appear.
     """
     base = base.where("doc_id is not null").select("doc_id", "text_key", "text")
-    seen = base.mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long")
+    seen = written(base.mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long"))
     counts = seen.groupBy("mhash").agg(F.count("*").alias("n")).where("n > 1")
     # hot minimizers: Spark splits the skewed side of this join
     per_doc = seen.join(counts, "mhash").select("doc_id", "mhash", "n").repartition("doc_id").groupBy("doc_id").agg(
@@ -266,33 +279,31 @@ def repeated_spans(base: DataFrame, n: int = WINDOW, k: int = GRAM, common: int
     distinct = segments.groupBy("route", "segment").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
     shards = distinct.repartition("route").sortWithinPartitions("route")
     answers = shards.mapInArrow(_match_shards(n, shard_words), "segment binary, owners array<long>").select(F.unhex(F.md5("segment")).alias("key"), "owners")
-    hits = F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), i)), lambda x: x.isNotNull())
-    told = segments.select(F.unhex(F.md5("segment")).alias("key"), "doc_id", "text_key", "start").join(answers, "key").select("doc_id", "text_key", F.struct("start", hits.alias("at")).alias("s"))
-    return told.where(F.size("s.at") > 0).repartition("doc_id").groupBy("doc_id", "text_key").agg(F.collect_list("s").alias("spans"))
+    hits = F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
+    told = segments.select(F.unhex(F.md5("segment")).alias("key"), "doc_id", "text_key", "start").join(answers, "key").select("doc_id", "text_key", hits.alias("at"))
+    return told.where(F.size("at") > 0).repartition("doc_id").groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("at")).alias("starts"))
 
 
 def _cut(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             kept, counts, removed = [], [], []
-            for text, spans, copied in zip(raw_texts(batch.column("text")), batch.column("spans").to_pylist(), batch.column("copied").to_pylist()):
+            for text, starts, copied in zip(raw_texts(batch.column("text")), batch.column("starts"), batch.column("copied").to_pylist()):
                 words = words_of(text)
                 counts.append(len(words))
                 if copied and len(words) >= n:
                     words = []
-                elif spans and words:
+                elif words and starts.is_valid:
+                    at = starts.values.to_numpy(zero_copy_only=False)
                     gone = np.zeros(len(words) + 1, np.int32)
-                    for s in spans:
-                        at = np.asarray(s["at"]) + s["start"]
-                        np.add.at(gone, at, 1)
-                        np.add.at(gone, at + n, -1)
+                    np.add.at(gone, at, 1)
+                    np.add.at(gone, at + n, -1)
                     words = [w for w, over in zip(words, np.cumsum(gone[:-1]).tolist()) if not over]
                 kept.append(b" ".join(words))
                 removed.append(counts[-1] - len(words))
-            names = [c for c in batch.schema.names if c not in ("spans", "copied")]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "kept_text", "n_words", "n_removed"]
-            )
+            names = [c for c in batch.schema.names if c not in ("starts", "copied")]
+            more = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *more], names=[*names, "kept_text", "n_words", "n_removed"])
 
     return run
 
@@ -315,13 +326,13 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     marked = base.join(copied.withColumn("copied", F.lit(True)), ["doc_id", "text_key"], "left")
     if touched.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # then only texts with repeats are shuffled
         ids = F.broadcast(touched)
-        plain = marked.join(ids, ["doc_id", "text_key"], "left_anti").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+        plain = marked.join(ids, ["doc_id", "text_key"], "left_anti").withColumn("starts", F.lit(None).cast("array<int>"))
         marked = marked.join(ids, ["doc_id", "text_key"], "left_semi").join(spans, ["doc_id", "text_key"]).unionByName(plain)
     else:
         marked = marked.join(spans, ["doc_id", "text_key"], "left")
     fields = [base.schema["doc_id"], base.schema["text"], base.schema["row"]]
     schema = T.StructType([*fields, T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return marked.select("doc_id", "text", "row", "spans", "copied").mapInArrow(_cut(n), schema)
+    return marked.select("doc_id", "text", "row", "starts", "copied").mapInArrow(_cut(n), schema)
 
 
 def cut_rows(docs: DataFrame, n: int = WINDOW) -> DataFrame:
