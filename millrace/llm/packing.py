@@ -15,13 +15,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table, written
+from millrace.llm.common import small_side, table, written
 from millrace.llm.words import raw_texts, words_of
 
 CAPACITY = 4096
 END_ID = 1
-#: Rows of one length are numbered in this many independent groups, so that a common length is no single task.
-RANK_GROUPS = 256
+#: Pieces of one length are numbered in groups of about this many, so that a common length is no single task.
+GROUP_ROWS = 100_000
+#: Patterns are of up to this many pieces, by length bands of equal width.
+MOST_DOCS, BANDS = 6, 48
+#: Room that a sequence of a fitted pattern may leave.
+SPARE = 4
+#: Pieces of this many shortest bands are in no pattern: they stay to fill up sequences.
+FILLERS = 1
 
 
 def default_tokenizer() -> str:
@@ -77,7 +83,10 @@ class ChunkIds:
     def _stem(self, word: bytes) -> tuple[bytes, bytes]:
         if self.by_stem:
             stem = word.rstrip(TAIL)
-            if stem.isalpha() or (stem and b"<|" not in word and stem.decode()[-1].isalpha()):  # bytes.isalpha: ASCII alone
+            if stem.isalpha():  # bytes.isalpha: ASCII alone
+                return stem.lower(), word[len(stem) :]
+            # a Latin letter at the end that lower-cases to one letter is parted from the marks by any word vocabulary
+            if stem and b"<|" not in word and (last := stem.decode()[-1]) < "\u0250" and last.isalpha() and len(last.lower()) == 1:
                 return stem.lower(), word[len(stem) :]
         return word, b""
 
@@ -161,31 +170,34 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: i
 # --- the plan, from the histogram of piece lengths (at most ``capacity`` numbers) ------------
 
 
-def candidate_patterns(lengths: list[int], capacity: int, most_docs: int = 4, per_length: int = 12) -> list[tuple[int, ...]]:
-    """Patterns of two to ``most_docs`` present lengths that leave no or very little room.
+def bands_of(histogram: dict[int, int], capacity: int, bands: int = BANDS) -> dict[int, tuple[int, float]]:
+    """Length bands of equal width that hold pieces: band -> (pieces, mean length)."""
+    held: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+    for length, n in histogram.items():
+        own = held[(length - 1) * bands // capacity]
+        own[0] += n
+        own[1] += n * length
+    return {k: (n, total / n) for k, (n, total) in sorted(held.items()) if n}
 
-    For each length a few partners spread over the present lengths are tried; the last place is
-    filled by the largest present length that fits.
-    """
-    found: set[tuple[int, ...]] = set()
-    if not lengths:
-        return []
-    spread = [lengths[round(i * (len(lengths) - 1) / max(1, per_length - 1))] for i in range(per_length)]
-
-    def close(parts: list[int]) -> None:
-        room = capacity - sum(parts)
-        at = bisect_left(lengths, room + 1) - 1
-        if at >= 0 and room - lengths[at] <= capacity // 256:
-            found.add(tuple(sorted((*parts, lengths[at]), reverse=True)))
-
-    for first in lengths:
-        close([first])
-        level = [[first]]
-        for _ in range(most_docs - 2):
-            level = [[*p, s] for p in level[:per_length] for s in spread if s <= p[-1] and sum(p) + s < capacity]
-            for parts in level:
-                close(parts)
-    return sorted(found, reverse=True)
+
+def candidate_patterns(bands: dict[int, tuple[int, float]], capacity: int, most_docs: int = MOST_DOCS, room: float = 1 / BANDS) -> list[tuple[int, ...]]:
+    """All patterns of up to ``most_docs`` bands whose mean lengths fill a sequence up to ``room`` of it."""
+    order = sorted((k for k in bands if k >= FILLERS), reverse=True)
+    mean = [bands[k][1] for k in order]
+    found: list[tuple[int, ...]] = []
+
+    def extend(parts: tuple[int, ...], total: float, at: int) -> None:
+        if parts and total >= capacity * (1 - room):
+            found.append(parts)
+        left = most_docs - len(parts)
+        for i in range(at, len(order)) if left else ():
+            if total + mean[i] * left < capacity * (1 - room):
+                break  # bands after this one are shorter still
+            if total + mean[i] <= capacity:
+                extend((*parts, order[i]), total + mean[i], i)
+
+    extend((), 0.0, 0)
+    return found
 
 
 def fit_counts(patterns: list[tuple[int, ...]], histogram: dict[int, int], sweeps: int = 30) -> np.ndarray:
@@ -213,8 +225,11 @@ def fit_counts(patterns: list[tuple[int, ...]], histogram: dict[int, int], sweep
     return np.array(x)
 
 
-def best_fit(histogram: dict[int, int], capacity: int) -> Counter:
-    """Best-fit decreasing of a histogram, many equal sequences at a time: pattern -> repeats."""
+def best_fit(histogram: dict[int, int], capacity: int, begun: Counter | None = None) -> Counter:
+    """Best-fit decreasing of a histogram, many equal sequences at a time: pattern -> repeats.
+
+    ``begun``: sequences that hold pieces already; those with room take more, and all are in the result.
+    """
     open_bins: dict[int, Counter] = defaultdict(Counter)  # room -> pattern -> how many
     rooms: list[int] = []
 
@@ -223,6 +238,8 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Counter:
             insort(rooms, room)
         open_bins[room][pattern] += n
 
+    for pattern, n in sorted((begun or {}).items(), reverse=True):
+        put(capacity - sum(pattern), pattern, n)
     for length in sorted((k for k, n in histogram.items() if n), reverse=True):
         left = histogram[length]
         while left:
@@ -253,32 +270,76 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Counter:
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(pattern, repeats) that together use every counted length exactly.
+def fitted(histogram: dict[int, int], capacity: int) -> Counter:
+    """Patterns with their fitted repeats, rounded to whole ones, as the lengths of real pieces: lengths -> repeats.
 
-    Fitted repeats are rounded down and kept within what is left of each length; what the fitted
-    patterns leave over is packed by ``best_fit``. If best fit alone needs fewer sequences, its
-    patterns are taken.
+    Repeats are fitted to the histogram of bands and rounded by largest remainder. In a pattern each place but the last takes the
+    longest pieces left in its band, and the last the longest piece that still fits, many equal sequences at a time.
     """
+    bands = bands_of(histogram, capacity)
+    patterns = candidate_patterns(bands, capacity)
+    x = fit_counts(patterns, {k: n for k, (n, _) in bands.items()})
+    repeats = np.floor(x).astype(int)
+    for j in np.argsort(repeats - x, kind="stable")[: int(round((x - repeats).sum()))]:
+        repeats[j] += 1
     left = dict(histogram)
+    lengths = sorted(left)
+    in_band: dict[int, list[int]] = defaultdict(list)
+    for length in lengths:
+        in_band[(length - 1) * BANDS // capacity].append(length)
     chosen: Counter = Counter()
-    patterns = candidate_patterns(sorted(k for k in left if k < capacity), capacity)
-    for pattern, x in sorted(zip(patterns, fit_counts(patterns, left), strict=True), key=lambda p: -sum(p[0])):
-        need = Counter(pattern)
-        n = min(int(x), *(left[length] // k for length, k in need.items()))
-        if n > 0:
-            chosen[pattern] += n
+
+    def longest(of: list[int], most: int, taken: list[int]) -> int | None:
+        """The longest piece of at most ``most`` that is left beside ``taken``; lengths that are used up leave ``of``."""
+        at = bisect_left(of, most + 1) - 1
+        while at >= 0:
+            if not left[of[at]]:
+                of.pop(at)
+            elif left[of[at]] > taken.count(of[at]):
+                return of[at]
+            at -= 1
+        return None
+
+    for j in np.argsort([len(p) for p in patterns], kind="stable").tolist():
+        todo = int(repeats[j])
+        while todo > 0:
+            own: list[int] = []
+            for k in patterns[j][:-1]:
+                if (got := longest(in_band[k], capacity - sum(own), own)) is None:
+                    break
+                own.append(got)
+            if len(own) < len(patterns[j]) - 1 or (got := longest(lengths, capacity - sum(own), own)) is None:
+                break
+            own.append(got)
+            if capacity - sum(own) > SPARE or (got - 1) * BANDS // capacity < max(FILLERS, patterns[j][-1] - 1):
+                break  # a later pattern or best fit makes more of these pieces
+            need = Counter(own)
+            n = min(todo, *(left[length] // k for length, k in need.items()))
+            chosen[tuple(sorted(own, reverse=True))] += n
+            todo -= n
             for length, k in need.items():
                 left[length] -= n * k
-    chosen.update(best_fit(left, capacity))
-    alone = best_fit(histogram, capacity)
-    return sorted((alone if sum(alone.values()) < sum(chosen.values()) else chosen).items(), reverse=True)
+    return chosen
 
 
-def _assign(steps: dict[int, np.ndarray]):
-    """steps: length -> rows (first rank, first sequence, offset), sorted by first rank."""
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """(pattern, repeats) that together use every counted length exactly.
+
+    What the fitted patterns leave over is packed by ``best_fit`` into the room they leave and into new sequences.
+    """
+    chosen = fitted(histogram, capacity)
+    left = Counter(histogram)
+    for pattern, n in chosen.items():
+        for length in pattern:
+            left[length] -= n
+    return sorted(best_fit(left, capacity, chosen).items(), reverse=True)
+
+
+def _assign(shared):
+    """shared: length -> rows (first rank, first sequence, offset), sorted by first rank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps: dict[int, np.ndarray] = shared.value
         for batch in batches:
             length = batch.column("length").to_numpy()
             rank = batch.column("rank").to_numpy()
@@ -300,17 +361,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to pieces (any columns besides a ``length`` of 1..capacity).
 
     The histogram of lengths (at most ``capacity`` rows) is all that reaches the driver; there the
-    plan is made. Every piece gets its rank among the pieces of its length (grouped counts give
-    each of RANK_GROUPS groups its first rank), and the plan maps ranges of ranks to a
-    place in a run of equal sequences. No pieces give no rows.
+    plan is made. Every piece gets its rank among the pieces of its length: a length is numbered in groups of
+    about GROUP_ROWS rows, and grouped counts give each group its first rank. The plan maps ranges of ranks to a
+    place in a run of equal sequences. No pieces give no rows; pieces that repeat are packed as often as they occur.
     """
     spark = pieces.sparkSession
-    names = pieces.columns
-    held = written(pieces.withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANK_GROUPS)).cast("int")))
-    counts = held.groupBy("length", "_g").count()
-    firsts = counts.withColumn("_first", F.sum("count").over(Window.partitionBy("length").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1))).select("length", "_g", F.coalesce("_first", F.lit(0)).alias("_first"))
-    firsts = written(firsts)
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
+    held = written(pieces.withColumn("_u", F.monotonically_increasing_id()))
+    histogram = {r["length"]: r["count"] for r in held.groupBy("length").count().collect()}
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    if not histogram:
+        return spark.createDataFrame([], f"{fields}, sequence_id long, offset long")
     steps: dict[int, list] = defaultdict(list)
     used: Counter = Counter()
     base = 0
@@ -321,13 +381,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             used[length] += repeats
             offset += length
         base += repeats
-    tables = {length: np.array(rows, np.int64) for length, rows in steps.items()}
-    order = Window.partitionBy("length", "_g").orderBy("doc_id", "piece")
-    ranked = held.withColumn("_n", F.row_number().over(order) - 1)
-    # capacity * RANK_GROUPS rows at most
-    ranked = ranked.join(F.broadcast(firsts), ["length", "_g"]).select(*names, (F.col("_first") + F.col("_n")).cast("long").alias("rank"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInArrow(_assign(tables), f"{fields}, sequence_id long, offset long") if tables else spark.createDataFrame([], f"{fields}, sequence_id long, offset long")
+    tables = spark.sparkContext.broadcast({length: np.array(rows, np.int64) for length, rows in steps.items()})
+
+    groups = spark.createDataFrame([(k, -(-n // GROUP_ROWS)) for k, n in histogram.items()], "length long, _groups long")
+    grouped = held.withColumn("length", F.col("length").cast("long")).join(F.broadcast(groups), "length").withColumn("_g", F.pmod(F.xxhash64("_u"), F.col("_groups")))
+    counts = grouped.groupBy("length", "_g").count()
+    before = Window.partitionBy("length").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = written(counts.select("length", "_g", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first")))
+    order = Window.partitionBy("length", "_g").orderBy("doc_id", "piece", "_u")
+    ranked = grouped.withColumn("_n", F.row_number().over(order) - 1).join(small_side(firsts), ["length", "_g"])
+    ranked = ranked.select(*(F.col(f.name).cast(f.dataType) for f in pieces.schema.fields), (F.col("_first") + F.col("_n")).cast("long").alias("rank"))
+    return ranked.mapInArrow(_assign(tables), f"{fields}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:

@@ -232,6 +232,29 @@ def test_whole_text_vocabulary_is_not_cut_into_chunks():
     assert np.frombuffer(b"".join(m.encoded([m.split(text.encode())])[0]), "<u4").tolist() == m.encoder.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_random_strings_are_those_of_whole_texts():
+    rng = random.Random(11)
+    letters = [*"aAbZzéÉİıſßẞKÅσΣςǅŉΐﬁ%.,;:!?*&$#'’st|<>_-0१½ \n\t", "\u0085", "\u0327", "\u0338", "\u0301", "\u3000", "你", "हि", "א", "😀", "\u200d", "'s", "'re", "<|endoftext|>", "<|", "|>", "İ%", "e\u0301", "straße"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) for _ in range(20_000)] + ["İ% hello", "x" * 5000, "%" * 3000]
+    m = packing.ChunkIds(packing.default_tokenizer())
+    assert m.by_chunk and m.by_stem and m.by_merges
+    for lo in range(0, len(texts), 256):
+        some = texts[lo : lo + 256]
+        for t, ids in zip(some, m.encoded([m.split(t.encode()) for t in some])):
+            assert np.frombuffer(b"".join(ids), "<u4").tolist() == m.encoder.encode(t, add_special_tokens=False).ids, t
+
+
+def test_patterns_place_most_pieces():
+    rng = random.Random(8)
+    histogram = {}
+    for _ in range(4000):
+        k = min(4096, int(rng.expovariate(1 / 900)) + 1)
+        histogram[k] = histogram.get(k, 0) + 1
+    chosen = packing.fitted(histogram, 4096)
+    assert all(sum(p) <= 4096 for p in chosen) and sum(n * len(p) for p, n in chosen.items()) > 2000
+    assert sum(n for _, n in packing.plan(histogram, 4096)) <= -(-sum(k * n for k, n in histogram.items()) // 4096) + 1
+
+
 def test_plan_uses_every_length_once():
     rng = random.Random(6)
     histogram = {}
