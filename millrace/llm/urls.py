@@ -15,6 +15,10 @@ THRESHOLD = 0.5
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 
 
+#: Hosts that have a parent domain.
+PARENT = r"^[^.]*\.[^.]+\.[^.]"
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -42,9 +46,14 @@ def ruled(pages: DataFrame, rules: tuple[tuple[str, str], ...]) -> DataFrame:
 
 
 def host_links(pages: DataFrame) -> DataFrame:
-    """Weighted edges (src, dst, w) between different hosts: anchors with a host in a page's html."""
+    """Weighted edges (src, dst, w) between different hosts: anchors with a host in a page's html, and links between a host and
+    its parent domain (the host without its first label, if a dot is left)."""
     found = pages.where("host <> ''").select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("dst"))
-    return found.select("src", lower_ascii(F.col("dst")).alias("dst")).where("src <> dst and dst <> ''").groupBy("src", "dst").agg(F.count("*").cast("double").alias("w"))
+    anchors = found.select("src", lower_ascii(F.col("dst")).alias("dst"), F.lit(1.0).alias("w")).where("src <> dst and dst <> ''")
+    # a host and its parent domain vouch for each other: one link each way for every host that has pages
+    under = pages.where(F.col("host").rlike(PARENT)).select("host", F.regexp_replace("host", r"^[^.]*\.", "").alias("parent")).distinct()
+    family = under.select(F.col("host").alias("src"), F.col("parent").alias("dst"), F.lit(1.0).alias("w")).unionAll(under.select("parent", "host", F.lit(1.0)))
+    return anchors.unionAll(family).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
 def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
@@ -79,12 +88,10 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, edges: D
     is_ = lambda v: F.avg(F.when(F.col("rule_verdict") == v, 1.0).otherwise(0.0))
     hosts = written(base.where("host <> ''").groupBy("host").agg(is_("allow").alias("allowed"), is_("block").alias("blocked")))
     scores = hosts
-    rounds = ROUNDS if not links.isEmpty() else 0
-    shares = links.join(links.groupBy("src").agg(F.sum("w").alias("all")), "src").select("src", "dst", (F.col("w") / F.col("all")).alias("p"))
-    shares = written(shares) if rounds else shares
+    shares = written(links.join(links.groupBy("src").agg(F.sum("w").alias("all")), "src").select("src", "dst", (F.col("w") / F.col("all")).alias("p")))
     for name, seed, src, dst in (("trust", "allowed", "src", "dst"), ("distrust", "blocked", "dst", "src")):
         own = shares.select(F.col(src).alias("src"), F.col(dst).alias("dst"), "p")
-        scores = scores.join(spread(hosts.select("host", F.col(seed).alias("seed")), own, rounds=rounds).withColumnRenamed("score", name), "host", "left")
+        scores = scores.join(spread(hosts.select("host", F.col(seed).alias("seed")), own).withColumnRenamed("score", name), "host", "left")
     scores = written(scores.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
     bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
     judged = base.drop("html", "url").join(small_side(scores), "host", "left")
@@ -109,9 +116,11 @@ def _oracle() -> str:
         f"r AS MATERIALIZED (SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS rv FROM u)",
         "h AS MATERIALIZED (SELECT host, avg(CASE WHEN rv = 'allow' THEN 1.0 ELSE 0.0 END) AS allow, avg(CASE WHEN rv = 'block' THEN 1.0 ELSE 0.0 END) AS block FROM r WHERE host <> '' GROUP BY host)",
         f"e0 AS (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {az}) AS dst FROM r WHERE host <> '')",
-        "e AS MATERIALIZED (SELECT src, dst, count(*)::DOUBLE AS w FROM e0 WHERE src <> dst AND dst <> '' GROUP BY ALL)",
+        f"f AS (SELECT host, regexp_replace(host, '^[^.]*\\.', '') AS parent FROM h WHERE regexp_matches(host, '{PARENT}'))",
+        "e1 AS (SELECT src, dst FROM e0 WHERE src <> dst AND dst <> '' UNION ALL SELECT host, parent FROM f UNION ALL SELECT parent, host FROM f)",
+        "e AS MATERIALIZED (SELECT src, dst, count(*)::DOUBLE AS w FROM e1 GROUP BY ALL)",
         "fw AS MATERIALIZED (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS p FROM e)",
-        "bw AS MATERIALIZED (SELECT dst AS src, src AS dst, w / sum(w) OVER (PARTITION BY dst) AS p FROM e)",
+        "bw AS MATERIALIZED (SELECT dst AS src, src AS dst, p FROM fw)",
     ]
     for name, seed, edges in (("t", "allow", "fw"), ("d", "block", "bw")):
         parts.append(f"{name}0 AS MATERIALIZED (SELECT host, {seed} AS score FROM h)")
