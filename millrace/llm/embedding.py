@@ -1,8 +1,8 @@
 """Embedding near-dedup by a pivot-permutation index.
 
-A vector is described by its nearest reference vectors (pivots) in order. Inverted lists hold the
-vectors of each pivot; two vectors that share at least MIN_SHARED of their nearest pivots are
-candidates and are verified by cosine in double precision.
+A vector is described by its NEAREST reference vectors (pivots) in order. Inverted lists hold the vectors
+of each pivot among the first LISTED of this order; two vectors that meet in a list and share at least MIN_SHARED of
+all their nearest pivots are candidates, and only these are verified by cosine in double precision.
 """
 
 from __future__ import annotations
@@ -20,7 +20,9 @@ from millrace.llm.common import components, table, written
 
 COSINE = 0.98
 #: Nearest pivots that describe a vector, and how many of them two candidates share.
-NEAREST, MIN_SHARED = 8, 2
+NEAREST, MIN_SHARED = 8, 3
+#: A vector stands in the lists of this many of its nearest pivots.
+LISTED = 4
 #: The sample of pivots grows with the square root of the vectors, within these bounds.
 LEAST_PIVOTS, MOST_PIVOTS = 64, 65536
 #: Vectors of one side of a block; longer lists are dealt out over pairs of blocks.
@@ -60,7 +62,7 @@ def _describe(pivots, nearest: int):
     return run
 
 
-def _link_block(cosine: float, min_shared: int):
+def _link_block(cosine: float, min_shared: int, listed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"rep": pd.Series(dtype="int64"), "n_links": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
         pivot = int(pdf["pivot"].iloc[0])
@@ -69,22 +71,24 @@ def _link_block(cosine: float, min_shared: int):
         right = pdf if one_block else pdf[pdf["chunk"] == pdf["j"]]
         if not len(left) or not len(right):
             return none
-        a, b = (_unit(np.stack(x["embedding"].to_list()).astype(np.float64)) for x in (left, right))
-        # a single-precision screen; what passes is counted and verified, so the order changes nothing
-        screen = a.astype(np.float32) @ b.T.astype(np.float32) >= cosine - 1e-4
-        if one_block:
-            screen = np.triu(screen, 1)
-        x, y = np.nonzero(screen)
         ta, tb = np.stack(left["nearest"].to_list()), np.stack(right["nearest"].to_list())
+        names = np.unique(np.concatenate((ta.ravel(), tb.ravel())))
+        held = [np.zeros((len(t), len(names)), np.float32) for t in (ta, tb)]
+        for m, t in zip(held, (ta, tb)):
+            np.put_along_axis(m, np.searchsorted(names, t), 1, 1)
+        candidates = held[0] @ held[1].T >= min(min_shared, ta.shape[1])  # shared pivots of every two members
+        if one_block:
+            candidates = np.triu(candidates, 1)
+        x, y = np.nonzero(candidates)
+        a, b = (_unit(np.stack(side["embedding"].to_list()).astype(np.float64)) for side in (left, right))
         keep = np.zeros(len(x), bool)
-        for lo in range(0, len(x), 200_000):
-            s, t = ta[x[lo : lo + 200_000]], tb[y[lo : lo + 200_000]]
-            same = s[:, :, None] == t[:, None, :]
-            both = same.any(2)
-            first = np.where(both, s, np.iinfo(np.int32).max).min(1)
-            enough = (both.sum(1) >= min(min_shared, ta.shape[1])) & (first == pivot)  # a pair counts in one list only
-            enough[enough] = np.einsum("ij,ij->i", a[x[lo : lo + 200_000][enough]], b[y[lo : lo + 200_000][enough]]) >= cosine
-            keep[lo : lo + 200_000] = enough
+        for lo in range(0, len(x), 100_000):
+            i, j = x[lo : lo + 100_000], y[lo : lo + 100_000]
+            s, t = ta[i, :listed], tb[j, :listed]
+            both = (s[:, :, None] == t[:, None, :]).any(2)
+            enough = np.where(both, s, np.iinfo(np.int32).max).min(1) == pivot  # a pair counts in one list only
+            enough[enough] = np.einsum("ij,ij->i", a[i[enough]], b[j[enough]]) >= cosine
+            keep[lo : lo + 100_000] = enough
         x, y = x[keep], y[keep]
         if not len(x):
             return none
@@ -109,7 +113,7 @@ def _link_block(cosine: float, min_shared: int):
     return run
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = NEAREST, min_shared: int = MIN_SHARED) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = NEAREST, min_shared: int = MIN_SHARED, listed: int = LISTED) -> DataFrame:
     """Link vectors (vec_id, embedding, label) of equal, non-null label by cosine.
 
     Returns one row per row: vec_id, n_links (other vectors linked directly), component_id
@@ -139,12 +143,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     shared = spark.sparkContext.broadcast([_unit(p[None])[0] for p in pivots])
     described = written(reps.select("rep", "copies", "label", "dim", "embedding").mapInArrow(_describe(shared, nearest), "rep long, copies long, label string, dim int, embedding array<double>, nearest array<int>"))
-    entries = described.withColumn("pivot", F.explode("nearest"))
+    entries = described.withColumn("pivot", F.explode(F.slice("nearest", 1, listed)))
     lists = entries.groupBy("label", "dim", "pivot").agg(F.count("*").alias("n")).where("n > 1")
     dealt = entries.join(lists, ["label", "dim", "pivot"]).withColumn("chunks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select("label", "dim", "pivot", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "copies", "embedding", "nearest")
-    linked = written(dealt.groupBy("label", "dim", "pivot", "i", "j").applyInPandas(_link_block(cosine, min_shared), "rep long, n_links long, root long"))
+    linked = written(dealt.groupBy("label", "dim", "pivot", "i", "j").applyInPandas(_link_block(cosine, min_shared, listed), "rep long, n_links long, root long"))
     counts = linked.groupBy("rep").agg(F.sum("n_links").alias("n"))
     classes = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     known = reps.select("key", "rep", "copies").join(counts, "rep", "left").join(classes.withColumnRenamed("id", "rep"), "rep", "left")
