@@ -12,13 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import small_side, table
-from millrace.llm.words import raw_texts, words_of
+from millrace.llm.common import table, written
+from millrace.llm.words import pieces_of, raw_texts, words_of
 
-#: The fit takes about this many texts of each language, chosen by hash of doc_id, none longer than FIT_BYTES.
-FIT_ROWS, FIT_BYTES = 250, 100_000
-#: Words of each language that the network sees, and how often.
+#: The fit takes about this many texts of each language, chosen by hash.
+FIT_ROWS = 250
+#: Words of each language that the network sees, and how often; and words of all languages.
 FIT_WORDS, EPOCHS, BATCH, RATE = 12_000, 3, 512, 0.01
+ALL_WORDS = 600_000
 HIDDEN = 16
 #: A longer word is read in pieces of this many bytes.
 MOST_BYTES = 48
@@ -134,33 +135,48 @@ def bare(word: bytes) -> bytes:
     return word.strip(MARKS).lower()
 
 
-def fit(texts: list[bytes], langs: list[str], n_words: int = FIT_WORDS, seed: int = 4) -> Network | None:
-    """Train on words drawn from labelled texts; None without any."""
-    languages = sorted(set(langs))
+def cut(core: bytes) -> Iterator[bytes]:
+    """A bare word in pieces of at most MOST_BYTES, cut between characters."""
+    while len(core) > MOST_BYTES:
+        at = MOST_BYTES
+        while at and core[at] & 0xC0 == 0x80:
+            at -= 1
+        at = at or MOST_BYTES
+        yield core[:at]
+        core = core[at:]
+    if core:
+        yield core
+
+
+def fit(pieces: list[tuple[str, bytes, int]]) -> Network | None:
+    """Train on pieces of words, given as (language, piece, how often it is seen); None without any."""
+    languages = sorted({lang for lang, _, _ in pieces})
     if not languages:
         return None
-    rng = np.random.default_rng(seed)
     numbers = {lang: i for i, lang in enumerate(languages)}
-    found: dict[str, Counter] = defaultdict(Counter)
-    for text, lang in zip(texts, langs):
-        found[lang].update(w[:MOST_BYTES] for w in map(bare, words_of(text)) if w)
     by_length: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
-    for lang in languages:
-        counts = {w: n for w, n in sorted(found[lang].items()) if has_letter(w)}
-        if not counts:
-            continue
-        keys = list(counts)
-        share = np.sqrt(np.array([counts[w] for w in keys], float))
-        for at in rng.choice(len(keys), n_words, p=share / share.sum()):
-            x, y = by_length[len(keys[at])]
-            x.append(np.frombuffer(keys[at], np.uint8))
-            y.append(numbers[lang])
+    for lang, piece, n in pieces:
+        x, y = by_length[len(piece)]
+        x += [np.frombuffer(piece, np.uint8)] * n
+        y += [numbers[lang]] * n
     net = Network(languages)
     if len(languages) > 1:
         net.train({n: (np.stack(x), np.array(y)) for n, (x, y) in by_length.items()})
     return net
 
 
+def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces_of(batches):
+        found: Counter = Counter()
+        for lang, text in zip(batch.column("lang").to_pylist(), raw_texts(batch.column("text"))):
+            for core, n in Counter(map(bare, words_of(text))).items():
+                if has_letter(core):
+                    for piece in cut(core):
+                        found[lang, piece] += n
+        names, parts = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(parts, pa.binary()), pa.array(found.values(), pa.int64())], names=["lang", "piece", "n"])
+
+
 class Reader:
     """Summed label probabilities of words, remembered within a task."""
 
@@ -194,8 +210,7 @@ class Reader:
             for w in raw:
                 self.at[w] = i
             if has_letter(core):
-                for lo in range(0, len(core), MOST_BYTES):
-                    part = core[lo : lo + MOST_BYTES]
+                for part in cut(core):
                     pieces[len(part)][0].append(part)
                     pieces[len(part)][1].append(i)
         for n, (parts, rows) in pieces.items():
@@ -221,13 +236,15 @@ def spans(text: bytes, net: Network) -> list[tuple[int, int, str]]:
         core = bare(m[0])
         if not has_letter(core):
             continue
-        for lo in range(0, len(core), MOST_BYTES):
-            best = net.probabilities(np.frombuffer(core[lo : lo + MOST_BYTES], np.uint8)[None])[:, 0].argmax(1)
-            for k, b in enumerate(best, m.start() + left + lo):
+        begin = m.start() + left
+        for part in cut(core):
+            best = net.probabilities(np.frombuffer(part, np.uint8)[None])[:, 0].argmax(1)
+            for k, b in enumerate(best, begin):
                 if out and out[-1][2] == net.languages[b] and out[-1][0] + out[-1][1] == k:
                     out[-1][1] += 1
                 else:
                     out.append([k, 1, net.languages[b]])
+            begin += len(part)
     return [tuple(x) for x in out]
 
 
@@ -251,19 +268,24 @@ def _predict(model):
     return run
 
 
-def fit_labelled(docs: DataFrame, rows: int = FIT_ROWS) -> Network | None:
-    """Train on about ``rows`` texts of each non-null lang, chosen by hash (FIT_BYTES at most each)."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= FIT_BYTES))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+def fit_labelled(docs: DataFrame, rows: int = FIT_ROWS, words: int = FIT_WORDS) -> Network | None:
+    """Train on about ``rows`` whole texts of each non-null lang, chosen by hash; None without any.
+
+    Words are counted on the executors. The driver gets about ``words`` of them for each language (fewer
+    where there are more than ALL_WORDS / ``words`` languages), drawn by the square root of their counts. Of more
+    than MOST_LANGUAGES languages those with most texts are learned.
+    """
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
     if not counts:
         return None
     share = docs.sparkSession.createDataFrame([(k, min(1.0, rows / n)) for k, n in counts.items()], "lang string, share double")
-    some = known.join(small_side(share), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
-    got = some.select("doc_id", "lang", F.encode("text", "UTF-8").alias("text")).collect()
-    got.sort(key=lambda r: (r["lang"], r["doc_id"] or 0, bytes(r["text"])))
-    return fit([bytes(r["text"]) for r in got], [r["lang"] for r in got])
+    some = known.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    found = written(some.select("lang", "text").mapInArrow(_count_pieces, "lang string, piece binary, n long").groupBy("lang", "piece").agg(F.sqrt(F.sum("n")).alias("w")))
+    total = found.groupBy("lang").agg(F.sum("w").alias("all"))
+    chance = F.pmod(F.xxhash64("lang", "piece"), F.lit(1_000_003)) / 1_000_003.0
+    drawn = found.join(F.broadcast(total), "lang").withColumn("n", F.floor(F.col("w") / F.col("all") * min(words, ALL_WORDS // len(counts)) + chance).cast("int")).where("n > 0")
+    return fit(sorted((r["lang"], bytes(r["piece"]), r["n"]) for r in drawn.select("lang", "piece", "n").collect()))
 
 
 def predict(docs: DataFrame, net: Network | None) -> DataFrame:

@@ -37,7 +37,7 @@ def test_language_of_held_out_texts(spark):
     rows = [(i, text(rng, lang := ("aa", "bb")[i % 2], rng.randint(2, 40)), lang, "x") for i in range(200)]
     rows += [(500, None, "aa", None), (501, "", "bb", None), (502, "12 34 !!", None, None), (None, "schung", "bb", None), (503, "schungver " * 5000, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
-    net = langid.fit_labelled(docs.where(~langid.held_out(F.col("doc_id"))), rows=60)
+    net = langid.fit_labelled(docs.where(~langid.held_out(F.col("doc_id"))), rows=60, words=6000)
     got = {r["doc_id"]: r for r in langid.predict(docs, net).collect()}
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (500, 501, 502))
     assert got[503]["lang_pred"] == "bb" and all(0 <= r["score"] <= 1 for r in got.values())
@@ -129,3 +129,10 @@ def test_quality_edges(spark):
     assert np.mean([kept[i] == (i % 3 > 0) for i in range(120) if i != 3]) > 0.98
     assert all(r["kept"] for r in quality.score(docs, labels.where("false"), F.col("source"), F.col("p")).collect())
     assert quality.score(docs.where("false"), labels, F.col("source"), F.col("p")).count() == 0
+
+
+def test_long_words_are_cut_between_characters():
+    word = ("語" * 40 + "a" * 7 + "é" * 60).encode()
+    parts = list(langid.cut(word))
+    assert b"".join(parts) == word and all(len(p) <= langid.MOST_BYTES and p.decode() for p in parts)
+    assert list(langid.cut(b"")) == []
