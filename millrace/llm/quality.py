@@ -108,15 +108,18 @@ def fit_labelled(measured: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -
 
 
 def _strength(groups: DataFrame, mean: float) -> float:
-    """Prior strength (in documents) from the spread of group means beyond chance, by moments."""
+    """Prior strength (in documents) from the spread of group means around their own prior's mean beyond chance, by moments.
+
+    ``groups``: n, s, spread, and m, the mean of what each group shrinks toward (host or global) and over, the documents of that.
+    """
     r = groups.agg(
-        F.count("*").alias("g"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n").cast("double")).alias("n2"),
-        F.sum("spread").alias("within"), F.sum(F.col("n") * (F.col("s") / F.col("n") - F.lit(mean)) ** 2).alias("between"),
+        F.count("*").alias("g"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n") / F.col("over").cast("double")).alias("n2"),
+        F.sum("spread").alias("within"), F.sum(F.col("n") * (F.col("s") / F.col("n") - F.col("m")) ** 2).alias("between"), F.sum(F.col("n") / F.col("over").cast("double")).alias("k"),
     ).first()
-    free = r["n"] - r["n2"] / r["n"] if r["n"] else 0
+    free = r["n"] - r["n2"] if r["n"] else 0
     if free <= 0:
         return MOST_STRENGTH
-    extra = (r["between"] - (r["g"] - 1) * r["within"] / r["n"]) / free
+    extra = (r["between"] - (r["g"] - r["k"]) * r["within"] / r["n"]) / free
     return float(min(MOST_STRENGTH, max(LEAST_STRENGTH, mean * (1 - mean) / extra - 1))) if extra > 0 else MOST_STRENGTH
 
 
@@ -133,7 +136,9 @@ def posterior(scored: DataFrame) -> DataFrame:
     hosts = written(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("spread").alias("spread")))
     total = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     mean = min(1 - 1e-6, max(1e-6, (total["s"] or 0.0) / total["n"])) if total["n"] else 0.5
-    at_host, at_path = _strength(hosts, mean), _strength(paths, mean)
+    at_host = _strength(hosts.withColumns({"m": F.lit(mean), "over": F.lit(total["n"] or 1)}), mean)
+    own = hosts.select("host", (F.col("s") / F.col("n")).alias("m"), F.col("n").alias("over"))
+    at_path = _strength(paths.join(own, "host"), mean)  # paths against their host's mean
     known = paths.select("host", "path", F.col("n").alias("path_n"), F.col("s").alias("path_s")).join(hosts.select("host", F.col("n").alias("host_n"), F.col("s").alias("host_s")), "host")
     out = scored.join(small_side(written(known)), ["host", "path"])
     host_mean = (F.col("host_s") - F.col("p") + at_host * mean) / (F.col("host_n") - 1 + at_host)
