@@ -31,6 +31,8 @@ SHINGLE = 5
 #: Similarity as a fraction: 80 / 100.
 NUMER, DENOM = 80, 100
 CELLS, BLOCK = 1 << 20, 1 << 12
+#: Counts of a block of cells are first summed in this many groups.
+CELL_GROUPS = 1024
 #: Lists that a pair must share; prefixes are longer by one less than this.
 SHARE = 4
 #: A subset says as much as any number of single shingles.
@@ -118,7 +120,7 @@ def _add_cells(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(BLOCK, np.int64)
     for w, data in zip(pdf["width"], pdf["cells"]):
         total += np.frombuffer(data, f"<u{w}").astype(np.int64)
-    return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "cells": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+    return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "width": [8], "cells": [total.astype("<u8").tobytes()]})
 
 
 def _emit_postings(n: int, small: int, weights):
@@ -261,10 +263,12 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = written(base.mapInArrow(_profile(n), "doc_id long, digest binary, n_shingles long, block int, width int, cells binary"))
     rows = profile.where("block is null").select("doc_id", "digest", "n_shingles")
-    cells = profile.where("block is not null").select("block", "width", "cells").groupBy("block").applyInPandas(_add_cells, "block int, cells binary")
+    # summed in two steps, so that no group holds the counts of all tasks
+    part = profile.where("block is not null").select("block", "width", "cells").groupBy("block", F.pmod(F.xxhash64("cells"), F.lit(CELL_GROUPS)))
+    cells = part.applyInPandas(_add_cells, "block int, width int, cells binary").groupBy("block").applyInPandas(_add_cells, "block int, width int, cells binary")
     weights = np.zeros(CELLS, np.uint32)
     for r in cells.collect():  # CELLS / BLOCK rows
-        weights[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["cells"], "<u4")
+        weights[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.minimum(np.frombuffer(r["cells"], "<u8"), 2**32 - 1)
     small = boundary({r["n_shingles"]: r["n"] for r in rows.where(F.col("n_shingles").between(1, MOST_SMALL)).groupBy("n_shingles").agg(F.count("*").alias("n")).collect()})
 
     nodes = rows.where("doc_id is not null and digest is not null")
