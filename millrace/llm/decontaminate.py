@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import table, with_row
+from millrace.llm.common import table, with_row, written
 from millrace.llm.words import raw_texts, words_of
 
 WINDOW = 13
@@ -329,6 +329,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_byt
         index = spark.sparkContext.broadcast(pickle.dumps(Index([(r["item_id"], r["text"]) for r in own], n)))
         out = out.mapInArrow(_scan(index), T.StructType([*out.schema.fields, T.StructField("new_leaks", LEAKS)]))
         out = out.withColumn("leaks", F.concat("leaks", "new_leaks")).drop("new_leaks")
+        if b < blocks - 1:  # a pass of its own for each block, so that one is in memory at a time
+            out = written(out)
+            index.unpersist()
     return out.drop("text")
 
 
