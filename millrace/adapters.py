@@ -16,7 +16,7 @@ ROLES = {
         CAST(l_partkey AS STRING) || '/' || CAST(l_suppkey AS STRING) AS instance, l_partkey AS ref, CAST(round(l_extendedprice * 100) AS BIGINT) / 1e8 AS delay_ns,
         CASE l_returnflag WHEN 'A' THEN 'cell' WHEN 'R' THEN 'net' ELSE 'other' END AS delay_kind, l_discount > 0.09 AS dont_touch, l_tax > 0.07 AS sequential, l_linenumber = 1 AS clock FROM {{lineitem}}""",
     "ladders": """SELECT a.p_partkey AS source_ref, CAST(a.p_size AS BIGINT) AS source_drive, b.p_partkey AS variant_ref, CAST(b.p_size AS BIGINT) AS variant_drive
-        FROM {part} a JOIN {part} b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey % 5 = b.p_partkey % 5 AND a.p_size <> b.p_size""",
+        FROM {part} a JOIN {part} b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND floor((a.p_size - 1) / 10) = floor((b.p_size - 1) / 10) AND a.p_size <> b.p_size""",
     "reach": """SELECT DISTINCT p.instance, o.endpoint FROM {points} p JOIN {paths} o ON o.path_id = p.path_id""",
     "measured": """SELECT o.endpoint, p.instance, p.ref AS baseline_ref, CAST(p.ref % 97 AS BIGINT) AS new_ref, o.slack_ns + p.delay_ns / 4 AS measured_slack_ns, o.hierarchy_group,
         p.point_index AS evidence_level FROM {points} p JOIN {paths} o ON o.path_id = p.path_id WHERE p.point_index % 3 = 0""",
@@ -30,7 +30,7 @@ ROLES = {
     "specs": """SELECT c_custkey AS case_id, c_mktsegment AS profile, c_acctbal AS nominal, CAST(c_nationkey AS BIGINT) AS target_count FROM {customer}""",
     "catalog": """SELECT p_partkey AS case_id, p_type AS shape, 'S' || CAST(p_partkey % 4 AS STRING) AS strategy, CASE WHEN p_size <= 15 THEN 'easy' WHEN p_size <= 35 THEN 'medium' ELSE 'hard' END AS difficulty, CAST(p_size AS BIGINT) AS target_count, p_retailprice AS severity_ps FROM {part}""",
     "state_events": """SELECT user_id AS case_id, event_id AS sequence, CASE event_type WHEN 'view' THEN 'planned' WHEN 'click' THEN 'running' WHEN 'add_to_cart' THEN 'measured' WHEN 'purchase' THEN 'accepted' ELSE 'failed' END AS state, ts FROM {events}""",
-    "intervals": """SELECT o_orderkey AS id, o_orderpriority AS timing, o_orderkey % 1000 AS first_rank, o_custkey % 5 + 1 AS n_ranks FROM {orders} WHERE o_orderkey % 10 = 0""",
+    "intervals": """SELECT o_orderkey AS id, o_orderpriority AS timing, o_orderkey % 1000 AS first_rank, o_custkey % 5 + 1 AS n_ranks FROM {orders}""",
     "operations": """SELECT l_orderkey AS case_id, CASE WHEN l_linestatus = 'O' THEN 'injection' ELSE 'repair' END AS kind, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY LINE) AS BIGINT) AS seq,
         l_partkey AS instance, l_suppkey % 7 AS old_ref, CAST(l_linenumber % 7 AS BIGINT) AS new_ref FROM {lineitem}""".replace("LINE", LINE_ORDER),
     "trace": """SELECT user_id AS trace, event_id AS seq, CASE event_type WHEN 'view' THEN 'read_reg' WHEN 'click' THEN 'write_reg' WHEN 'purchase' THEN 'write_reg' ELSE 'wait' END AS op, user_id % 8 + event_id % 16 AS addr, CAST(round(value * 100) AS BIGINT) AS data FROM {events}""",

@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 
 from millrace.registry import query
 
-#: The largest provable rule count, words that must not be shown, commands that change constraints.
+#: The largest provable rule count, prefixes of sequential cells, commands that change constraints,
+#: the lines beside resizes that a fix script holds, and the names that it may use.
 DRC_LIMIT = 1_000_000
-CONSTRAINT_COMMANDS = ("create_clock", "set_clock_uncertainty", "set_false_path", "set_multicycle_path", "set_input_delay", "set_output_delay", "set_max_delay", "set_min_delay", "read_sdc", "set_disable_timing")
+SEQUENTIAL = ("DFF", "SDFF", "LATCH", "LAT", "TLAT", "ICG", "CKG")
+CONSTRAINT_COMMANDS = (
+    "set_false_path", "set_multicycle_path", "set_disable_timing", "set_clock_uncertainty", "set_clock_latency", "set_max_delay", "set_min_delay",
+    "reset_path", "set_input_delay", "set_output_delay", "create_clock", "set_analysis_view", "set_interactive_constraint_modes",
+)
+OPEN_BATCH, CLOSE_BATCH, LEGALIZE = "setEcoMode -batchMode true", "setEcoMode -batchMode false", "refinePlace -eco true"
+SAFE_NAME = r"^[A-Za-z0-9_./\[\]$:+-]+$"
+NUMBER = r"[-+]?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?"
 
 
 def lines(df: DataFrame, text: str = "text") -> DataFrame:
@@ -17,41 +25,71 @@ def lines(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select("*", F.posexplode(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n")).alias("line_no", "line"))
 
 
-def parse_timing_paths(reports: DataFrame) -> DataFrame:
-    """Blocks of ``Path N:`` with endpoint, beginpoint, view, slack and reasons why a block proves nothing.
+def _path_blocks(reports: DataFrame) -> DataFrame:
+    """One row ``b`` per ``Path N:`` block; other columns are kept."""
+    blocks = F.slice(F.split(F.regexp_replace("text", "\r\n?", "\n"), r"(?m)^\s*Path (?=\d+:)", -1), 2, 2_000_000_000)
+    return reports.select(*[c for c in reports.columns if c != "text"], F.explode(blocks).alias("b"))
+
+
+def _block_field(name: str) -> Column:
+    return F.nullif(F.regexp_extract("b", rf"(?m)^\s*{name}:\s*(\S+)", 1), F.lit(""))
 
-    The ``=`` before the slack is optional (hold reports leave it out).
+
+def parse_timing_paths(reports: DataFrame, check: str | None = None, view: str | None = None) -> DataFrame:
+    """Blocks of ``Path N:`` with check, endpoint, beginpoint, view, slack and reasons why a block proves nothing.
+
+    The ``=`` before the slack is optional (hold reports leave it out). ``check`` (Setup or Hold) and ``view`` say what the report
+    should be of. A null or empty text has no blocks.
     """
-    blocks = F.slice(F.split("text", r"(?m)^Path ", -1), 2, 2_000_000_000)
-    b = reports.select(*[c for c in reports.columns if c != "text"], F.explode(blocks).alias("b"))
-    field = lambda name: F.nullif(F.regexp_extract("b", rf"(?m)^\s*{name}:\s*(\S+)", 1), F.lit(""))
-    slacks = F.regexp_extract_all("b", F.lit(r"(?m)^\s*=?\s*Slack Time\s+(-?\d+(?:\.\d+)?)"), F.lit(1))
-    status = F.regexp_extract("b", r"^\d+:\s*(MET|VIOLATED)", 1)
-    out = b.withColumns({"path_no": F.regexp_extract("b", r"^(\d+):", 1).cast("long"), "endpoint": field("Endpoint"), "beginpoint": field("Beginpoint"), "view": field("View"), "_s": slacks, "status": status})
+    slacks = F.regexp_extract_all("b", F.lit(rf"(?m)^\s*=?\s*Slack Time\s+({NUMBER})"), F.lit(1))
+    head = lambda p: F.nullif(F.regexp_extract("b", p, 1), F.lit(""))
+    out = _path_blocks(reports).withColumns({
+        "path_no": F.regexp_extract("b", r"^(\d+):", 1).cast("long"), "endpoint": _block_field("Endpoint"), "beginpoint": _block_field("Beginpoint"), "view": _block_field("Analysis View"),
+        "_s": slacks, "status": F.regexp_extract("b", r"^\d+:\s*(MET|VIOLATED)", 1), "check": head(r"^\d+:\s*(?:MET|VIOLATED)\s+(\w+)\s+Check"),
+    })
     out = out.withColumn("slack_ns", F.try_element_at("_s", F.lit(1)).cast("double"))
+    other = lambda c, want: F.when(F.coalesce(F.col(c) != want, F.lit(True)), f"wrong_{c}") if want else F.lit(None).cast("string")
     reasons = F.array_compact(F.array(
         F.when(F.size("_s") != 1, "slack_count"), F.when(F.col("endpoint").isNull() | F.col("beginpoint").isNull() | F.col("view").isNull(), "missing_field"),
-        F.when((F.col("status") == "VIOLATED") != (F.col("slack_ns") < 0), "status_sign"),
+        F.when((F.col("status") == "VIOLATED") != (F.col("slack_ns") < 0), "status_sign"), other("check", check), other("view", view),
     ))
     return out.withColumn("reasons", reasons).drop("b", "_s")
 
 
-def parse_path_points(reports: DataFrame, sequential: tuple[str, ...] = ("DFF", "SDF", "LAT")) -> DataFrame:
-    """Cell rows of 7-column pipe tables: positive delay, a pin with ``/``, a ref that is not sequential."""
-    l = lines(reports).where(F.col("line").rlike(r"^\s*\|"))  # noqa: E741
-    c = F.split("line", r"\|")
-    cell = lambda i: F.trim(F.element_at("c", i + 1))
-    rows = l.withColumn("c", c).where(F.size("c") >= 9).select(*[x for x in reports.columns if x != "text"], "line_no", F.trim(F.regexp_replace(cell(1), "->", "")).alias("pin"), cell(2).alias("edge"), cell(3).alias("net"), cell(4).alias("ref"), F.expr("try_cast(trim(element_at(c, 6)) as double)").alias("delay_ns"))
-    return rows.where((F.col("delay_ns") > 0) & (F.col("ref") != "") & F.contains("pin", F.lit("/")) & ~F.col("ref").rlike("^(" + "|".join(sequential) + ")")).withColumn("instance", F.regexp_extract("pin", r"^(.*)/[^/]*$", 1))
+def parse_path_points(reports: DataFrame, sequential: tuple[str, ...] = SEQUENTIAL, max_cells: int = 32) -> DataFrame:
+    """Cells of the 7-column pipe table of each path block, from the row after the block's beginpoint on.
+
+    A cell has a positive delay, a pin with ``/`` and a ref that is not sequential. Of several rows of one instance the slowest
+    stays; of a path's cells the ``max_cells`` slowest stay (the longer delay first, then by instance). Returns the
+    report's columns, endpoint, pin, edge, net, ref, delay_ns, instance and line_no, the row's place in the block.
+    """
+    keys = [c for c in reports.columns if c != "text"]
+    fields = F.transform(F.split("b", "\n"), lambda x: F.transform(F.split(F.regexp_replace(F.trim(x), r"^\||\|$", ""), r"\|"), lambda y: F.trim(y)))
+    rows = F.transform(fields, lambda c, i: F.struct(i.alias("line_no"), c.alias("c")))
+    table = F.filter(rows, lambda r: F.size(r["c"]) == 7)
+    begin = F.array_position(F.transform("table", lambda r: r["c"][0]), F.col("beginpoint"))
+    blocks = _path_blocks(reports).withColumns({"endpoint": _block_field("Endpoint"), "beginpoint": _block_field("Beginpoint"), "table": table})
+    cells = blocks.withColumn("r", F.explode(F.when(begin > 0, F.slice("table", begin.cast("int") + 1, F.size("table")))))
+    at = lambda i: F.col("r.c")[i]
+    cells = cells.select(*keys, "endpoint", F.col("r.line_no").cast("long").alias("line_no"), F.regexp_replace(at(0), r"\s*->$", "").alias("pin"), at(1).alias("edge"), at(2).alias("net"), at(3).alias("ref"), at(4).try_cast("double").alias("delay_ns"))
+    cells = cells.where((F.col("delay_ns") > 0) & (F.col("ref") != "") & F.contains("pin", F.lit("/")) & ~F.col("ref").rlike("^(" + "|".join(sequential) + ")")).withColumn("instance", F.regexp_extract("pin", r"^(.*)/[^/]*$", 1))
+    # a path's cells are few: ranks within (report, endpoint)
+    one = cells.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "endpoint", "instance").orderBy(F.desc("delay_ns"), "line_no"))).where("_n = 1")
+    return one.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "endpoint").orderBy(F.desc("delay_ns"), "instance"))).where(F.col("_n") <= max_cells).drop("_n")
 
 
 def parse_drv_counts(reports: DataFrame) -> DataFrame:
-    """Violators per ``Check type`` section: rows counted, an explicit none is 0, anything else is unproven (null)."""
-    sections = F.slice(F.split("text", r"(?m)^Check type\s*:\s*", -1), 2, 2_000_000_000)
+    """Violators per ``Check type`` section: 5-column pipe rows of negative slack are counted, an explicit none is 0.
+
+    Anything else, and a section with a row whose slack is not negative, proves nothing (null).
+    """
+    sections = F.slice(F.split("text", r"(?mi)^\s*Check\s+type\s*:\s*", -1), 2, 2_000_000_000)
     s = reports.select(*[c for c in reports.columns if c != "text"], F.explode(sections).alias("s"))
-    n = F.size(F.regexp_extract_all("s", F.lit(r"(?m)^\s*VIOL\s"), F.lit(0)))
-    count = F.when(F.col("s").rlike("(?m)^No violations"), F.when(n == 0, 0)).when(n > 0, n)
-    return s.select(*[c for c in s.columns if c != "s"], F.regexp_extract("s", r"^(\S+)", 1).alias("check"), count.cast("long").alias("n"))
+    slack = F.regexp_extract_all("s", F.lit(rf"(?m)^\s*\|[^|\n]*[^|\s][^|\n]*\|\s*{NUMBER}\s*\|\s*{NUMBER}\s*\|\s*({NUMBER})\s*\|[^|\n]*[^|\s][^|\n]*\|\s*$"), F.lit(1))
+    n = F.size(slack)
+    negative = F.forall(slack, lambda x: x.cast("double") < 0)
+    count = F.when((n > 0) & negative, n).when((n == 0) & F.col("s").rlike(r"(?i)\bNo\s+(paths?|violations?)\b"), 0)
+    return s.select(*[c for c in s.columns if c != "s"], F.lower(F.regexp_extract("s", r"^(\S+)", 1)).alias("check"), count.cast("long").alias("n"))
 
 
 def parse_connectivity(reports: DataFrame) -> DataFrame:
@@ -65,15 +103,18 @@ def parse_connectivity(reports: DataFrame) -> DataFrame:
 
 
 def parse_drc_categories(reports: DataFrame, limit: int = DRC_LIMIT) -> DataFrame:
-    """``CATEGORY: n`` rows; a report is complete if they add up to its total, below ``limit``, and nothing was cut off."""
+    """Records ``CATEGORY: (`` counted by category, and whether the report is complete.
+
+    Complete: it says that no violations were found and lists none, or it has one total (``Total Violations : N Viols.``) below ``limit`` and
+    lists that many records. A report without records gives one row with a null category.
+    """
     keys = [c for c in reports.columns if c != "text"]
-    names = F.regexp_extract_all("text", F.lit(r"(?m)^([A-Z_]+): (\d+)$"), F.lit(1))
-    counts = F.regexp_extract_all("text", F.lit(r"(?m)^([A-Z_]+): (\d+)$"), F.lit(2))
-    total = F.nullif(F.regexp_extract("text", r"(?m)^Total Violations: (\d+)$", 1), F.lit("")).cast("long")
-    r = reports.select(*keys, F.arrays_zip(names.alias("category"), counts.alias("n")).alias("z"), total.alias("total"), F.lower("text").rlike("truncated|limit reached").alias("cut"))
-    summed = F.aggregate("z", F.lit(0).cast("long"), lambda a, x: a + x["n"].cast("long"))
-    r = r.withColumn("complete", F.coalesce((summed == F.col("total")) & (F.col("total") < limit) & ~F.col("cut"), F.lit(False)))
-    return r.select(*keys, "complete", F.explode_outer("z").alias("z")).select(*keys, "complete", F.col("z.category").alias("category"), F.col("z.n").cast("long").alias("n"))
+    names = F.regexp_extract_all("text", F.lit(r"(?m)^\s*([A-Z][A-Z0-9_.-]*):\s+\("), F.lit(1))
+    totals = F.regexp_extract_all("text", F.lit(r"(?mi)^\s*Total\s+Violations\s*:\s*(\d+)\s+Viols?\.\s*$"), F.lit(1))
+    total = F.when(F.size(totals) == 1, totals[0].cast("long")).when((F.size(totals) == 0) & F.col("text").rlike(r"(?i)No\s+DRC\s+violations\s+were\s+found"), 0)
+    r = reports.select(*keys, names.alias("names"), F.coalesce((total < limit) & (F.size(names) == total), F.lit(False)).alias("complete"))
+    found = r.select(*keys, "complete", F.explode_outer("names").alias("category"))
+    return found.groupBy(*keys, "complete", "category").agg(F.count("category").alias("n"))
 
 
 def parse_kv_marker(df: DataFrame, prefix: str, numbers: list[str], texts: list[str]) -> DataFrame:
@@ -86,11 +127,32 @@ def parse_kv_marker(df: DataFrame, prefix: str, numbers: list[str], texts: list[
     return m.withColumns({**got, "reasons": reasons}).drop("kv", "line", "line_no", "text")
 
 
-def parse_fix_operations(scripts: DataFrame, allowed: tuple[str, ...] = ("eco_change_cell",)) -> DataFrame:
-    """Scripts to ordered (instance, cell); comments and blank lines are skipped, other commands are told as refused."""
+def parse_fix_operations(scripts: DataFrame) -> DataFrame:
+    """Scripts to their lines in order: command, instance and cell of a resize; ``refused`` lines are neither resizes with
+    safe names nor one of the three fixed lines. Comments and blank lines are skipped."""
     l = lines(scripts).withColumn("line", F.trim("line")).where(~F.col("line").rlike("^(#|$)"))  # noqa: E741
-    command = F.regexp_extract("line", r"^(\S+)", 1)
-    return l.select(*[c for c in scripts.columns if c != "text"], "line_no", command.alias("command"), F.regexp_extract("line", r"-inst\s+\{?([^\s}]+)", 1).alias("instance"), F.regexp_extract("line", r"-cell\s+\{?([^\s}]+)", 1).alias("cell"), (~command.isin(*allowed)).alias("refused"))
+    part = lambda g: F.nullif(F.regexp_extract("line", r"^ecoChangeCell\s+-inst\s+\{([^{}]+)\}\s+-cell\s+\{([^{}]+)\}$", g), F.lit(""))
+    l = l.withColumns({"instance": part(1), "cell": part(2), "command": F.regexp_extract("line", r"^(\S+)", 1)})  # noqa: E741
+    safe = F.coalesce(F.col("instance").rlike(SAFE_NAME) & F.col("cell").rlike(SAFE_NAME), F.lit(False))
+    return l.select(*[c for c in scripts.columns if c != "text"], "line_no", "line", "command", "instance", "cell", (~safe & ~F.col("line").isin(OPEN_BATCH, CLOSE_BATCH, LEGALIZE)).alias("refused"))
+
+
+def fix_script_reasons(scripts: DataFrame, expected: DataFrame) -> DataFrame:
+    """Reasons why each script is no fix: refused lines, not one batch opened, closed and legalized, a last line that is not the
+    legalization, another number of resizes than ``expected`` (script_id, n), an instance resized twice. No text, no lines."""
+    n = lambda test: F.count_if(test)
+    resize = F.col("instance").isNotNull() & ~F.col("refused")
+    s = parse_fix_operations(scripts).groupBy("script_id").agg(
+        n(F.col("refused")).alias("refused"), n(F.col("line") == OPEN_BATCH).alias("opens"), n(F.col("line") == CLOSE_BATCH).alias("closes"), n(F.col("line") == LEGALIZE).alias("legal"),
+        F.max_by("line", "line_no").alias("last"), n(resize).alias("resizes"), F.count_distinct(F.when(resize, F.col("instance"))).alias("instances"),
+    )
+    s = scripts.select("script_id").distinct().join(s, "script_id", "left").join(expected, "script_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    reasons = F.array_compact(F.array(
+        F.when(F.col("refused") > 0, "refused_line"), F.when(zero("opens") != 1, "open_batch"), F.when(zero("closes") != 1, "close_batch"), F.when(zero("legal") != 1, "legalize"),
+        F.when(F.coalesce(F.col("last") != LEGALIZE, F.lit(True)), "last_line"), F.when(F.coalesce(zero("resizes") != F.col("n"), F.lit(True)), "resize_count"), F.when(F.col("instances") < F.col("resizes"), "resized_twice"),
+    ))
+    return s.select("script_id", zero("resizes").alias("resizes"), reasons.alias("reasons"))
 
 
 def parse_catalog_cards(cards: DataFrame) -> DataFrame:
@@ -166,7 +228,7 @@ def command_policy(scripts: DataFrame, allowed: tuple[str, ...], budget: int) ->
     l = l.withColumns({"word": word, "depth": depth})  # noqa: E741
     n = lambda test: F.count(F.when(test, 1))
     action = ~F.col("word").isin("begin", "end")
-    s = l.groupBy("script_id").agg(n(~F.col("word").isin(*allowed, "begin", "end")).alias("unknown"), n(F.col("line").rlike(r"[\[\]$;]")).alias("subst"), n(F.col("word") == "begin").alias("opens"), n(F.col("word") == "end").alias("closes"), n(action & (F.col("depth") != 1)).alias("outside"), n(action).alias("actions"))
+    s = l.groupBy("script_id").agg(n(~F.col("word").isin(*allowed, "begin", "end")).alias("unknown"), n(F.col("line").rlike(r"[\[\]$;\\]")).alias("subst"), n(F.col("word") == "begin").alias("opens"), n(F.col("word") == "end").alias("closes"), n(action & (F.col("depth") != 1)).alias("outside"), n(action).alias("actions"))
     reasons = F.array_compact(F.array(F.when(F.col("unknown") > 0, "unknown_command"), F.when(F.col("subst") > 0, "substitution"), F.when((F.col("opens") != 1) | (F.col("closes") != 1), "batch"), F.when(F.col("outside") > 0, "outside_batch"), F.when(F.col("actions") > budget, "budget")))
     return s.select("script_id", "actions", reasons.alias("reasons"))
 
@@ -210,23 +272,27 @@ def chat_assembly(turns: DataFrame) -> DataFrame:
 def _reports(t) -> DataFrame:
     s = F.round(F.col("slack_ns") * 1e8).cast("long")
     number = F.concat(F.when(s < 0, "-").otherwise(""), F.floor(F.abs(s) / 100000000).cast("string"), F.lit("."), F.lpad((F.abs(s) % 100000000).cast("string"), 8, "0"))
-    block = F.concat(F.lit("Path "), F.col("path_id").cast("string"), F.when(s < 0, ": VIOLATED\n").otherwise(": MET\n"), F.lit("Endpoint:   e"), F.col("endpoint").cast("string"), F.lit("\nBeginpoint: b"), F.col("beginpoint").cast("string"), F.lit("\nView: v"), F.col("analysis"), F.when(F.col("analysis") == "F", "\n= Slack Time    ").otherwise("\n  Slack Time  "), number, F.lit("\n"))
+    block = F.concat(F.lit("Path "), F.col("path_id").cast("string"), F.when(s < 0, ": VIOLATED").otherwise(": MET"), F.lit(" Setup Check with Pin x/CK\n"), F.lit("Endpoint:   e"), F.col("endpoint").cast("string"), F.lit("\nBeginpoint: b"), F.col("beginpoint").cast("string"), F.lit("\nAnalysis View: v"), F.col("analysis"), F.when(F.col("analysis") == "F", "\n= Slack Time    ").otherwise("\n  Slack Time  "), number, F.lit("\n"))
     return t.paths.select("endpoint", "path_id", block.alias("b")).groupBy(F.col("endpoint").alias("report")).agg(F.concat(F.lit("# version 1\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path_id", "b"))), lambda x: x["b"]), "")).alias("text"))
 
 
 query("parse_timing_paths", "SELECT endpoint AS report, path_id AS path_no, 'e' || endpoint AS endpoint, 'b' || beginpoint AS beginpoint, 'v' || analysis AS view, slack_ns, '' AS reasons FROM {paths}")(
     lambda t: parse_timing_paths(_reports(t)).select("report", "path_no", "endpoint", "beginpoint", "view", "slack_ns", F.array_join("reasons", ",").alias("reasons"))
 )
-query("parse_path_points", "SELECT l_orderkey AS report, CAST(l_partkey AS STRING) AS instance, CASE WHEN l_returnflag = 'A' THEN 'INV_X1' ELSE 'NAND_X2' END AS ref, l_quantity AS delay_ns, count(*) AS n FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL")(
+query("parse_path_points", "SELECT path_id AS report, 'e' || path_id AS endpoint, instance, CASE WHEN delay_kind = 'cell' THEN 'INV_X1' ELSE 'NAND_X2' END AS ref, delay_ns * 1e8 AS delay FROM (SELECT *, row_number() OVER (PARTITION BY path_id, instance ORDER BY delay_ns DESC, point_index) AS k FROM {points} WHERE delay_kind <> 'net' AND point_index > 1) WHERE k = 1")(
     lambda t: parse_path_points(
-        t.lineitem.groupBy(F.col("l_orderkey").alias("report")).agg(F.array_join(F.collect_list(F.concat(F.lit("| "), F.col("l_partkey").cast("string"), F.lit("/Z -> | ^ | n1 | "), F.when(F.col("l_returnflag") == "A", "INV_X1").when(F.col("l_returnflag") == "R", "DFFX1").otherwise("NAND_X2"), F.lit(" | "), F.col("l_quantity").cast("string"), F.lit(" | 1.0 | 2.0 |"))), "\n").alias("text"))
-    ).groupBy("report", "instance", "ref", "delay_ns").agg(F.count("*").alias("n"))
+        t.points.groupBy(F.col("path_id").alias("report")).agg(F.array_sort(F.collect_list(F.struct("point_index", F.concat(
+            F.lit("| "), F.when(F.col("point_index") == 1, "b/Q").otherwise(F.concat("instance", F.lit("/Z ->"))), F.lit(" | ^ | n1 | "), F.when(F.col("delay_kind") == "cell", "INV_X1").when(F.col("delay_kind") == "net", "TLATX1").otherwise("NAND_X2"),
+            F.lit(" | "), F.round(F.col("delay_ns") * 1e8).cast("long").cast("string"), F.lit(" | 1.0 | 2.0 |"),
+        ).alias("l")))).alias("r")).select("report", F.concat(F.lit("Path 1: MET Setup Check with Pin c/CK\nEndpoint: e"), F.col("report").cast("string"), F.lit("\nBeginpoint: b/Q\n Timing Path:\n| a/Z | ^ | n | INV_X1 | 9 | 1 | 2 |\n"), F.array_join(F.transform("r", lambda x: x["l"]), "\n")).alias("text")),
+        max_cells=1000,
+    ).select("report", "endpoint", "instance", "ref", F.col("delay_ns").alias("delay"))
 )
-query("parse_drv_counts", "SELECT o_custkey AS report, 'max_tran' AS \"check\", CASE WHEN count(*) % 7 = 0 THEN 0 ELSE count(*) END AS n FROM orders GROUP BY o_custkey")(
+query("parse_drv_counts", "SELECT o_custkey AS report, 'max_transition' AS \"check\", CASE WHEN count(*) % 7 = 0 THEN 0 WHEN count(*) % 5 = 0 THEN -1 ELSE count(*) END AS n FROM orders GROUP BY o_custkey")(
     lambda t: parse_drv_counts(
-        t.orders.groupBy(F.col("o_custkey").alias("report")).agg(F.count("*").alias("n"), F.collect_list(F.concat(F.lit("  VIOL "), F.col("o_orderkey").cast("string"))).alias("v"))
-        .select("report", F.concat(F.lit("Check type : max_tran\n"), F.when(F.col("n") % 7 == 0, "No violations found\n").otherwise(F.array_join("v", "\n"))).alias("text"))
-    )
+        t.orders.groupBy(F.col("o_custkey").alias("report")).agg(F.count("*").alias("n"), F.collect_list(F.format_string(" | u/i%d/A | 0.5 | 0.6 | -0.1 | R |", "o_orderkey")).alias("v"))
+        .select("report", F.concat(F.lit("Check type : max_transition\n"), F.when(F.col("n") % 7 == 0, "No violations found\n").otherwise(F.array_join("v", "\n")), F.when((F.col("n") % 5 == 0) & (F.col("n") % 7 != 0), "\n | u/x | 1 | 1 | 0.0 | R |").otherwise("")).alias("text"))
+    ).withColumn("n", F.coalesce("n", F.lit(-1)).cast("long"))
 )
 query("parse_connectivity", "SELECT p_partkey AS report, CASE p_partkey % 4 WHEN 0 THEN 0 WHEN 1 THEN p_size + 2 WHEN 2 THEN p_size + 5 ELSE -1 END::BIGINT AS n FROM part")(
     lambda t: parse_connectivity(t.part.select(
@@ -237,18 +303,26 @@ query("parse_connectivity", "SELECT p_partkey AS report, CASE p_partkey % 4 WHEN
 )
 query("parse_drc_categories", "SELECT o_custkey AS report, o_custkey % 3 <> 0 AS complete, CASE o_orderstatus WHEN 'F' THEN 'SHORT' WHEN 'O' THEN 'SPACING' ELSE 'WIDTH' END AS category, count(*) AS n FROM orders GROUP BY 1, 2, 3")(
     lambda t: parse_drc_categories(
-        t.orders.groupBy("o_custkey", F.when(F.col("o_orderstatus") == "F", "SHORT").when(F.col("o_orderstatus") == "O", "SPACING").otherwise("WIDTH").alias("c")).agg(F.count("*").alias("k"))
-        .groupBy(F.col("o_custkey").alias("report")).agg(F.concat(F.array_join(F.collect_list(F.concat_ws(": ", "c", F.col("k").cast("string"))), "\n"), F.lit("\nTotal Violations: "), (F.sum("k") + F.when(F.col("o_custkey") % 3 == 0, 1).otherwise(0)).cast("string")).alias("text"))
+        t.orders.groupBy(F.col("o_custkey").alias("report")).agg(F.count("*").alias("k"), F.collect_list(F.concat(F.when(F.col("o_orderstatus") == "F", "SHORT").when(F.col("o_orderstatus") == "O", "SPACING").otherwise("WIDTH"), F.lit(": ( Metal ) of net n"))).alias("l"))
+        .select("report", F.concat(F.array_join("l", "\nBounds : (1, 2)\n"), F.lit("\n  Total Violations : "), (F.col("k") + F.when(F.col("report") % 3 == 0, 1).otherwise(0)).cast("string"), F.lit(" Viols.\n")).alias("text"))
     )
 )
 query("parse_kv_marker", "SELECT o_orderkey AS id, round(o_totalprice) AS tns, o_orderstatus AS status, CASE WHEN o_orderkey % 5 = 0 THEN 'wns' ELSE '' END AS reasons FROM orders")(
     lambda t: parse_kv_marker(t.orders.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("noise\nMARK tns="), F.round("o_totalprice").cast("long").cast("string"), F.lit(" status="), F.col("o_orderstatus"), F.when(F.col("o_orderkey") % 5 == 0, " wns=?").otherwise(" wns=1")).alias("text")), "MARK", ["tns", "wns"], ["status"])
     .select("id", "tns", "status", F.array_join("reasons", ",").alias("reasons"))
 )
-query("parse_fix_operations", "SELECT case_id, kind, 'i' || instance AS instance, 'C' || new_ref AS cell, count(*) AS n FROM {operations} GROUP BY ALL")(
-    lambda t: parse_fix_operations(t.operations.groupBy("case_id", "kind").agg(F.concat(F.lit("# fix\n\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.format_string("eco_change_cell -inst {i%d} -cell C%d", "instance", "new_ref").alias("l")))), lambda x: x["l"]), "\n")).alias("text")))
-    .where("not refused").groupBy("case_id", "kind", "instance", "cell").agg(F.count("*").alias("n"))
-)
+def _fixes(t) -> DataFrame:
+    o = t.operations.groupBy(F.concat_ws("-", F.col("case_id").cast("string"), F.col("kind")).alias("script_id")).agg(F.array_sort(F.collect_list(F.struct("seq", F.format_string("ecoChangeCell -inst {i%d} -cell {C%d}", "instance", "new_ref").alias("l")))).alias("o"))
+    end = F.when(F.size("o") % 4 == 3, "\ncreate_clock x").otherwise("")
+    return o.select("script_id", F.size("o").cast("long").alias("n"), F.concat_ws("\n", F.lit("# fix"), F.lit(OPEN_BATCH), F.array_join(F.transform("o", lambda x: x["l"]), "\n"), F.lit(CLOSE_BATCH), F.concat(F.lit(LEGALIZE), end)).alias("text"))
+
+
+query("parse_fix_operations", "SELECT case_id || '-' || kind AS script_id, 'i' || instance AS instance, 'C' || new_ref AS cell, count(*) AS n FROM {operations} GROUP BY ALL")(
+    lambda t: parse_fix_operations(_fixes(t).drop("n")).where("instance is not null and not refused").groupBy("script_id", "instance", "cell").agg(F.count("*").alias("n"))
+)
+query("fix_script_reasons", "WITH s AS (SELECT case_id || '-' || kind AS script_id, count(*) AS n, count(DISTINCT instance) AS d FROM {operations} GROUP BY ALL) SELECT script_id, n AS resizes, concat_ws(',', CASE WHEN n % 4 = 3 THEN 'refused_line' END, CASE WHEN n % 4 = 3 THEN 'last_line' END, CASE WHEN n % 5 = 4 THEN 'resize_count' END, CASE WHEN d < n THEN 'resized_twice' END) AS reasons FROM s")(
+    lambda t: fix_script_reasons(_fixes(t).select("script_id", "text"), _fixes(t).select("script_id", F.when(F.col("n") % 5 == 4, F.col("n") + 1).otherwise(F.col("n")).alias("n"))).withColumn("reasons", F.array_join("reasons", ","))
+)
 query("parse_catalog_cards", "SELECT p_partkey AS card, replace(p_type, ' ', '_') AS shape, CAST(p_size AS BIGINT) AS target_count, CAST(p_size * 80 AS BIGINT) AS severity_ps, greatest(10.0, round(p_size * 12.0, 6))::DOUBLE AS tolerance_ps, p_partkey % 9 <> 0 AS consistent FROM part")(
     lambda t: parse_catalog_cards(t.part.select(F.col("p_partkey").alias("card"), F.format_string("# card\n- shape: %s\n- targets: %d\n- severity: %d%% = %d ps, at least 10 ps\n", F.replace("p_type", F.lit(" "), F.lit("_")), "p_size", F.col("p_size") + F.when(F.col("p_partkey") % 9 == 0, 1).otherwise(0), F.col("p_size") * 80).alias("text"))).withColumn("tolerance_ps", F.round("tolerance_ps", 6))
 )
@@ -282,14 +356,14 @@ query("command_policy", "SELECT l_orderkey AS script_id, count(*) AS actions, co
 query("normalize_code", r"SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(text || '  ' || chr(13) || chr(10), '\r\n?', chr(10), 'g'), '[ \t]+(\n|$)', '\1', 'g'), '^\s+|\s+$', '', 'g')) AS h FROM documents")(
     lambda t: t.documents.select("doc_id", F.sha2(normalize_code(F.concat("text", F.lit("  \r\n"))), 256).alias("h"))
 )
-query("normalize_netlist_hash", r"SELECT doc_id, sha256(trim(regexp_replace('module a ' || text || ' end', '\s+', ' ', 'g'))) AS h FROM documents WHERE NOT contains(text, '/*') AND NOT contains(text, '//')")(
-    lambda t: t.documents.where("not contains(text, '/*') and not contains(text, '//')").select("doc_id", normalize_netlist_hash(F.concat(F.lit("module a // x\n"), F.col("text"), F.lit("/* b\n */ end"))).alias("h"))
+query("normalize_netlist_hash", r"SELECT doc_id, sha256(trim(regexp_replace(regexp_replace(regexp_replace('module a ' || text || ' end', '(?s)/\*.*?\*/', ' ', 'g'), '//[^\n]*', ' ', 'g'), '\s+', ' ', 'g'))) AS h FROM documents")(
+    lambda t: t.documents.select("doc_id", normalize_netlist_hash(F.concat(F.lit("module /* b\n */ a "), F.col("text"), F.lit(" end"))).alias("h"))
 )
 query("normalize_timestamp_lines", "SELECT event_id, event_id % 3 = 0 AS raw_equal, event_id % 5 <> 0 OR event_id % 3 = 0 AS normalized_equal, CAST(1 AS BIGINT) AS n_left, CAST(1 AS BIGINT) AS n_right FROM events")(
     lambda t: normalize_timestamp_lines(t.events.select("event_id", F.concat(F.lit("# at 10:00:00\nset "), F.col("event_type")).alias("left"), F.concat(F.when(F.col("event_id") % 3 == 0, "# at 10:00:00\nset ").otherwise("# at 11:22:33\nset "), F.col("event_type"), F.when((F.col("event_id") % 5 == 0) & (F.col("event_id") % 3 != 0), " x").otherwise("")).alias("right"))).drop("left", "right")
 )
-query("render_instruction", "SELECT c.case_id, sha256('Case ' || c.case_id || coalesce(chr(10) || t.t, '')) AS prompt FROM {specs} c LEFT JOIN (SELECT endpoint AS case_id, string_agg('- p' || path_id || ' slack ' || printf('%.6f', round(slack_ns, 6)) || ' ns', chr(10) ORDER BY path_id) AS t FROM {paths} WHERE path_id % 3 = 0 GROUP BY endpoint) t ON t.case_id = c.case_id")(
-    lambda t: render_instruction(t.specs.select("case_id", F.concat(F.lit("Case "), F.col("case_id").cast("string")).alias("header")), t.paths.where("path_id % 3 = 0").select(F.col("endpoint").alias("case_id"), F.col("path_id").alias("seq"), F.concat(F.lit("p"), F.col("path_id").cast("string")).alias("endpoint"), F.round("slack_ns", 6).alias("slack_ns"))).withColumn("prompt", F.sha2("prompt", 256))
+query("render_instruction", "SELECT c.case_id, sha256('Case ' || c.case_id || coalesce(chr(10) || t.t, '')) AS prompt FROM {specs} c LEFT JOIN (SELECT endpoint AS case_id, string_agg('- p' || path_id || ' slack ' || printf('%.6f', floor(round(slack_ns * 1e8) / 100) / 1e6) || ' ns', chr(10) ORDER BY path_id) AS t FROM {paths} GROUP BY endpoint) t ON t.case_id = c.case_id")(
+    lambda t: render_instruction(t.specs.select("case_id", F.concat(F.lit("Case "), F.col("case_id").cast("string")).alias("header")), t.paths.select(F.col("endpoint").alias("case_id"), F.col("path_id").alias("seq"), F.concat(F.lit("p"), F.col("path_id").cast("string")).alias("endpoint"), (F.floor(F.round(F.col("slack_ns") * 1e8) / 100) / 1e6).alias("slack_ns"))).withColumn("prompt", F.sha2("prompt", 256))
 )
 query("chat_assembly", "SELECT conv_id, count(*) AS n, sha256(string_agg(role || ':' || text || CASE WHEN role = 'assistant' AND turn % 2 = 1 THEN chr(10) || chr(10) || '```tcl' || chr(10) || 'fix' || chr(10) || '```' ELSE '' END, chr(10) ORDER BY turn)) AS h FROM conversations GROUP BY conv_id")(
     lambda t: chat_assembly(t.conversations.withColumn("code", F.when(F.col("turn") % 2 == 1, "fix"))).select("conv_id", F.size("messages").cast("long").alias("n"), F.sha2(F.array_join(F.transform("messages", lambda m: F.concat_ws(":", m["role"], m["content"])), "\n"), 256).alias("h"))

@@ -63,9 +63,16 @@ def interval_overlap(intervals: DataFrame, bucket: int = 16) -> DataFrame:
     return hit.where(F.col("bucket") == F.floor(F.greatest("f1", "f2") / bucket)).select("timing", "id_1", "id_2")
 
 
-def window_match(measured: DataFrame, specs: DataFrame) -> DataFrame:
-    """Measurements inside a case's [low, high] window of the same hierarchy, with the distance to its middle."""
-    return measured.join(specs, "hierarchy_group").where(F.col("slack_ns").between(F.col("low"), F.col("high"))).withColumn("distance", F.abs(F.col("slack_ns") - (F.col("low") + F.col("high")) / 2))
+def window_match(measured: DataFrame, specs: DataFrame, width: float = 0.002) -> DataFrame:
+    """Measurements inside a case's [low, high] window of the same hierarchy, with the distance to its middle.
+
+    Both sides meet in buckets of ``width`` (as wide as a usual window), so that a hot hierarchy is spread over its slacks. A
+    null slack, bound or hierarchy matches nothing; repeated rows match as often as they occur.
+    """
+    bucket = lambda c: F.floor(F.col(c) / width)
+    wide = specs.where("low <= high").withColumn("_bucket", F.explode(F.sequence(bucket("low"), bucket("high"))))
+    both = measured.withColumn("_bucket", bucket("slack_ns")).join(wide, ["hierarchy_group", "_bucket"]).drop("_bucket")
+    return both.where(F.col("slack_ns").between(F.col("low"), F.col("high"))).withColumn("distance", F.abs(F.col("slack_ns") - (F.col("low") + F.col("high")) / 2))
 
 
 def corner_crosscheck(markers: DataFrame) -> DataFrame:
@@ -327,9 +334,10 @@ query("category_regression", f"WITH {BOTH} SELECT 'each' AS mode, * FROM b WHERE
     lambda t: reduce(DataFrame.unionByName, [category_regression(t.drc_before, t.drc_after, m).withColumn("mode", F.lit(m)) for m in ("each", "new_only", "total")])
 )
 query("interval_overlap", "SELECT a.timing, a.id AS id_1, b.id AS id_2 FROM {intervals} a JOIN {intervals} b ON a.timing = b.timing AND a.id < b.id AND a.first_rank < b.first_rank + b.n_ranks AND b.first_rank < a.first_rank + a.n_ranks")(lambda t: interval_overlap(t.intervals))
-WINDOWS = "SELECT p_partkey AS spec, '1-URGENT' AS hierarchy_group, p_size / 1000.0 AS low, p_size / 1000.0 + 0.002 AS high FROM {part} WHERE p_partkey % 50 = 0"
-query("window_match", "WITH w AS (SELECT p_partkey AS spec, '1-URGENT' AS hierarchy_group, p_size / 1e3 AS low, p_size / 1e3 + 0.002 AS high FROM part WHERE p_partkey % 50 = 0) SELECT path_id, spec, round(abs(slack_ns - (low + high) / 2), 9) AS distance FROM {paths} p JOIN w ON p.hierarchy_group = w.hierarchy_group AND slack_ns BETWEEN low AND high")(
-    lambda t: window_match(t.paths, t.part.where("p_partkey % 50 = 0").select(F.col("p_partkey").alias("spec"), F.lit("1-URGENT").alias("hierarchy_group"), (F.col("p_size") / 1e3).alias("low"), (F.col("p_size") / 1e3 + 0.002).alias("high")))
+GROUPS = ("5-LOW", "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
+GROUP_SQL = "CASE p_partkey % 5 " + " ".join(f"WHEN {i} THEN '{g}'" for i, g in enumerate(GROUPS)) + " END"
+query("window_match", f"WITH w AS (SELECT p_partkey AS spec, {GROUP_SQL} AS hierarchy_group, p_size / 1e3 AS low, p_size / 1e3 + 0.002 AS high FROM part) SELECT path_id, spec, round(abs(slack_ns - (low + high) / 2), 9) AS distance FROM {{paths}} p JOIN w ON p.hierarchy_group = w.hierarchy_group AND slack_ns BETWEEN low AND high")(
+    lambda t: window_match(t.paths, t.part.select(F.col("p_partkey").alias("spec"), F.expr(GROUP_SQL).alias("hierarchy_group"), (F.col("p_size") / 1e3).alias("low"), (F.col("p_size") / 1e3 + 0.002).alias("high")))
     .select("path_id", "spec", F.round("distance", 9).alias("distance"))
 )
 MARKERS = "m AS (SELECT o_custkey AS case_id, CASE WHEN o_orderpriority < '3' THEN 'setup' ELSE 'hold' END AS corner, min(o_orderstatus) AS top, count(*) AS threshold, max(o_orderpriority) AS version, min(o_totalprice) > 20000 AS passed FROM orders GROUP BY 1, 2)"
@@ -371,8 +379,8 @@ query("state_counts", "WITH s AS (SELECT case_id, arg_max(state, sequence) AS st
 query("target_coverage", "WITH c AS (SELECT DISTINCT run_id AS case_id, endpoint FROM {paths} WHERE analysis = 'O'), g AS (SELECT DISTINCT run_id AS case_id, endpoint FROM {paths} WHERE analysis = 'F') SELECT coalesce(c.case_id, g.case_id) AS case_id, count(CASE WHEN c.case_id IS NULL THEN 1 END) AS n_missing, count(CASE WHEN g.case_id IS NULL THEN 1 END) AS n_extra, count(CASE WHEN c.case_id IS NULL OR g.case_id IS NULL THEN 1 END) = 0 AS exact FROM c FULL JOIN g ON c.case_id = g.case_id AND c.endpoint = g.endpoint GROUP BY 1")(
     lambda t: target_coverage(t.paths.where("analysis = 'O'").select(F.col("run_id").alias("case_id"), "endpoint"), t.paths.where("analysis = 'F'").select(F.col("run_id").alias("case_id"), "endpoint"))
 )
-query("sensitivity_gate", "WITH s AS (SELECT case_id, instance, max((new_ref - old_ref) * 5e-4) AS gain_ns FROM {operations} WHERE seq < 3 GROUP BY 1, 2), r AS (SELECT DISTINCT case_id, instance FROM {operations} WHERE kind = 'repair') SELECT coalesce(s.case_id, r.case_id) AS case_id, coalesce(s.instance, r.instance) AS instance, round(gain_ns, 6) AS gain_ns, CASE WHEN r.case_id IS NULL THEN 'not_repaired' WHEN gain_ns IS NULL THEN 'unmeasured' WHEN gain_ns < 0.001 - 1e-12 THEN 'too_small' ELSE 'ok' END AS reason FROM s FULL JOIN r ON s.case_id = r.case_id AND s.instance = r.instance")(
-    lambda t: sensitivity_gate(t.operations.where("seq < 3").select("case_id", "instance", ((F.col("new_ref") - F.col("old_ref")) * 5e-4).alias("delta_ns")), t.operations.where("kind = 'repair'")).withColumn("gain_ns", F.round("gain_ns", 6))
+query("sensitivity_gate", "WITH s AS (SELECT case_id, instance, max((new_ref - old_ref) * 5e-4) AS gain_ns FROM {operations} WHERE kind = 'injection' GROUP BY 1, 2), r AS (SELECT DISTINCT case_id, instance FROM {operations} WHERE kind = 'repair') SELECT coalesce(s.case_id, r.case_id) AS case_id, coalesce(s.instance, r.instance) AS instance, round(gain_ns, 6) AS gain_ns, CASE WHEN r.case_id IS NULL THEN 'not_repaired' WHEN gain_ns IS NULL THEN 'unmeasured' WHEN gain_ns < 0.001 - 1e-12 THEN 'too_small' ELSE 'ok' END AS reason FROM s FULL JOIN r ON s.case_id = r.case_id AND s.instance = r.instance")(
+    lambda t: sensitivity_gate(t.operations.where("kind = 'injection'").select("case_id", "instance", ((F.col("new_ref") - F.col("old_ref")) * 5e-4).alias("delta_ns")), t.operations.where("kind = 'repair'")).withColumn("gain_ns", F.round("gain_ns", 6))
 )
 PRINT = "SELECT case_id, kind, sha256(string_agg(kind || ' ' || CAST(instance AS STRING) || ' ' || CAST(old_ref AS STRING) || ' ' || CAST(new_ref AS STRING), chr(10) ORDER BY seq)) AS fingerprint, count(*) AS n FROM {operations} GROUP BY case_id, kind"
 query("operation_fingerprint", PRINT)(lambda t: operation_fingerprint(t.operations, ["case_id", "kind"]))

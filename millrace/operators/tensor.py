@@ -83,6 +83,15 @@ def conv2d(cells: DataFrame, weights: DataFrame, height: int, width: int, kernel
         place = grid.join(F.broadcast(weights)).withColumns({"iy": F.col("oy") * stride + F.col("r") * dilation - pad, "ix": F.col("ox") * stride + F.col("q") * dilation - pad})
         outside = place.where(~(F.col("iy").between(0, height - 1) & F.col("ix").between(0, width - 1))).groupBy("k", "oy", "ox").agg((F.sum("w") * pad_value).alias("p"))
         part = part.join(F.broadcast(outside), ["k", "oy", "ox"], "left").withColumn("s", F.col("s") + F.coalesce("p", F.lit(0))).drop("p")
+    reached = lambda n_out, n_in, size: [o for o in range(n_out) if any(0 <= o * stride + r * dilation - pad < n_in for r in range(size))]
+    rows, cols = reached(oh, height, kernel[0]), reached(ow, width, kernel[1])
+    if len(rows) < oh or len(cols) < ow:  # outputs that only padding touches have no input cell to come from
+        kernels = F.array(*[F.lit(r["k"]) for r in weights.select("k").distinct().collect()])
+        upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+        places = cells.select("tensor_id").distinct().withColumn("k", F.explode(kernels)).withColumn("oy", upto(oh)).withColumn("ox", upto(ow))
+        places = places.where(~(F.col("oy").isin(rows) & F.col("ox").isin(cols)))
+        whole = weights.groupBy("k").agg((F.sum("w") * pad_value).alias("s"))
+        part = part.select("tensor_id", "k", "oy", "ox", "s").unionByName(places.join(F.broadcast(whole), "k").select("tensor_id", "k", "oy", "ox", "s"))
     limit = 1 << 47
     clamped = F.least(F.lit(limit - 1), F.greatest(F.lit(-limit), F.col("s")))
     return part.select("tensor_id", F.col("k").alias("c"), F.col("oy").alias("y"), F.col("ox").alias("x"), saturate(round_shift(clamped, shift), 32).alias("v"))

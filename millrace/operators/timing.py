@@ -276,11 +276,11 @@ query("drive_families", """WITH s AS (SELECT l_partkey AS ref, l_quantity > 10 A
 query("endpoint_local_cells", "SELECT p.path_id, point_index, p.instance, o.endpoint FROM {points} p JOIN {paths} o ON o.path_id = p.path_id WHERE p.instance IN (SELECT instance FROM {reach} GROUP BY instance HAVING count(*) = 1)")(
     lambda t: endpoint_local_cells(path_point_join(t.paths, t.points), t.reach).select("path_id", "point_index", "instance", "endpoint")
 )
-CANDIDATES = "cand AS (SELECT o.endpoint, p.instance, CAST(p.ref % 97 AS BIGINT) AS new_ref, p.path_id, p.point_index, o.slack_ns, o.slack_ns + p.delay_ns / 4 AS predicted_ns FROM {points} p JOIN {paths} o ON o.path_id = p.path_id WHERE p.point_index % 2 = 0)"
+CANDIDATES = "cand AS (SELECT o.endpoint, p.instance, CAST(p.ref % 97 AS BIGINT) AS new_ref, p.path_id, p.point_index, o.slack_ns, o.slack_ns + p.delay_ns / 4 AS predicted_ns FROM {points} p JOIN {paths} o ON o.path_id = p.path_id)"
 
 
 def _candidates(t) -> DataFrame:
-    both = path_point_join(t.paths, t.points).where("point_index % 2 = 0")
+    both = path_point_join(t.paths, t.points)
     return both.select("endpoint", "instance", (F.col("ref") % 97).alias("new_ref"), "path_id", "point_index", "slack_ns", (F.col("slack_ns") + F.col("delay_ns") / 4).alias("predicted_ns"))
 
 
