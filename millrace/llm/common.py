@@ -21,12 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share for cut lineage.
 
-    Reads ``spark.checkpoint.dir``; only where it is unset (as in local tests) a temporary
-    folder is made and set as the checkpoint folder.
+    Reads ``spark.checkpoint.dir``; only where it is unset on a local master (as in tests) a temporary
+    folder is made and set as the checkpoint folder. A cluster must name one.
     """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         found = sc.getCheckpointDir()
     elif not sc.getCheckpointDir():
