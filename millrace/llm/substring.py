@@ -268,7 +268,8 @@ def repeated_spans(base: DataFrame, n: int = WINDOW, k: int = GRAM, common: int
     begin. Only rows with such windows appear.
     """
     base = base.where("doc_id is not null").select("doc_id", "text_key", "text")
-    seen = written(base.mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long"))
+    # read twice, which costs less than a table of it would take on disk
+    seen = base.mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long")
     counts = seen.groupBy("mhash").agg(F.count("*").alias("n")).where("n > 1")
     # hot minimizers: Spark splits the skewed side of this join
     per_doc = seen.join(counts, "mhash").select("doc_id", "mhash", "n").repartition("doc_id").groupBy("doc_id").agg(
