@@ -21,7 +21,7 @@ from millrace.llm.words import raw_texts, words_of
 CAPACITY = 4096
 END_ID = 1
 #: Pieces of one length are numbered in groups of about this many, so that a common length is no single task.
-GROUP_ROWS = 100_000
+GROUP_ROWS = 500
 #: Patterns are of up to this many pieces, by length bands of equal width.
 MOST_DOCS, BANDS = 6, 48
 #: Room that a sequence of a fitted pattern may leave.
