@@ -44,7 +44,7 @@ def parse_timing_paths(reports: DataFrame, check: str | None = None, view: str |
     slacks = F.regexp_extract_all("b", F.lit(rf"(?m)^\s*=?\s*Slack Time\s+({NUMBER})"), F.lit(1))
     head = lambda p: F.nullif(F.regexp_extract("b", p, 1), F.lit(""))
     out = _path_blocks(reports).withColumns({
-        "path_no": F.regexp_extract("b", r"^(\d+):", 1).cast("long"), "endpoint": _block_field("Endpoint"), "beginpoint": _block_field("Beginpoint"), "view": _block_field("Analysis View"),
+        "path_no": F.regexp_extract("b", r"^(\d+):", 1).cast("long"), "endpoint": _block_field("Endpoint"), "beginpoint": _block_field("Beginpoint"), "view": _block_field("(?:Analysis )?View"),
         "_s": slacks, "status": F.regexp_extract("b", r"^\d+:\s*(MET|VIOLATED)", 1), "check": head(r"^\d+:\s*(?:MET|VIOLATED)\s+(\w+)\s+Check"),
     })
     out = out.withColumn("slack_ns", F.try_element_at("_s", F.lit(1)).cast("double"))
