@@ -47,6 +47,14 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are done: its cleaner works when the driver collects garbage.
+
+    Called after a large ``written`` step, whose table is all that the rest of a job reads.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small ``df`` by a reliable checkpoint."""
     shared_dir(df.sparkSession)
