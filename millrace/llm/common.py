@@ -36,25 +36,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df``: write it to the shared folder and read it back.
+def table_path(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that no plan reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Cut the lineage of ``df``: write it to the shared folder (to ``path`` if given) and read it back.
 
     Survives the loss of any executor, as the rows no longer depend on shuffle files.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = path or table_path(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are done: its cleaner works when the driver collects garbage.
-
-    Called after a large ``written`` step, whose table is all that the rest of a job reads.
-    """
-    spark.sparkContext._jvm.System.gc()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small ``df`` by a reliable checkpoint."""
     shared_dir(df.sparkSession)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import BROADCAST_ROWS, later_of_equals, release_shuffles, small_side, table, with_row, written
+from millrace.llm.common import BROADCAST_ROWS, later_of_equals, remove_table, small_side, table, table_path, with_row, written
 from millrace.llm.words import WordHashes, pieces_of, raw_texts, signed, sliding, sliding_argmin, words_of
 
 WINDOW = 13
@@ -268,7 +268,8 @@ def repeated_spans(base: DataFrame, n: int = WINDOW, k: int = GRAM, common: int
     begin. Only rows with such windows appear.
     """
     base = base.where("doc_id is not null").select("doc_id", "text_key", "text")
-    seen = written(base.mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long"))
+    path = table_path(base.sparkSession)
+    seen = written(base.mapInArrow(_emit_minimizers(n, k), "mhash long, doc_id long"), path)
     counts = seen.groupBy("mhash").agg(F.count("*").alias("n")).where("n > 1")
     # hot minimizers: Spark splits the skewed side of this join
     per_doc = seen.join(counts, "mhash").select("doc_id", "mhash", "n").repartition("doc_id").groupBy("doc_id").agg(
@@ -276,7 +277,7 @@ def repeated_spans(base: DataFrame, n: int = WINDOW, k: int = GRAM, common: int
     )
     found = base.join(per_doc, "doc_id").mapInArrow(_emit_segments(n, k), "doc_id long, text_key long, start int, route long, segment binary")
     segments = written(found)
-    release_shuffles(base.sparkSession)
+    remove_table(base.sparkSession, path)
     distinct = segments.groupBy("route", "segment").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
     shards = distinct.repartition("route").sortWithinPartitions("route")
     answers = shards.mapInArrow(_match_shards(n, shard_words), "segment binary, owners array<long>").select(F.unhex(F.md5("segment")).alias("key"), "owners")
@@ -323,7 +324,6 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     copies = _later_copies(base)
     copied = small_side(copies)
     spans = written(repeated_spans(base.join(copied, ["doc_id", "text_key"], "left_anti"), n))
-    release_shuffles(docs.sparkSession)
     touched = spans.select("doc_id", "text_key")
     marked = base.join(copied.withColumn("copied", F.lit(True)), ["doc_id", "text_key"], "left")
     if touched.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # then only texts with repeats are shuffled
