@@ -25,7 +25,7 @@ FEATURES, GRAM, GRADES = 4000, 5, 3
 LEAST_TEXTS, LEAST_RATIO = 4, 12.0
 OFTEN = 3
 #: What a share of clean texts flagged costs against the same share of toxic texts missed.
-CLEAN_COST = 3.0
+CLEAN_COST = 1.0
 RIDGE = 2e-6
 #: Texts of the sample that agree in a band of min-hashes count once when features are chosen.
 BANDS, BAND_ROWS = 8, 3
