@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat, decontaminate, embedding, jaccard, langid, packing, quality, substring, toxicity, urls
+from millrace.llm import chat, decontaminate, embedding, jaccard, langid, packing, quality, substring, toxicity, trie, urls
 
 QUERIES = {
     "op1_url_filter": urls.query,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.query,
     "op9_best_fit_packing": packing.query,
     "op10_chat_formatting": chat.query,
+    "op11_prefix_trie": trie.query,
 }
 
 ORACLE_SQL = {
     "op1_url_filter": urls.ORACLE,
     "op3_embedding_near_dedup": embedding.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
 }
