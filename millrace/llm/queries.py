@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat, decontaminate, embedding, jaccard, langid, packing, quality, substring, toxicity, trie, urls
+from millrace.llm import chat, decontaminate, embedding, jaccard, langid, negatives, packing, quality, substring, toxicity, trie, urls, warc
 
 QUERIES = {
     "op1_url_filter": urls.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_best_fit_packing": packing.query,
     "op10_chat_formatting": chat.query,
     "op11_prefix_trie": trie.query,
+    "op12_warc": warc.query,
+    "op13_hard_negatives": negatives.query,
 }
 
 ORACLE_SQL = {
@@ -23,4 +25,6 @@ ORACLE_SQL = {
     "op3_embedding_near_dedup": embedding.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
     "op11_prefix_trie": trie.ORACLE,
+    "op12_warc": warc.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
 }
