@@ -236,6 +236,9 @@ class _Reader:
         self.at += len(line)
         if self.start is None:
             return done
+        if self.start != self.owner and self.end is None and line != b"\r\n" and not (_FIELD if self.raw else _START).fullmatch(line[:-1]):
+            self.begin(None)  # no record: the chain is over
+            return done
         self.raw += line
         if self.start == self.owner:
             if len(self.raw) > BATCH:  # a payload of many splits goes piece by piece
