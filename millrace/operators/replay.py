@@ -50,31 +50,6 @@ def category_regression(before: DataFrame, after: DataFrame, mode: str = "each")
     return both.where("n_after > n_before" if mode == "each" else "n_before = 0 and n_after > 0")
 
 
-def interval_overlap(intervals: DataFrame, bucket: int = 16) -> DataFrame:
-    """Pairs of half-open [first_rank, first_rank + n_ranks) of one timing class that overlap.
-
-    Each interval goes to the buckets it covers, so that pairs meet by an equi-join; a pair is told in the
-    first bucket they share.
-    """
-    b = intervals.withColumn("last", F.col("first_rank") + F.col("n_ranks"))
-    b = b.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("first_rank") / bucket), F.floor((F.col("last") - 1) / bucket))))
-    side = lambda n: b.select("timing", "bucket", F.col("id").alias(f"id_{n}"), F.col("first_rank").alias(f"f{n}"), F.col("last").alias(f"l{n}"))
-    hit = side(1).join(side(2), ["timing", "bucket"]).where("id_1 < id_2 and f1 < l2 and f2 < l1")
-    return hit.where(F.col("bucket") == F.floor(F.greatest("f1", "f2") / bucket)).select("timing", "id_1", "id_2")
-
-
-def window_match(measured: DataFrame, specs: DataFrame, width: float = 0.002) -> DataFrame:
-    """Measurements inside a case's [low, high] window of the same hierarchy, with the distance to its middle.
-
-    Both sides meet in buckets of ``width`` (as wide as a usual window), so that a hot hierarchy is spread over its slacks. A
-    null slack, bound or hierarchy matches nothing; repeated rows match as often as they occur.
-    """
-    bucket = lambda c: F.floor(F.col(c) / width)
-    wide = specs.where("low <= high").withColumn("_bucket", F.explode(F.sequence(bucket("low"), bucket("high"))))
-    both = measured.withColumn("_bucket", bucket("slack_ns")).join(wide, ["hierarchy_group", "_bucket"]).drop("_bucket")
-    return both.where(F.col("slack_ns").between(F.col("low"), F.col("high"))).withColumn("distance", F.abs(F.col("slack_ns") - (F.col("low") + F.col("high")) / 2))
-
-
 def corner_crosscheck(markers: DataFrame) -> DataFrame:
     """Do the setup and hold corners of a case agree on top, threshold and version, and both pass?"""
     side = lambda c: markers.where(F.col("corner") == c).select("case_id", *(F.col(x).alias(f"{c}_{x}") for x in ("top", "threshold", "version", "passed")))
@@ -107,28 +82,6 @@ def object_visibility(operations: DataFrame, visible: DataFrame) -> DataFrame:
     return operations.join(visible.select("case_id", "instance").distinct(), ["case_id", "instance"], "left_anti").select("case_id", "instance").distinct()
 
 
-def hidden_text_containment(messages: DataFrame, hidden: DataFrame, n: int = 5) -> DataFrame:
-    """(doc_id, item_id) where the normalised hidden text is a substring of the message.
-
-    Candidates share the hash of the hidden text's first ``n`` whole inner words (the second word on),
-    found by an equi-join; containment is then checked. Hidden texts of fewer than n + 2 words meet by
-    plain containment.
-    """
-    clean = lambda c: F.trim(F.regexp_replace(F.col(c), r"[ \t]+(?=\n|$)", ""))
-    words = lambda c: F.split(c, r"[\s]+")
-    m = messages.select("doc_id", clean("text").alias("message"))
-    h = hidden.select("item_id", clean("text").alias("secret")).withColumn("w", words(F.col("secret")))
-    long = h.where(F.size("w") >= n + 2).select("item_id", "secret", F.xxhash64(F.array_join(F.slice("w", 2, n), " ")).alias("key"))
-    # each shifted copy of the words is made once per row; inside a lambda it would be split again for every word
-    w = words(F.col("message"))
-    shifted = F.arrays_zip(*[F.slice(w, k + 1, F.greatest(F.lit(0), F.size(w) - k)) for k in range(n)])
-    grams = F.transform(shifted, lambda x: F.xxhash64(F.concat_ws(" ", *[x[str(k)] for k in range(n)])))
-    hit = m.select("doc_id", F.explode(F.array_distinct(grams)).alias("key")).join(long.select("item_id", "key"), "key").select("doc_id", "item_id").distinct()
-    found = hit.join(m, "doc_id").join(long.select("item_id", "secret"), "item_id").where(F.contains("message", "secret")).select("doc_id", "item_id")
-    short = h.where((F.size("w") < n + 2) & (F.col("secret") != "")).select("item_id", "secret")
-    return found.unionByName(m.join(short, F.contains("message", "secret")).select("doc_id", "item_id"))
-
-
 # --- aggregates and gates ---
 
 
@@ -333,13 +286,6 @@ BOTH = "b AS (SELECT coalesce(x.case_id, y.case_id) AS case_id, coalesce(x.categ
 query("category_regression", f"WITH {BOTH} SELECT 'each' AS mode, * FROM b WHERE n_after > n_before UNION ALL SELECT 'new_only', * FROM b WHERE n_before = 0 AND n_after > 0 UNION ALL SELECT 'total', case_id, 'total', CAST(sum(n_before) AS BIGINT), CAST(sum(n_after) AS BIGINT) FROM b GROUP BY case_id HAVING sum(n_after) > sum(n_before)")(
     lambda t: reduce(DataFrame.unionByName, [category_regression(t.drc_before, t.drc_after, m).withColumn("mode", F.lit(m)) for m in ("each", "new_only", "total")])
 )
-query("interval_overlap", "SELECT a.timing, a.id AS id_1, b.id AS id_2 FROM {intervals} a JOIN {intervals} b ON a.timing = b.timing AND a.id < b.id AND a.first_rank < b.first_rank + b.n_ranks AND b.first_rank < a.first_rank + a.n_ranks")(lambda t: interval_overlap(t.intervals))
-GROUPS = ("5-LOW", "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
-GROUP_SQL = "CASE p_partkey % 5 " + " ".join(f"WHEN {i} THEN '{g}'" for i, g in enumerate(GROUPS)) + " END"
-query("window_match", f"WITH w AS (SELECT p_partkey AS spec, {GROUP_SQL} AS hierarchy_group, p_size / 1e3 AS low, p_size / 1e3 + 0.002 AS high FROM part) SELECT path_id, spec, round(abs(slack_ns - (low + high) / 2), 9) AS distance FROM {{paths}} p JOIN w ON p.hierarchy_group = w.hierarchy_group AND slack_ns BETWEEN low AND high")(
-    lambda t: window_match(t.paths, t.part.select(F.col("p_partkey").alias("spec"), F.expr(GROUP_SQL).alias("hierarchy_group"), (F.col("p_size") / 1e3).alias("low"), (F.col("p_size") / 1e3 + 0.002).alias("high")))
-    .select("path_id", "spec", F.round("distance", 9).alias("distance"))
-)
 MARKERS = "m AS (SELECT o_custkey AS case_id, CASE WHEN o_orderpriority < '3' THEN 'setup' ELSE 'hold' END AS corner, min(o_orderstatus) AS top, count(*) AS threshold, max(o_orderpriority) AS version, min(o_totalprice) > 20000 AS passed FROM orders GROUP BY 1, 2)"
 query("corner_crosscheck", f"""WITH {MARKERS} SELECT coalesce(s.case_id, h.case_id) AS case_id, concat_ws(',', CASE WHEN s.case_id IS NULL OR h.case_id IS NULL THEN 'missing_corner' END, CASE WHEN coalesce(s.top = h.top, false) THEN NULL ELSE 'top_differs' END,
     CASE WHEN coalesce(s.threshold = h.threshold, false) THEN NULL ELSE 'threshold_differs' END, CASE WHEN coalesce(s.version = h.version, false) THEN NULL ELSE 'version_differs' END, CASE WHEN coalesce(s.passed, false) AND coalesce(h.passed, false) THEN NULL ELSE 'not_passed' END) AS reasons
@@ -368,9 +314,6 @@ query("dataset_sync_diff", "SELECT conv_id * 100 + turn AS id, CASE WHEN (conv_i
 query("object_visibility", "SELECT DISTINCT case_id, instance FROM {operations} o WHERE kind = 'repair' AND NOT EXISTS (SELECT 1 FROM {operations} v WHERE v.kind = 'injection' AND v.case_id = o.case_id AND v.instance = o.instance)")(
     lambda t: object_visibility(t.operations.where("kind = 'repair'"), t.operations.where("kind = 'injection'"))
 )
-query("hidden_text_containment", r"WITH m AS (SELECT doc_id, trim(regexp_replace(text, '[ \t]+(\n|$)', '\1', 'g'), ' ') AS x FROM documents), h AS (SELECT item_id, trim(regexp_replace(text, '[ \t]+(\n|$)', '\1', 'g'), ' ') AS y FROM benchmark) SELECT doc_id, item_id FROM m JOIN h ON contains(x, y) AND y <> ''")(
-    lambda t: hidden_text_containment(t.documents, t.benchmark)
-)
 query("distribution_cube", "SELECT shape, strategy, difficulty, count(*) AS n, CAST(grouping_id(shape, strategy, difficulty) AS BIGINT) AS level FROM {catalog} GROUP BY CUBE (shape, strategy, difficulty)")(lambda t: distribution_cube(t.catalog))
 STATES = ["planned", "running", "measured", "accepted", "failed", "abandoned"]
 query("state_counts", "WITH s AS (SELECT case_id, arg_max(state, sequence) AS state FROM {state_events} GROUP BY case_id) SELECT CAST(place AS BIGINT) AS place, d.state, (SELECT count(*) FROM s WHERE s.state = d.state) AS n FROM (VALUES " + ", ".join(f"({i}, '{s}')" for i, s in enumerate(STATES)) + ") d(place, state)")(

@@ -115,14 +115,6 @@ def unmeasured_candidates(candidates: DataFrame, measured: DataFrame, on: tuple[
     return candidates.join(measured.select(*on).distinct(), list(on), "left_anti")
 
 
-def nearest_measured(candidates: DataFrame, measured: DataFrame, k: int, family: list[str], at: str, key: str) -> DataFrame:
-    """The k measured analogues of the same family nearest by ``at`` (ties by ``m_key``), and their mean."""
-    near = candidates.join(measured.withColumnsRenamed({at: "m_at", "value": "m_value", key: "m_key"}).select(*family, "m_at", "m_value", "m_key"), family)
-    order = Window.partitionBy(*candidates.columns).orderBy(F.abs(F.col(at) - F.col("m_at")), "m_key")
-    near = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k)
-    return near.groupBy(*candidates.columns).agg(F.count("*").alias("n_analogues"), F.avg("m_value").alias("predicted"))
-
-
 # --- aggregates ---
 
 
@@ -287,14 +279,6 @@ def _candidates(t) -> DataFrame:
 query("unmeasured_candidates", f"WITH {CANDIDATES} SELECT path_id, point_index, endpoint, instance, new_ref FROM cand c WHERE NOT EXISTS (SELECT 1 FROM {{measured}} m WHERE m.endpoint = c.endpoint AND m.instance = c.instance AND m.new_ref = c.new_ref)")(
     lambda t: unmeasured_candidates(_candidates(t), t.measured).select("path_id", "point_index", "endpoint", "instance", "new_ref")
 )
-query("nearest_measured", """WITH c AS (SELECT p_partkey AS cell, p_brand AS family, p_retailprice AS ratio FROM part WHERE p_size <= 25), m AS (SELECT p_partkey AS cell, p_brand AS family, p_retailprice AS ratio, CAST(p_size AS DOUBLE) AS value FROM part WHERE p_size > 25),
-    r AS (SELECT c.*, m.value, row_number() OVER (PARTITION BY c.cell ORDER BY abs(c.ratio - m.ratio), m.cell) AS n FROM c JOIN m ON c.family = m.family)
-    SELECT cell, family, count(*) AS n_analogues, round(avg(value), 6) AS predicted FROM r WHERE n <= 3 GROUP BY cell, family""")(
-    lambda t: nearest_measured(
-        t.part.where("p_size <= 25").select(F.col("p_partkey").alias("cell"), F.col("p_brand").alias("family"), F.col("p_retailprice").alias("ratio")),
-        t.part.where("p_size > 25").select(F.col("p_partkey").alias("cell"), F.col("p_brand").alias("family"), F.col("p_retailprice").alias("ratio"), F.col("p_size").cast("double").alias("value")), 3, ["family"], "ratio", "cell",
-    ).select("cell", "family", "n_analogues", F.round("predicted", 6).alias("predicted"))
-)
 query("endpoint_worst_slack", "SELECT analysis, endpoint, min(slack_ns) AS slack_ns FROM {paths} GROUP BY analysis, endpoint")(lambda t: endpoint_worst_slack(t.paths, ["analysis"]))
 query("timing_summary", """WITH e AS (SELECT run_id, analysis, endpoint, min(slack_ns) AS s, arg_min(beginpoint, (slack_ns, beginpoint)) AS b, count(*) AS n FROM {paths} GROUP BY ALL)
     SELECT run_id, analysis, min(s) AS wns_ns, round(sum(CASE WHEN s < 0 THEN s ELSE 0 END), 9) AS tns_ns, count(CASE WHEN s < 0 THEN 1 END) AS violating_endpoints, count(*) AS endpoints, CAST(sum(n) AS BIGINT) AS paths,

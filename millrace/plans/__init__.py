@@ -1,9 +1,9 @@
 """All registered queries of the timing, replay, text, tensor, file and streaming jobs."""
 
 from millrace.functions import text
-from millrace.operators import replay, scoring, search, tensor, timing
+from millrace.operators import containment, intervals, refine, replay, scoring, search, tensor, timing
 from millrace.registry import ORACLE_SQL, QUERIES
 from millrace.sources import evidence
 from millrace.streaming import jobs
 
-__all__ = ["ORACLE_SQL", "QUERIES", "evidence", "jobs", "replay", "scoring", "search", "tensor", "text", "timing"]
+__all__ = ["ORACLE_SQL", "QUERIES", "containment", "evidence", "intervals", "jobs", "refine", "replay", "scoring", "search", "tensor", "text", "timing"]
