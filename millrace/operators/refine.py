@@ -6,6 +6,8 @@ may have any number, stay rows.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +82,68 @@ def refinement_vectors(operations: DataFrame, slacks: DataFrame, specs: DataFram
     return ranked.select("case_id", "rank", F.transform("moves", lambda m: F.struct(m["op"], m["level"])).alias("moves"), "best.n_met", "best.outside", "moved")
 
 
+def _covers(limit: int):
+    """Greedy covers of one case from all starts together: rows are starts, columns are cells or endpoints."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place", ignore_index=True)
+        need, n = sorted(pdf["required"].iloc[0]), int(pdf["n"].iloc[0])
+        touches = np.array([[e in own for e in need] for own in map(set, pdf["endpoints"])])
+        left_out, seeds = (np.nonzero(pdf[c])[0] for c in ("weak", "seed"))
+        starts = np.array([(w, s) for w in left_out for s in seeds], np.int64).reshape(-1, 2)
+        row = np.arange(len(starts))
+        taken = np.zeros((len(starts), len(pdf)), bool)
+        taken[row, starts[:, 1]] = True
+        closed = taken.copy()
+        closed[row, starts[:, 0]] = True
+        covered = touches[starts[:, 1]]
+        for _ in range(n - 1):  # the most endpoints gained, then the earliest place
+            worth = (~covered).astype(np.int64) @ touches.T * len(pdf) - np.arange(len(pdf))
+            worth[closed] = np.iinfo(np.int64).min
+            best = worth.argmax(axis=1)
+            able = ~closed[row, best]
+            taken[row[able], best[able]] = True
+            closed[row[able], best[able]] = True
+            covered |= touches[best] & able[:, None]
+        fine = covered.all(axis=1) & (taken.sum(axis=1) == n)
+        names, strength = pdf["instance"].to_numpy(), pdf["strength"].to_numpy(float)
+        sets = {tuple(sorted(names[t])): round(float(strength[t].sum()), PLACES) for t in taken[fine]}
+        first = sorted(sets.items(), key=lambda x: (-x[1], x[0]))[:limit]
+        return pd.DataFrame([(pdf["case_id"].iloc[0], k, list(i), s) for k, (i, s) in enumerate(first)], columns=["case_id", "rank", "instances", "strength"])
+
+    return run
+
+
+def repair_alternatives(cells: DataFrame, cases: DataFrame, limit: int = 6) -> DataFrame:
+    """Repair sets of exactly ``n`` cells that cover all ``endpoints`` of a case: case_id, rank, instances (sorted), strength.
+
+    ``cells``: case_id, instance (once a case), injected, endpoints (those it speeds up), strength (summed best estimate), delay_ns; ``cases``: case_id, n, endpoints. Only the
+    case's own endpoints count. Cells are placed by how many they speed up, then strength, delay and instance. Each set leaves out one of the two weakest injected cells, starts from one of the first
+    max(2 * limit, n + limit) cells that were not injected, and takes the cell of most new endpoints (then the first place) until it has ``n``. Distinct sets are ranked by strength, then
+    instances. Null strengths and delays are 0; cases without endpoints, injected or other cells, or a covering set, have no rows.
+
+    Cells of a case that speed up the same endpoints replace each other in order of place, so that of each such class only as many as a set can take reach the choice.
+    """
+    case = cases.where((F.col("n") > 0) & (F.size("endpoints") > 0)).select("case_id", "n", F.array_distinct("endpoints").alias("required"))
+    zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+    own = cells.join(case, "case_id").select("case_id", "n", "required", "instance", "injected", F.array_sort(F.array_intersect("endpoints", "required")).alias("endpoints"), zero("strength"), zero("delay_ns")).where(F.size("endpoints") > 0)
+    by_place = [F.desc(F.size("endpoints")), F.desc("strength"), F.desc("delay_ns"), "instance"]
+    window = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*by_place))
+    weakest = F.row_number().over(Window.partitionBy("case_id", "injected").orderBy("strength", "delay_ns", "instance"))
+    most = F.greatest(F.lit(2 * limit), F.col("n") + limit)
+    own = own.withColumns({"weak": F.col("injected") & (weakest <= 2), "seed": ~F.col("injected") & (window("case_id", "injected") <= most), "place": window("case_id"), "alike": window("case_id", "endpoints")})
+    few = own.where(F.col("weak") | F.col("seed") | (F.col("alike") <= F.col("n") + 2)).drop("injected", "alike")
+    kind = {f.name: f.dataType.simpleString() for f in few.schema.fields}
+    return few.groupBy("case_id").applyInPandas(_covers(limit), f"case_id {kind['case_id']}, rank int, instances array<{kind['instance']}>, strength double")
+
+
 # --- registered queries ---
 
 query("refinement_vectors")(lambda t: refinement_vectors(_estimates(t), _slacks(t), _specs(t)))
+query("repair_alternatives")(
+    lambda t: repair_alternatives(
+        _estimates(t).groupBy("case_id", "instance").agg(F.collect_set("endpoint").alias("endpoints"), F.sum(F.element_at("estimates", -1)).alias("strength"), F.max("point_index").cast("double").alias("delay_ns"))
+        .withColumn("injected", F.pmod(F.xxhash64("instance"), F.lit(2)) == 0),
+        t.paths.where("slack_ns < 0").groupBy(F.col("endpoint").alias("case_id")).agg(F.lit(3).alias("n"), F.collect_set("hierarchy_group").alias("endpoints")),
+    )
+)
