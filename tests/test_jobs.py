@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from millrace import plans
 from millrace.functions import text
 from millrace.operators import replay, tensor, timing
-from millrace.sources import evidence
-from millrace.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -72,26 +70,3 @@ def test_rounding_is_half_away_from_zero(spark):
     v = spark.createDataFrame([(x,) for x in (-6, -5, -2, -1, 0, 1, 2, 5, 6)], "v long")
     assert [r[0] for r in v.select(tensor.round_shift(F.col("v"), 2)).collect()] == [-2, -1, -1, 0, 0, 0, 1, 1, 2]
     assert [r[0] for r in v.select(tensor.saturate(F.col("v") * 50, 8)).collect()] == [-128, -128, -100, -50, 0, 50, 100, 127, 127]
-
-
-def test_files_round_trip(spark, folder):
-    (folder / "t.tsv").write_text("name\tn\na\\tb\\\\n\t3\nx\ty\nshort\n")
-    schema = evidence.T.StructType([evidence.T.StructField("name", evidence.T.StringType()), evidence.T.StructField("n", evidence.T.LongType())])
-    got = evidence.read_evidence_tsv(spark, str(folder / "t.tsv"), schema).collect()
-    assert [tuple(r) for r in got] == [("a\tb\\n", 3, False), ("x", None, False), ("short", None, True)]
-    with pytest.raises(ValueError, match="header"):
-        evidence.read_evidence_tsv(spark, str(folder / "t.tsv"), evidence.T.StructType(schema.fields[:1]))
-    good = '{"messages":[{"role":"system","content":"s"},{"role":"user","content":"u"},{"role":"assistant","content":"a"}],"metadata":{"id":"1"}}'
-    (folder / "s.jsonl").write_text(good + "\n\n" + good.replace('"user"', '"bot"') + "\n")
-    ok, bad = evidence.read_sft_jsonl(spark, str(folder / "s.jsonl"))
-    assert ok.count() == 1 and sorted(r["reasons"][0] for r in bad.collect()) == ["blank_line", "roles"]
-    said = evidence.write_sft_jsonl(ok.withColumn("id", F.lit(1)), "id", str(folder / "out"))
-    assert said["lines"] == 1
-    assert evidence.file_inventory(spark, str(folder)).where("path like '%t.tsv'").first()["bytes"] == (folder / "t.tsv").stat().st_size
-
-
-def test_streams(spark):
-    assert plans.QUERIES["stream_measurement_dedupe"](spark, SF).count() == spark.read.parquet(f"{SF}/events.parquet").select("user_id", "event_type").distinct().count()
-    got = plans.QUERIES["stream_case_state"](spark, SF).collect()
-    assert got and all(r["accepted"] == (r["current"] == r["state"]) or not r["accepted"] for r in got)
-    assert jobs.ALLOWED
