@@ -34,6 +34,20 @@ ROLES = {
     "operations": """SELECT l_orderkey AS case_id, CASE WHEN l_linestatus = 'O' THEN 'injection' ELSE 'repair' END AS kind, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY LINE) AS BIGINT) AS seq,
         l_partkey AS instance, l_suppkey % 7 AS old_ref, CAST(l_linenumber % 7 AS BIGINT) AS new_ref FROM {lineitem}""".replace("LINE", LINE_ORDER),
     "trace": """SELECT user_id AS trace, event_id AS seq, CASE event_type WHEN 'view' THEN 'read_reg' WHEN 'click' THEN 'write_reg' WHEN 'purchase' THEN 'write_reg' ELSE 'wait' END AS op, user_id % 8 + event_id % 16 AS addr, CAST(round(value * 100) AS BIGINT) AS data FROM {events}""",
+    "gate_replays": " UNION ALL ".join(f"""SELECT o_orderkey AS case_id, CAST({k} AS BIGINT) AS replay, CASE WHEN o_orderkey % 23 = 0 THEN 'FAIL' ELSE 'PASS' END AS status, CASE WHEN o_orderkey % 29 = 0 THEN '8' ELSE '7' END AS tool_version, o_orderpriority AS fix_sha256,
+        CASE WHEN o_orderkey % 31 <> 0 THEN o_orderstatus END AS checkpoint_sha256, o_orderkey % 37 = {k} AS hold_gated, o_orderkey % 41 <> 0 AS hold_recorded, o_orderkey % 43 <> 0 AS placement_legal, o_orderkey % 47 <> 0 AS equivalent, CAST(CASE WHEN o_orderkey % 53 = 0 THEN 1 ELSE 0 END AS BIGINT) AS moved_by_resize,
+        CAST(CASE WHEN o_orderkey % 59 = 0 THEN 1 ELSE 0 END AS BIGINT) AS moved_by_legalize, o_orderdate AS topology_before, CASE WHEN o_orderkey % 61 <> 0 THEN o_orderdate END AS topology_after, 'c' AS constraints_before, CASE WHEN o_orderkey % 67 = 0 THEN 'd' ELSE 'c' END AS constraints_after,
+        5 AS max_fanout_before, CASE WHEN o_orderkey % 71 = 0 THEN 4 ELSE 5 END AS max_fanout_after, 3 AS max_transition_before, CASE WHEN o_orderkey % 73 = 0 THEN 4 ELSE 2 END AS max_transition_after, 3 AS max_capacitance_before, CASE WHEN o_orderkey % 79 = 0 THEN 4 ELSE 3 END AS max_capacitance_after,
+        9 AS drc_before, CASE WHEN o_orderkey % 83 = 0 THEN 10 WHEN o_orderkey % 89 = 0 THEN NULL ELSE 9 END AS drc_after, 0 AS connectivity_before, CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS connectivity_after FROM {{orders}}""" for k in (1, 2)),
+    "gate_specs": """SELECT o_orderkey AS case_id, '7' AS tool_version, o_orderpriority AS fix_sha256, o_orderstatus AS checkpoint_sha256, n_targets, n_protected, -0.022 AS nominal_ns, CASE WHEN o_orderkey % 19 = 0 THEN 0.0005 ELSE 0.002 END AS tolerance_ns
+        FROM {orders} JOIN (SELECT l_orderkey, count(CASE WHEN l_linenumber <= 2 THEN 1 END) AS n_targets, count(CASE WHEN l_linenumber IN (3, 4) THEN 1 END) AS n_protected FROM {lineitem} GROUP BY l_orderkey) ON l_orderkey = o_orderkey WHERE o_orderkey % 103 <> 0""",
+    "gate_endpoints": " UNION ALL ".join(f"""SELECT l_orderkey AS case_id, CAST({k} AS BIGINT) AS replay, l_linenumber AS endpoint, l_linenumber <= 2 AS target, l_linenumber IN (3, 4) OR (l_linenumber = 2 AND l_orderkey % 107 = 0) AS protected,
+        CASE WHEN l_linenumber <= 2 OR l_orderkey % 109 = 0 THEN -(20 + l_suppkey % 5) / 1e3 ELSE 0.05 END AS before_ns, CASE WHEN l_orderkey % 113 = 0 THEN -0.001 ELSE l_quantity / 1e3 END AS resized_ns, CASE WHEN l_orderkey % 127 = {k} THEN NULL ELSE l_quantity / 1e3 END AS after_ns,
+        l_quantity / 1e3 + CASE WHEN l_partkey % 50 = 0 THEN 0.002 ELSE 0.0005 END AS baseline_ns, 80.0 + l_linenumber AS cell_ns, CASE WHEN l_partkey % 60 = 0 THEN 60.0 ELSE 20.0 END AS net_ns, -(20 + l_suppkey % 5) / 1e3 + CASE WHEN l_partkey % 70 = 0 THEN 0.01 ELSE 0 END AS path_ns FROM {{lineitem}}""" for k in (1, 2)),
+    "gate_operations": """SELECT l_orderkey AS case_id, l_linenumber AS instance, l_suppkey % 7 AS old_ref, l_suppkey % 7 + 1 AS new_ref FROM {lineitem} WHERE l_linenumber <= 3""",
+    "gate_diffs": " UNION ALL ".join(f"""SELECT l_orderkey AS case_id, CAST({k} AS BIGINT) AS replay, l_linenumber AS instance, l_suppkey % 7 AS old_ref, l_suppkey % 7 + CASE WHEN l_partkey % 80 = 0 THEN 0 ELSE 1 END AS new_ref, l_partkey % 90 <> 0 AS equivalent
+        FROM {{lineitem}} WHERE l_linenumber <= CASE WHEN l_orderkey % 131 = 0 THEN 4 WHEN l_orderkey % 137 = 0 THEN 1 ELSE 3 END""" for k in (1, 2)),
+    "gate_sensitivity": " UNION ALL ".join(f"""SELECT l_orderkey AS case_id, CAST({k} AS BIGINT) AS replay, l_linenumber AS instance, e AS endpoint, CASE WHEN l_partkey % 100 = 0 THEN 0.0005 ELSE 0.002 END - e * 0.0001 AS gain_ns FROM {{lineitem}} CROSS JOIN (VALUES (1), (2)) v(e) WHERE l_linenumber <= 3 AND l_orderkey % 139 <> 0""" for k in (1, 2)),
 }
 #: tensor cells: vectors of 64 numbers as an 8 x 8 image with one channel per label
 TENSOR_SPARK = """SELECT vec_id AS tensor_id, CAST(coalesce(label, 0) AS BIGINT) AS label, CAST(pos AS BIGINT) AS c, CAST(floor(pos / 8) AS BIGINT) AS y, CAST(pos % 8 AS BIGINT) AS x, CAST(round(e * 1024) AS BIGINT) AS v FROM (SELECT vec_id, label, posexplode(embedding) AS (pos, e) FROM {embeddings})"""

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.lineage import running, written
 from millrace.registry import query
 
 #: One picosecond in ns, and the slack of comparisons of doubles.
@@ -20,24 +21,36 @@ def functional_pair_lookup(diffs: DataFrame, pairs: DataFrame) -> DataFrame:
     return diffs.join(known, ["old_ref", "new_ref"], "left").withColumn("equivalent", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
+def _sides(left: DataFrame, right: DataFrame, on: list[str], columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """Full outer join of two keyed tables with ``_l`` and ``_r``, which say where a key is, whatever its values; null keys are keys."""
+    one = left.select(*on, *[F.col(c).alias(a) for c, (a, _) in columns.items()], F.lit(True).alias("_l")).alias("l")
+    two = right.select(*on, *[F.col(c).alias(b) for c, (_, b) in columns.items()], F.lit(True).alias("_r")).alias("r")
+    same = reduce(Column.__and__, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in on])
+    both = one.join(two, same, "full_outer")
+    return both.select(*[F.coalesce(f"l.{c}", f"r.{c}").alias(c) for c in on], *[x for p in columns.values() for x in p], F.coalesce("_l", F.lit(False)).alias("_l"), F.coalesce("_r", F.lit(False)).alias("_r"))
+
+
 def cell_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Instances whose ref changed, or that were added or removed."""
-    b, a = before.select("instance", F.col("ref").alias("old_ref")), after.select("instance", F.col("ref").alias("new_ref"))
-    change = F.when(F.col("old_ref").isNull(), "added").when(F.col("new_ref").isNull(), "removed").when(F.col("old_ref") != F.col("new_ref"), "changed")
-    return b.join(a, "instance", "full_outer").withColumn("change", change).where("change is not null")
+    """Instances whose ref changed (also from or to null), or that were added or removed: instance, old_ref, new_ref, change."""
+    both = _sides(before, after, ["instance"], {"ref": ("old_ref", "new_ref")})
+    change = F.when(~F.col("_l"), "added").when(~F.col("_r"), "removed").when(~F.col("old_ref").eqNullSafe(F.col("new_ref")), "changed")
+    return both.withColumn("change", change).where("change is not null").drop("_l", "_r")
 
 
 def slack_compare(left: DataFrame, right: DataFrame, on: list[str], tol: float = TOLERANCE_NS) -> DataFrame:
-    """Keys that only one map has, or whose slacks differ by more than ``tol``, with the reason."""
-    both = left.select(*on, F.col("slack_ns").alias("l")).join(right.select(*on, F.col("slack_ns").alias("r")), on, "full_outer")
-    why = F.when(F.col("r").isNull(), "only_left").when(F.col("l").isNull(), "only_right").when(F.abs(F.col("l") - F.col("r")) > tol + EPSILON, "over")
-    return both.withColumn("reason", why).where("reason is not null")
+    """Keys that only one map has (only_left, only_right), or whose slacks differ by more than ``tol`` (over); two nulls are equal, a null or NaN and a number are not."""
+    both = _sides(left, right, on, {"slack_ns": ("l", "r")})
+    number = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    over = F.when(number("l") & number("r"), F.abs(F.col("l") - F.col("r")) > tol + EPSILON).otherwise(~F.col("l").eqNullSafe(F.col("r")))
+    return both.withColumn("reason", F.when(~F.col("_r"), "only_left").when(~F.col("_l"), "only_right").when(over, "over")).where("reason is not null").drop("_l", "_r")
 
 
 def protected_drop(baseline: DataFrame, after: DataFrame, on: list[str], max_drop: float = TOLERANCE_NS) -> DataFrame:
-    """Protected endpoints that fell below zero or lost more than ``max_drop``."""
-    both = baseline.select(*on, F.col("slack_ns").alias("before_ns")).join(after.select(*on, F.col("slack_ns").alias("after_ns")), on)
-    return both.where((F.col("after_ns") < 0) | (F.col("before_ns") - F.col("after_ns") > max_drop + EPSILON))
+    """Protected endpoints that fell below zero (negative), lost more than ``max_drop`` (dropped), are on one side only (missing, extra) or have a null or NaN slack (unknown)."""
+    both = _sides(baseline, after, on, {"slack_ns": ("before_ns", "after_ns")})
+    unknown = F.col("before_ns").isNull() | F.col("after_ns").isNull() | F.isnan("before_ns") | F.isnan("after_ns")
+    why = F.when(~F.col("_r"), "missing").when(~F.col("_l"), "extra").when(unknown, "unknown").when(F.col("after_ns") < 0, "negative").when(F.col("before_ns") - F.col("after_ns") > max_drop + EPSILON, "dropped")
+    return both.withColumn("reason", why).where("reason is not null").drop("_l", "_r")
 
 
 def category_regression(before: DataFrame, after: DataFrame, mode: str = "each") -> DataFrame:
@@ -63,11 +76,10 @@ def corner_crosscheck(markers: DataFrame) -> DataFrame:
 
 
 def inventory_verify(declared: DataFrame, found: DataFrame) -> DataFrame:
-    """Declared against found files: missing, extra, bytes or hash differ."""
-    d = declared.select("case_id", "path", F.col("bytes").alias("db"), F.col("sha256").alias("ds"))
-    f = found.select("case_id", "path", F.col("bytes").alias("fb"), F.col("sha256").alias("fs"))
-    why = F.when(F.col("fb").isNull(), "missing").when(F.col("db").isNull(), "extra").when(F.col("db") != F.col("fb"), "bytes").when(F.col("ds") != F.col("fs"), "hash")
-    return d.join(f, ["case_id", "path"], "full_outer").select("case_id", "path", why.alias("reason")).where("reason is not null")
+    """Declared against found files: missing, extra, bytes or hash differ; a null size or hash differs from any other."""
+    both = _sides(declared, found, ["case_id", "path"], {"bytes": ("db", "fb"), "sha256": ("ds", "fs")})
+    why = F.when(~F.col("_r"), "missing").when(~F.col("_l"), "extra").when(~F.col("db").eqNullSafe(F.col("fb")), "bytes").when(~F.col("ds").eqNullSafe(F.col("fs")), "hash")
+    return both.select("case_id", "path", why.alias("reason")).where("reason is not null")
 
 
 def dataset_sync_diff(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
@@ -119,10 +131,25 @@ def operation_fingerprint(operations: DataFrame, by: list[str]) -> DataFrame:
     return operations.groupBy(*by).agg(F.sha2(F.array_join(rows, "\n"), 256).alias("fingerprint"), F.count("*").alias("n"))
 
 
-def tree_digest(inventory: DataFrame, by: list[str]) -> DataFrame:
-    """One hash per tree from its files' path, bytes and hash, sorted by path."""
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("path", F.concat_ws("\t", "path", F.col("bytes").cast("string"), "sha256").alias("line")))), lambda x: x["line"])
-    return inventory.groupBy(*by).agg(F.sha2(F.array_join(rows, "\n"), 256).alias("digest"), F.count("*").alias("n"))
+def tree_digest(inventory: DataFrame, by: list[str], fanout: int = 4096) -> DataFrame:
+    """One hash per tree (``by``) from its files' path, bytes and hash, sorted by path: digest, n.
+
+    A tree of up to ``fanout`` files is the hash of its lines. Those of a larger one are hashed in runs of ``fanout`` by path, the runs' hashes (a line each) in runs of ``fanout`` again, until one
+    is left; no task ever holds more lines of a tree. Null paths come first and print empty; repeated files count as often; equal paths go by their line.
+    """
+    line = F.concat_ws("\t", F.coalesce("path", F.lit("")), F.col("bytes").cast("string"), "sha256")
+    n = written(inventory.groupBy(*by).agg(F.count("*").alias("n")))
+    most = n.agg(F.max("n")).first()[0] or 0
+    placed = running(inventory.select(*by, line.alias("line"), "path"), by, ["path", "line"], {"at": "1"})
+    level = placed.join(n, by).select(*by, "at", "line", F.col("n").alias("left"), F.lit(False).alias("hashed"))
+    while True:
+        lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n")
+        one = F.when(F.first("hashed") & (F.first("left") == 1), F.first("line")).otherwise(F.sha2(lines, 256))  # a tree that is one hash keeps it
+        level = level.groupBy(*by, F.floor((F.col("at") - 1) / fanout).alias("run")).agg(one.alias("line"), F.ceil(F.first("left") / fanout).alias("left"))
+        most = -(-most // fanout)
+        if most <= 1:
+            return level.select(*by, F.col("line").alias("digest")).join(n, by)
+        level = written(level.select(*by, (F.col("run") + 1).alias("at"), "line", "left", F.lit(True).alias("hashed")))
 
 
 def slack_map_digest(slacks: DataFrame, by: list[str]) -> DataFrame:
@@ -152,13 +179,6 @@ def benchmark_rollup(runs: DataFrame) -> DataFrame:
     )
 
 
-def gate_verdict(gates: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
-    """All gates of a case -> passed, the failed ones by name, reward 1 or 0. A null gate has failed."""
-    fine = F.coalesce("passed", F.lit(False))
-    out = gates.groupBy("case_id").agg(F.bool_and(fine).alias("passed"), F.array_sort(F.collect_set(F.when(~fine, F.col("gate")))).alias("failed"), F.count("*").alias("n_gates"))
-    return out.withColumn("reward", F.when(F.col("passed"), 1.0).otherwise(0.0))
-
-
 # --- states over time ---
 
 
@@ -244,27 +264,6 @@ def spec_range_checks(specs: DataFrame, rules: DataFrame) -> DataFrame:
     return both.where(~F.coalesce(F.col("target_count").between(F.col("least"), F.col("most")), F.lit(False)))
 
 
-# --- composite jobs ---
-
-
-def validate_replay(slacks: DataFrame, specs: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
-    """Gate rows (case_id, gate, passed) of one replay: closure, exact count, severity window."""
-    per = specs.join(slacks.groupBy("case_id").agg(F.min("slack_ns").alias("wns"), F.count(F.when(F.col("slack_ns") < 0, 1)).alias("n_negative")), "case_id", "left")
-    worse = before.select("case_id", "endpoint", F.col("slack_ns").alias("b")).join(after.select("case_id", "endpoint", F.col("slack_ns").alias("a")), ["case_id", "endpoint"], "left")
-    worse = worse.groupBy("case_id").agg(F.bool_and(F.coalesce((F.col("a") >= 0) | (F.col("b") - F.col("a") <= TOLERANCE_NS + EPSILON), F.lit(False))).alias("kept"))
-    per = per.join(worse, "case_id", "left")
-    gates = {"known": F.col("wns").isNotNull(), "closure": F.col("wns") >= 0, "count": F.col("n_negative") <= F.col("target_count"), "protected": F.col("kept")}
-    return per.select("case_id", F.explode(F.array(*[F.struct(F.lit(g).alias("gate"), F.coalesce(test, F.lit(False)).alias("passed")) for g, test in gates.items()])).alias("g")).select("case_id", "g.gate", "g.passed")
-
-
-def compare_replays(left: DataFrame, right: DataFrame, tol: float = TOLERANCE_NS) -> DataFrame:
-    """Per case: how many numbers two replays share, miss or move; one full outer join on the case's keys."""
-    both = left.select("case_id", "endpoint", F.col("slack_ns").alias("l")).join(right.select("case_id", "endpoint", F.col("slack_ns").alias("r")), ["case_id", "endpoint"], "full_outer")
-    n = lambda test: F.count(F.when(test, 1))
-    out = both.groupBy("case_id").agg(n(F.col("r").isNull()).alias("only_left"), n(F.col("l").isNull()).alias("only_right"), n(F.abs(F.col("l") - F.col("r")) > tol + EPSILON).alias("n_over"), F.count("*").alias("n"))
-    return out.withColumn("same", (F.col("only_left") == 0) & (F.col("only_right") == 0) & (F.col("n_over") == 0))
-
-
 # --- registered queries ---
 
 query("functional_pair_lookup", """WITH k AS (SELECT source_ref AS a, variant_ref AS b FROM {ladders} UNION SELECT variant_ref, source_ref FROM {ladders})
@@ -279,9 +278,10 @@ query("slack_compare", """SELECT coalesce(l.case_id, r.case_id) AS case_id, coal
     FROM {replay_1} l FULL JOIN {replay_2} r ON l.case_id = r.case_id AND l.endpoint = r.endpoint WHERE l.slack_ns IS NULL OR r.slack_ns IS NULL OR abs(l.slack_ns - r.slack_ns) > 0.001 + 1e-12""")(
     lambda t: slack_compare(t.replay_1, t.replay_2, ["case_id", "endpoint"]).select("case_id", "endpoint", "reason")
 )
-query("protected_drop", "SELECT l.case_id, l.endpoint FROM {replay_2} l JOIN {replay_1} r ON l.case_id = r.case_id AND l.endpoint = r.endpoint WHERE r.slack_ns < 0 OR l.slack_ns - r.slack_ns > 0.001 + 1e-12")(
-    lambda t: protected_drop(t.replay_2, t.replay_1, ["case_id", "endpoint"]).select("case_id", "endpoint")
-)
+query("protected_drop", """SELECT coalesce(l.case_id, r.case_id) AS case_id, coalesce(l.endpoint, r.endpoint) AS endpoint, CASE WHEN r.case_id IS NULL THEN 'missing' WHEN l.case_id IS NULL THEN 'extra' WHEN r.slack_ns < 0 THEN 'negative' ELSE 'dropped' END AS reason
+    FROM {replay_1} l FULL JOIN (SELECT * FROM {replay_2} WHERE case_id % 7 <> 0) r ON l.case_id = r.case_id AND l.endpoint = r.endpoint WHERE l.case_id IS NULL OR r.case_id IS NULL OR r.slack_ns < 0 OR l.slack_ns - r.slack_ns > 0.001 + 1e-12""")(
+    lambda t: protected_drop(t.replay_1, t.replay_2.where("case_id % 7 <> 0"), ["case_id", "endpoint"]).select("case_id", "endpoint", "reason")
+)
 BOTH = "b AS (SELECT coalesce(x.case_id, y.case_id) AS case_id, coalesce(x.category, y.category) AS category, coalesce(x.n, 0) AS n_before, coalesce(y.n, 0) AS n_after FROM {drc_before} x FULL JOIN {drc_after} y ON x.case_id = y.case_id AND x.category = y.category)"
 query("category_regression", f"WITH {BOTH} SELECT 'each' AS mode, * FROM b WHERE n_after > n_before UNION ALL SELECT 'new_only', * FROM b WHERE n_before = 0 AND n_after > 0 UNION ALL SELECT 'total', case_id, 'total', CAST(sum(n_before) AS BIGINT), CAST(sum(n_after) AS BIGINT) FROM b GROUP BY case_id HAVING sum(n_after) > sum(n_before)")(
     lambda t: reduce(DataFrame.unionByName, [category_regression(t.drc_before, t.drc_after, m).withColumn("mode", F.lit(m)) for m in ("each", "new_only", "total")])
@@ -306,6 +306,11 @@ def _files(t) -> tuple[DataFrame, DataFrame]:
 FILES = "d AS (SELECT source AS case_id, CAST(doc_id AS STRING) AS path, CAST(strlen(text) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents), f AS (SELECT case_id, path, bytes + CASE WHEN CAST(path AS BIGINT) % 17 = 0 THEN 1 ELSE 0 END AS bytes, CASE WHEN CAST(path AS BIGINT) % 19 = 0 THEN '0' ELSE sha256 END AS sha256 FROM d WHERE CAST(path AS BIGINT) % 13 <> 0)"
 query("inventory_verify", f"WITH {FILES} SELECT d.case_id, d.path, CASE WHEN f.bytes IS NULL THEN 'missing' WHEN d.bytes <> f.bytes THEN 'bytes' ELSE 'hash' END AS reason FROM d LEFT JOIN f ON d.case_id = f.case_id AND d.path = f.path WHERE f.bytes IS NULL OR d.bytes <> f.bytes OR d.sha256 <> f.sha256")(lambda t: inventory_verify(*_files(t)))
 query("tree_digest", f"WITH {FILES} SELECT case_id, sha256(string_agg(path || chr(9) || CAST(bytes AS STRING) || chr(9) || sha256, chr(10) ORDER BY path)) AS digest, count(*) AS n FROM d GROUP BY case_id")(lambda t: tree_digest(_files(t)[0], ["case_id"]))
+query("tree_digest_deep", f"""WITH {FILES}, r AS (SELECT case_id, path || chr(9) || CAST(bytes AS STRING) || chr(9) || sha256 AS line, row_number() OVER (PARTITION BY case_id ORDER BY path) - 1 AS k, count(*) OVER (PARTITION BY case_id) AS n FROM d),
+    a AS (SELECT case_id, n, k // 16 AS k, sha256(string_agg(line, chr(10) ORDER BY r.k)) AS line FROM r GROUP BY case_id, n, r.k // 16),
+    b AS (SELECT case_id, n, k // 16 AS k, CASE WHEN n <= 16 THEN any_value(line) ELSE sha256(string_agg(line, chr(10) ORDER BY a.k)) END AS line FROM a GROUP BY case_id, n, a.k // 16),
+    c AS (SELECT case_id, n, CASE WHEN n <= 256 THEN any_value(line) ELSE sha256(string_agg(line, chr(10) ORDER BY b.k)) END AS line FROM b GROUP BY case_id, n)
+    SELECT case_id, line AS digest, n FROM c""")(lambda t: tree_digest(_files(t)[0], ["case_id"], 16))
 query("dataset_sync_diff", "SELECT conv_id * 100 + turn AS id, CASE WHEN (conv_id * 100 + turn) % 7 = 0 THEN 'missing' ELSE 'changed' END AS reason FROM conversations WHERE (conv_id * 100 + turn) % 7 = 0 OR (conv_id * 100 + turn) % 11 = 0")(
     lambda t: dataset_sync_diff(
         e := t.conversations.select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), "role", "text"), e.where("id % 7 <> 0").withColumn("text", F.when(F.col("id") % 11 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))), "id",
@@ -337,9 +342,6 @@ query("residual_median", "SELECT l_returnflag AS family, CAST(l_linenumber AS BI
 query("benchmark_rollup", "SELECT o_orderpriority AS model, o_orderstatus AS case_type, count(*) AS n, count(CASE WHEN o_totalprice > 100000 THEN 1 END) AS n_passed, round(avg(CASE WHEN o_totalprice > 100000 THEN 1.0 ELSE 0 END), 6) AS pass_rate, round(CAST(sum(CAST(round(o_totalprice) AS BIGINT)) AS DOUBLE), 3) AS wall_s, CAST(sum(o_custkey % 9) AS BIGINT) AS turns, CAST(grouping_id(o_orderpriority, o_orderstatus) AS BIGINT) AS level FROM orders GROUP BY ROLLUP (o_orderpriority, o_orderstatus)")(
     lambda t: benchmark_rollup(t.orders.select(F.col("o_orderpriority").alias("model"), F.col("o_orderstatus").alias("case_type"), (F.col("o_totalprice") > 100000).alias("passed"), F.round("o_totalprice").alias("wall_s"), (F.col("o_custkey") % 9).alias("turns")))
 )
-query("gate_verdict", "WITH g AS (SELECT l_orderkey AS case_id, l_returnflag || l_linestatus AS gate, l_discount < 0.09 AS p FROM lineitem) SELECT case_id, bool_and(p) AS passed, coalesce(string_agg(DISTINCT CASE WHEN NOT p THEN gate END, ',' ORDER BY CASE WHEN NOT p THEN gate END), '') AS failed, count(*) AS n_gates, CASE WHEN bool_and(p) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS reward FROM g GROUP BY case_id")(
-    lambda t: gate_verdict(t.lineitem.select(F.col("l_orderkey").alias("case_id"), F.concat("l_returnflag", "l_linestatus").alias("gate"), (F.col("l_discount") < 0.09).alias("passed"))).withColumn("failed", F.array_join("failed", ","))
-)
 ALLOWED = [("planned", "running"), ("running", "measured"), ("running", "failed"), ("measured", "accepted"), ("measured", "failed"), ("failed", "running")]
 ALLOWED_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in ALLOWED) + ") k(a, b)"
 query("state_transitions", f"WITH s AS (SELECT *, lag(state) OVER w AS previous, sum(CASE WHEN state = 'running' THEN 1 ELSE 0 END) OVER (w ROWS UNBOUNDED PRECEDING) AS attempt FROM {{state_events}} WINDOW w AS (PARTITION BY case_id ORDER BY sequence)) SELECT case_id, sequence, state, coalesce(previous, '') AS previous, CAST(attempt AS BIGINT) AS attempt, previous IS NULL OR (previous, state) IN (SELECT (a, b) FROM {ALLOWED_SQL}) AS legal FROM s")(
@@ -374,10 +376,3 @@ query("priority_case_order", "SELECT case_id, CAST(list_position(" + str(CLASSES
 query("spec_range_checks", "SELECT case_id, difficulty, target_count FROM {catalog} WHERE NOT (CASE difficulty WHEN 'easy' THEN target_count BETWEEN 1 AND 10 WHEN 'medium' THEN target_count BETWEEN 20 AND 35 ELSE false END)")(
     lambda t: spec_range_checks(t.catalog, t.spark.createDataFrame([("easy", 1, 10), ("medium", 20, 35)], "difficulty string, least int, most int")).select("case_id", "difficulty", "target_count")
 )
-query("validate_replay", """WITH s AS (SELECT case_id, min(slack_ns) AS wns, count(CASE WHEN slack_ns < 0 THEN 1 END) AS k FROM {replay_1} GROUP BY case_id), w AS (SELECT b.case_id, bool_and(coalesce(a.slack_ns >= 0 OR b.slack_ns - a.slack_ns <= 0.001 + 1e-12, false)) AS kept FROM {replay_1} b LEFT JOIN {replay_2} a ON a.case_id = b.case_id AND a.endpoint = b.endpoint GROUP BY b.case_id),
-    p AS (SELECT c.case_id, target_count, wns, k, kept FROM {specs} c LEFT JOIN s ON s.case_id = c.case_id LEFT JOIN w ON w.case_id = c.case_id)
-    SELECT case_id, 'known' AS gate, wns IS NOT NULL AS passed FROM p UNION ALL SELECT case_id, 'closure', coalesce(wns >= 0, false) FROM p UNION ALL SELECT case_id, 'count', coalesce(k <= target_count, false) FROM p UNION ALL SELECT case_id, 'protected', coalesce(kept, false) FROM p""")(
-    lambda t: validate_replay(t.replay_1, t.specs, t.replay_1, t.replay_2)
-)
-query("compare_replays", """SELECT coalesce(l.case_id, r.case_id) AS case_id, count(CASE WHEN r.slack_ns IS NULL THEN 1 END) AS only_left, count(CASE WHEN l.slack_ns IS NULL THEN 1 END) AS only_right, count(CASE WHEN abs(l.slack_ns - r.slack_ns) > 0.001 + 1e-12 THEN 1 END) AS n_over, count(*) AS n,
-    count(CASE WHEN r.slack_ns IS NULL OR l.slack_ns IS NULL OR abs(l.slack_ns - r.slack_ns) > 0.001 + 1e-12 THEN 1 END) = 0 AS same FROM {replay_1} l FULL JOIN {replay_2} r ON l.case_id = r.case_id AND l.endpoint = r.endpoint GROUP BY 1""")(lambda t: compare_replays(t.replay_1, t.replay_2))

@@ -11,33 +11,6 @@ from millrace.registry import query
 EPSILON = 1e-12
 
 
-def score_candidates(metrics: DataFrame, criteria: DataFrame, profiles: DataFrame, profile: str) -> DataFrame:
-    """All gates of a profile per case: passed, failed gates, decision, official, reward.
-
-    ``metrics``: case_id, metric, value, reference (what the metric was before); ``criteria``: gate, metric, rule, bound, where rule is ``least`` (value >= bound), ``most``
-    (value <= bound), ``equal`` or ``no_worse`` (value <= reference + bound); ``profiles``: profile, gate, decision_label, official. A gate passes if all its
-    criteria do; a metric that is missing, null or no number fails its gate, and so does a gate without criteria. Cases are those with any metric.
-    """
-    own = profiles.where(F.col("profile") == profile)
-    wanted = own.select("gate").join(criteria, "gate", "left")  # a profile has a few gates
-    cases = metrics.select("case_id").distinct()
-    need = wanted.agg(F.collect_list(F.struct("gate", "metric", "rule", "bound")).alias("need")).first()["need"]
-    rows = F.array(*[F.struct(F.lit(r["gate"]).alias("gate"), F.lit(r["metric"]).cast("string").alias("metric"), F.lit(r["rule"]).cast("string").alias("rule"), F.lit(r["bound"]).cast("double").alias("bound")) for r in need])
-    each = cases.select("case_id", F.explode(rows).alias("c")).select("case_id", "c.*").join(metrics, ["case_id", "metric"], "left")
-    value, rule = F.col("value"), F.col("rule")
-    test = (
-        F.when(rule == "least", value >= F.col("bound") - EPSILON).when(rule == "most", value <= F.col("bound") + EPSILON)
-        .when(rule == "equal", F.abs(value - F.col("bound")) <= EPSILON).when(rule == "no_worse", value <= F.col("reference") + F.col("bound") + EPSILON)
-    )
-    gates = each.groupBy("case_id", "gate").agg(F.bool_and(F.coalesce(test & ~F.isnan(value), F.lit(False))).alias("passed"))
-    label = own.select("decision_label", "official").first()
-    out = gates.groupBy("case_id").agg(F.bool_and("passed").alias("passed"), F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("gate")))).alias("failed"), F.count("*").alias("n_gates"))
-    return out.select(
-        "case_id", "passed", "failed", "n_gates", F.when(F.col("passed"), label["decision_label"]).otherwise("FAIL").alias("decision"), (F.col("passed") & F.lit(bool(label["official"]))).alias("official"),
-        F.when(F.col("passed"), 1.0).otherwise(0.0).alias("reward"),
-    )
-
-
 def locality_check(localities: DataFrame, slacks: DataFrame, tol: float = 1e-6) -> DataFrame:
     """Reasons why a case's diagnostic of selected endpoints doesn't agree with their slacks: case_id, reasons.
 
@@ -105,30 +78,6 @@ def build_sft_dataset(cases: DataFrame, turns: DataFrame, verdicts: DataFrame, h
 
 # --- registered queries ---
 
-CRITERIA = [("timing", "wns", "least", 0.0), ("timing", "tns", "least", -0.05), ("physical", "drc", "no_worse", 1.0), ("budget", "cells", "most", 5.0), ("audit", "failed", "equal", 0.0)]
-PROFILES = [("official", g, "PASS", True) for g in ("timing", "physical", "budget", "audit")] + [("fast", g, "PASS_FAST", False) for g in ("timing", "budget")]
-
-
-def _score(t, profile: str) -> DataFrame:
-    n = lambda c: F.count_if(F.expr(c)).cast("double")
-    m = t.lineitem.groupBy(F.col("l_orderkey").alias("case_id")).agg(
-        (F.min("l_discount") - 0.01).alias("wns"), (F.min("l_tax") - 0.06).alias("tns"), n("l_returnflag = 'R'").alias("drc"), n("l_returnflag = 'A'").alias("before"), F.count("*").cast("double").alias("cells"), n("l_linestatus = 'X'").alias("failed"),
-    )
-    rows = F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).alias("value"), F.col("before").alias("reference")) for k in ("wns", "tns", "drc", "cells", "failed")])
-    m = m.select("case_id", F.explode(rows).alias("r")).select("case_id", "r.*").where("not (metric = 'failed' and case_id % 11 = 0)")
-    spark = t.spark
-    return score_candidates(m, spark.createDataFrame(CRITERIA, "gate string, metric string, rule string, bound double"), spark.createDataFrame(PROFILES, "profile string, gate string, decision_label string, official boolean"), profile).withColumn("failed", F.array_join("failed", ","))
-
-
-_M = "WITH m AS (SELECT l_orderkey AS case_id, min(l_discount) - 0.01 >= -1e-12 AND min(l_tax) - 0.06 >= -0.05 - 1e-12 AS timing, count(*) FILTER (l_returnflag = 'R') <= count(*) FILTER (l_returnflag = 'A') + 1 AS physical, count(*) <= 5 AS budget, l_orderkey % 11 <> 0 AS audit FROM lineitem GROUP BY l_orderkey)"
-query("score_candidates", f"{_M} SELECT case_id, timing AND physical AND budget AND audit AS passed, concat_ws(',', CASE WHEN NOT audit THEN 'audit' END, CASE WHEN NOT budget THEN 'budget' END, CASE WHEN NOT physical THEN 'physical' END, CASE WHEN NOT timing THEN 'timing' END) AS failed, 4::BIGINT AS n_gates, CASE WHEN timing AND physical AND budget AND audit THEN 'PASS' ELSE 'FAIL' END AS decision, timing AND physical AND budget AND audit AS official, CASE WHEN timing AND physical AND budget AND audit THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS reward FROM m")(
-    lambda t: _score(t, "official")
-)
-query("score_candidates_fast", f"{_M} SELECT case_id, timing AND budget AS passed, concat_ws(',', CASE WHEN NOT budget THEN 'budget' END, CASE WHEN NOT timing THEN 'timing' END) AS failed, 2::BIGINT AS n_gates, CASE WHEN timing AND budget THEN 'PASS_FAST' ELSE 'FAIL' END AS decision, false AS official, CASE WHEN timing AND budget THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS reward FROM m")(
-    lambda t: _score(t, "fast")
-)
-
-
 def _locality(t) -> DataFrame:
     p = t.paths.where("slack_ns < 0").select(F.col("endpoint").alias("case_id"), F.col("path_id").alias("endpoint"), "slack_ns")
     ends = F.array_sort(F.collect_list("endpoint"))

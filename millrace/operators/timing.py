@@ -133,8 +133,14 @@ def timing_summary(paths: DataFrame, by: list[str]) -> DataFrame:
 
 
 def negative_set(slacks: DataFrame, by: list[str]) -> DataFrame:
-    """Sorted negative endpoints of each snapshot."""
-    return slacks.where("slack_ns < 0").groupBy(*by).agg(F.array_sort(F.collect_set("endpoint")).alias("negative_endpoints")).withColumn("n_negative", F.size("negative_endpoints").cast("long"))
+    """Distinct negative endpoints of each snapshot as rows: ``by``, endpoint. Null and NaN slacks are not negative; a snapshot without any has no row."""
+    return slacks.where("slack_ns < 0").select(*by, "endpoint").distinct()
+
+
+def negative_counts(slacks: DataFrame, by: list[str]) -> DataFrame:
+    """n_negative of every snapshot, 0 included, without its set: a snapshot may hold any number of endpoints. Null endpoints count as one."""
+    per = slacks.groupBy(*by, "endpoint").agg(F.bool_or(F.coalesce(F.col("slack_ns") < 0, F.lit(False))).alias("negative"))
+    return per.groupBy(*by).agg(F.count_if("negative").alias("n_negative"), F.count("*").alias("n_endpoints"))
 
 
 def count_values(df: DataFrame, col: str) -> DataFrame:
@@ -283,9 +289,8 @@ query("endpoint_worst_slack", "SELECT analysis, endpoint, min(slack_ns) AS slack
 query("timing_summary", """WITH e AS (SELECT run_id, analysis, endpoint, min(slack_ns) AS s, arg_min(beginpoint, (slack_ns, beginpoint)) AS b, count(*) AS n FROM {paths} GROUP BY ALL)
     SELECT run_id, analysis, min(s) AS wns_ns, round(sum(CASE WHEN s < 0 THEN s ELSE 0 END), 9) AS tns_ns, count(CASE WHEN s < 0 THEN 1 END) AS violating_endpoints, count(*) AS endpoints, CAST(sum(n) AS BIGINT) AS paths,
     arg_min(endpoint, (s, endpoint)) AS worst_endpoint, arg_min(b, (s, endpoint)) AS worst_beginpoint FROM e GROUP BY run_id, analysis""")(lambda t: timing_summary(t.paths, ["run_id", "analysis"]))
-query("negative_set", "SELECT run_id, count(DISTINCT endpoint) AS n_negative, string_agg(DISTINCT CAST(endpoint AS STRING), ',' ORDER BY CAST(endpoint AS STRING)) AS negative_endpoints FROM {paths} WHERE slack_ns < 0 GROUP BY run_id")(
-    lambda t: negative_set(t.paths.withColumn("endpoint", F.col("endpoint").cast("string")), ["run_id"]).withColumn("negative_endpoints", F.array_join("negative_endpoints", ","))
-)
+query("negative_set", "SELECT DISTINCT run_id, endpoint FROM {paths} WHERE slack_ns < 0")(lambda t: negative_set(t.paths, ["run_id"]))
+query("negative_counts", "SELECT run_id, count(DISTINCT CASE WHEN slack_ns < 0 THEN endpoint END) AS n_negative, count(DISTINCT endpoint) AS n_endpoints FROM {paths} GROUP BY run_id")(lambda t: negative_counts(t.paths, ["run_id"]))
 query("count_values", "SELECT hierarchy_group AS value, count(*) AS n FROM {paths} GROUP BY 1")(lambda t: count_values(t.paths, "hierarchy_group"))
 query("group_inventory", "SELECT analysis, hierarchy_group, count(*) AS n_paths, count(DISTINCT ref) AS n_refs FROM {paths} p JOIN {points} q ON p.path_id = q.path_id WHERE point_index = 1 GROUP BY 1, 2")(
     lambda t: group_inventory(path_point_join(t.paths, t.points.where("point_index = 1")))

@@ -49,7 +49,6 @@ def test_tolerance_and_missing_keys(spark):
     got = {r["endpoint"]: r["reason"] for r in replay.slack_compare(left, right, ["case_id", "endpoint"]).collect()}
     assert got == {"b": "over", "d": "only_left", "e": "only_right"}
     assert replay.slack_compare(left, left, ["case_id", "endpoint"]).count() == 0
-    assert [r["same"] for r in replay.compare_replays(left, right).collect()] == [False]
 
 
 def test_tns_counts_endpoints_not_paths(spark):

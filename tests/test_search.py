@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from millrace.functions import text
-from millrace.operators import scoring, search, tensor
+from millrace.operators import search, tensor
 
 REPORT = """#  Design:            blinker
 Path 1: VIOLATED Setup Check with Pin blk/r7/CK
@@ -105,12 +105,3 @@ def test_binding_takes_each_endpoint_once(spark):
     ends = spark.createDataFrame([("r", e) for e in "abcd"], "run_id string, endpoint string")
     got = {r["case_id"]: (r["endpoint"], r["instance"], r["protected"]) for r in search.greedy_binding(viable, specs, ends).collect()}
     assert got == {10: ("a", "ca2", ["b"]), 11: ("c", "cc2", ["d"])}
-
-
-def test_scores_without_a_metric_fail(spark):
-    metrics = spark.createDataFrame([(1, "wns", 0.0, None), (2, "wns", float("nan"), None), (3, "drc", 1.0, 1.0)], "case_id long, metric string, value double, reference double")
-    criteria = spark.createDataFrame([("timing", "wns", "least", 0.0)], "gate string, metric string, rule string, bound double")
-    profiles = spark.createDataFrame([("p", "timing", "OK", True), ("q", "other", "OK", True)], "profile string, gate string, decision_label string, official boolean")
-    got = {r["case_id"]: (r["decision"], r["official"], r["failed"]) for r in scoring.score_candidates(metrics, criteria, profiles, "p").collect()}
-    assert got == {1: ("OK", True, []), 2: ("FAIL", False, ["timing"]), 3: ("FAIL", False, ["timing"])}
-    assert {r["decision"] for r in scoring.score_candidates(metrics, criteria, profiles, "q").collect()} == {"FAIL"}
