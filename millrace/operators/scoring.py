@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import chat_assembly
+from millrace.lineage import running
 from millrace.registry import query
 
 EPSILON = 1e-12
@@ -61,19 +62,15 @@ def build_sft_dataset(cases: DataFrame, turns: DataFrame, verdicts: DataFrame, h
     """Examples of accepted cases, one canonical line each: conv_id, rank, line, sha256.
 
     ``cases``: conv_id, fingerprint; ``turns``: conv_id, turn, role, text, code; ``verdicts``: conv_id, accepted. Refused are cases without an accepted verdict, without a user turn or an assistant's last
-    one, that show a word of ``hidden``, or whose fingerprint a smaller conv_id has. Lines are numbered by conv_id through range partitions and grouped counts.
+    one, that show a word of ``hidden``, or whose fingerprint a smaller conv_id has. Lines are numbered by conv_id, whatever ids there are, through ranges that number their own. Null ids are refused; repeated cases count once.
     """
     word = F.lit(False) if not hidden else F.col("text").rlike("(?i)(" + "|".join(hidden) + ")")
     shape = turns.groupBy("conv_id").agg(F.bool_or(F.col("role") == "user").alias("asked"), (F.max_by("role", "turn") == "assistant").alias("answered"), F.bool_or(F.coalesce(word, F.lit(False))).alias("shown"))
     good = verdicts.groupBy("conv_id").agg(F.bool_and("accepted").alias("accepted")).where("accepted").join(shape.where("asked and answered and not shown"), "conv_id").select("conv_id")
     first = cases.join(good, "conv_id").groupBy("fingerprint").agg(F.min("conv_id").alias("conv_id")).select("conv_id")
     made = chat_assembly(turns.join(first, "conv_id", "left_semi")).select("conv_id", F.to_json(F.struct(F.col("conv_id").alias("id"), "messages")).alias("line"))
-    block = F.floor(F.col("conv_id") / 100_000)
-    counts = made.groupBy(block.alias("_b")).agg(F.count("*").alias("n"))
-    # one row for each 100,000 ids
-    before = counts.withColumn("_before", F.coalesce(F.sum("n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_b", "_before")
-    placed = made.withColumn("_b", block).withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy("conv_id"))).join(before, "_b")
-    return placed.select("conv_id", (F.col("_before") + F.col("_n")).alias("rank"), "line", F.sha2("line", 256).alias("sha256"))
+    placed = running(made, [], ["conv_id"], {"rank": "1"})  # numbered by ranges of conv_id
+    return placed.select("conv_id", "rank", "line", F.sha2("line", 256).alias("sha256"))
 
 
 # --- registered queries ---
@@ -99,9 +96,12 @@ query("summarize_probe", "SELECT 'paths' AS \"table\", f.field, f.type, (SELECT
         {"paths": {"id": "long", "slack": "double", "missing": "text"}, "points": {"line": "int", "flag": "text"}}, {"paths": ["id"], "points": ["id", "line"]},
     )
 )
-query("build_sft_dataset", "WITH s AS (SELECT conv_id, bool_or(role = 'user') AS asked, arg_max(role, turn) = 'assistant' AS answered, bool_or(regexp_matches(text, '(?i)(secret|idiot)')) AS shown, count(*) AS n FROM conversations GROUP BY conv_id), g AS (SELECT min(s.conv_id) AS conv_id FROM s WHERE asked AND answered AND NOT shown AND s.conv_id % 6 <> 0 GROUP BY s.conv_id // 2) SELECT g.conv_id, row_number() OVER (ORDER BY g.conv_id) AS rank, (SELECT count(*) FROM conversations c WHERE c.conv_id = g.conv_id) AS n_messages FROM g")(
+query("build_sft_dataset", """WITH s AS (SELECT conv_id, bool_or(role = 'user') AS asked, arg_max(role, turn) = 'assistant' AS answered, bool_or(regexp_matches(text, '(?i)(secret|idiot)')) AS shown FROM conversations GROUP BY conv_id),
+    g AS (SELECT min(conv_id) AS conv_id FROM s WHERE asked AND answered AND NOT shown AND conv_id % 6 <> 0 GROUP BY conv_id // 2),
+    l AS (SELECT conv_id, '{"id":' || conv_id || ',"messages":[' || string_agg('{"role":' || CAST(to_json(role) AS VARCHAR) || ',"content":' || CAST(to_json(text) AS VARCHAR) || '}', ',' ORDER BY turn) || ']}' AS line FROM conversations WHERE conv_id IN (SELECT conv_id FROM g) GROUP BY conv_id)
+    SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS rank, line, sha256(line) AS sha256 FROM l""")(
     lambda t: build_sft_dataset(
         t.conversations.select("conv_id").distinct().withColumn("fingerprint", F.floor(F.col("conv_id") / 2)), t.conversations.withColumn("code", F.lit(None).cast("string")),
         t.conversations.select("conv_id", (F.col("conv_id") % 6 != 0).alias("accepted")), ("secret", "idiot"),
-    ).select("conv_id", F.col("rank").cast("long").alias("rank"), F.size(F.from_json("line", "id long, messages array<struct<role:string,content:string>>")["messages"]).cast("long").alias("n_messages"))
+    )
 )

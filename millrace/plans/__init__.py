@@ -3,7 +3,7 @@
 from millrace.functions import text
 from millrace.operators import containment, gates, intervals, refine, replay, scoring, search, tensor, timing
 from millrace.registry import ORACLE_SQL, QUERIES
-from millrace.sources import evidence
+from millrace.sources import evidence, ledger
 from millrace.streaming import jobs
 
-__all__ = ["ORACLE_SQL", "QUERIES", "containment", "evidence", "gates", "intervals", "jobs", "refine", "replay", "scoring", "search", "tensor", "text", "timing"]
+__all__ = ["ORACLE_SQL", "QUERIES", "containment", "evidence", "gates", "intervals", "jobs", "ledger", "refine", "replay", "scoring", "search", "tensor", "text", "timing"]

@@ -98,10 +98,38 @@ def test_knobs_are_private_first_and_used_once(spark):
     assert sorted((r["endpoint"], r["op"]) for r in search.refinement_knobs(ops, targets).collect()) == [("a", "p"), ("b", "s")]
 
 
-def test_binding_takes_each_endpoint_once(spark):
-    viable = [("r", e, k, f"c{e}{j}", 0.1 * j, 0.1) for k, e in enumerate("abcd") for j in (1, 2, 3)]
-    viable = spark.createDataFrame(viable, "run_id string, endpoint string, rank long, instance string, estimate_ns double, baseline_ns double")
-    specs = spark.createDataFrame([("r", 10, 1, -0.1, 1), ("r", 11, 2, -0.1, 1), ("r", 12, 3, -0.1, 1), ("r", 13, 0, -9.0, 1)], "run_id string, case_id long, seq long, target_ns double, n_protected int")
-    ends = spark.createDataFrame([("r", e) for e in "abcd"], "run_id string, endpoint string")
-    got = {r["case_id"]: (r["endpoint"], r["instance"], r["protected"]) for r in search.greedy_binding(viable, specs, ends).collect()}
-    assert got == {10: ("a", "ca2", ["b"]), 11: ("c", "cc2", ["d"])}
+def brute_binding(viable, specs, ends):
+    out = {}
+    for run in {v[0] for v in viable}:
+        own = {}
+        for _, e, rank, inst, est, base in (v for v in viable if v[0] == run):
+            r, b, cells = own.get(e, (rank, base, []))
+            own[e] = (min(r, rank), min(b, base), [*cells, (est, inst)])
+        used = set()
+        for _, case, _, target, n in sorted((s for s in specs if s[0] == run), key=lambda s: (s[2], s[1])):
+            for e in sorted(own, key=lambda e: (own[e][0], e)):
+                needed = own[e][1] - target
+                fit = [c for c in own[e][2] if needed > 0 and c[0] >= 0.55 * needed]
+                if e in used or not fit:
+                    continue
+                guard = [x for x in sorted({x for r, x in ends if r == run}) if x not in used and x != e][:n]
+                if len(guard) == n:
+                    out[run, case] = (e, min(fit, key=lambda c: (abs(c[0] - needed), -c[0], c[1]))[1], guard)
+                    used |= {e, *guard}
+                break
+    return out
+
+
+def test_bindings_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    viable, specs, ends = [], [], []
+    for run in ("r", "s"):
+        for e in range(30):
+            base, rank = int(rng.integers(-4, 8)) / 128, int(rng.integers(0, 9))
+            viable += [(run, f"e{e:02d}", rank, f"c{e}{j}", int(rng.integers(0, 16)) / 128, base) for j in range(int(rng.integers(1, 4)))]
+            ends.append((run, f"e{e:02d}"))
+        specs += [(run, c, int(rng.integers(0, 6)), -int(rng.integers(0, 12)) / 128, int(rng.integers(0, 3))) for c in range(20)]
+    ends += [("r", "a0"), ("r", "a0"), ("t", "x")]
+    frames = spark.createDataFrame(viable + viable[:3] + [("r", "e00", 0, "null", None, 0.5)], "run_id string, endpoint string, rank long, instance string, estimate_ns double, baseline_ns double"), spark.createDataFrame(specs + [("u", 1, 1, 0.0, 0)], "run_id string, case_id long, seq long, target_ns double, n_protected int"), spark.createDataFrame(ends, "run_id string, endpoint string")
+    got = {(r["run_id"], r["case_id"]): (r["endpoint"], r["instance"], r["protected"]) for r in search.greedy_binding(*frames).collect()}
+    assert got == brute_binding(viable, specs, ends) and 10 < len(got) < 40
