@@ -46,28 +46,35 @@ def ruled(pages: DataFrame, rules: tuple[tuple[str, str], ...]) -> DataFrame:
 
 
 def host_links(pages: DataFrame) -> DataFrame:
-    """Weighted edges (src, dst, w) between different hosts: anchors with a host in a page's html, and links between a host and
-    its parent domain (the host without its first label, if a dot is left)."""
+    """Weighted edges (src, dst, w) between different hosts: anchors with a host in a page's html, and one from each host to its parent domain (the
+    host without its first label), if that has pages of its own. None leads from a domain to its subdomains, so that these don't speak for each other, and a
+    suffix that many share is no host."""
     found = pages.where("host <> ''").select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("dst"))
     anchors = found.select("src", lower_ascii(F.col("dst")).alias("dst"), F.lit(1.0).alias("w")).where("src <> dst and dst <> ''")
-    # a host and its parent domain vouch for each other: one link each way for every host that has pages
-    under = pages.where(F.col("host").rlike(PARENT)).select("host", F.regexp_replace("host", r"^[^.]*\.", "").alias("parent")).distinct()
-    family = under.select(F.col("host").alias("src"), F.col("parent").alias("dst"), F.lit(1.0).alias("w")).unionAll(under.select("parent", "host", F.lit(1.0)))
+    hosts = pages.where("host <> ''").select("host").distinct()
+    under = hosts.where(F.col("host").rlike(PARENT)).select(F.col("host").alias("src"), F.regexp_replace("host", r"^[^.]*\.", "").alias("dst"), F.lit(1.0).alias("w"))
+    family = under.join(hosts.withColumnRenamed("host", "dst"), "dst", "left_semi").select("src", "dst", "w")
     return anchors.unionAll(family).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """Personalised PageRank (host, score): score = seed + damping * incoming shares, ``rounds`` times.
+def spread(seeds: DataFrame, shares: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    """Trust and distrust of every host, both between 0 and 1: host, trust, distrust.
 
-    ``seeds``: host, seed. ``edges``: src, dst, p, where p is the share of src's score that dst takes over
-    the edge. Scores aren't divided by the number of hosts, so a threshold means the same at
-    every size. Shares are added up before and after each shuffle; the lineage is cut in the
-    shared folder.
+    ``seeds``: host, allowed, blocked; ``shares``: src, dst, p, where p is the share of src's links. Trust goes forward: a host that is linked to has (1 - damping) of its own seed and damping of what
+    its linkers give, each by the share of its links. Distrust goes backward: a host that links has (1 - damping) of its own seed and damping of the distrust that its links lead to. Hosts without such
+    links keep their seed. Both directions take one join a round, ``rounds`` times; shares are added up before and after each shuffle, the lineage is cut in the shared folder.
     """
-    now = seeds.select("host", F.col("seed").alias("score"))
-    for k in range(rounds):
-        flow = edges.join(now.withColumnRenamed("host", "src"), "src").groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("score") * F.col("p") * damping).alias("score"))
-        now = seeds.select("host", F.col("seed").alias("score")).unionByName(flow).groupBy("host").agg(F.sum("score").alias("score"))
+    forth = shares.select(F.col("src").alias("at"), F.col("dst").alias("host"), F.lit(True).alias("forward"), "p")
+    moves = written(forth.unionAll(shares.select(F.col("dst").alias("at"), F.col("src").alias("host"), F.lit(False), "p")))
+    taken = moves.groupBy("host").agg(F.bool_or("forward").alias("linked"), F.bool_or(~F.col("forward")).alias("links"))
+    own = seeds.join(taken, "host", "full_outer").select("host", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("allowed", "blocked")], *[F.coalesce(c, F.lit(False)).alias(c) for c in ("linked", "links")])
+    own = written(own)
+    now = own.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
+    for k in range(0 if moves.isEmpty() else rounds):  # without links nothing moves
+        part = lambda way, c: F.sum(F.when(way, F.col(c) * F.col("p")).otherwise(0.0)).alias(c)
+        flow = moves.join(now.withColumnRenamed("host", "at"), "at").groupBy("host").agg(part(F.col("forward"), "trust"), part(~F.col("forward"), "distrust"))
+        after = lambda some, seed, c: F.least(F.lit(1.0), F.when(F.col(some), (1 - damping) * F.col(seed) + damping * F.coalesce(c, F.lit(0.0))).otherwise(F.col(seed))).alias(c)
+        now = own.join(flow, "host", "left").select("host", after("linked", "allowed", "trust"), after("links", "blocked", "distrust"))
         now = checkpointed(now) if k % 4 == 3 else now
     return now
 
@@ -87,12 +94,8 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, edges: D
     links = written(host_links(base) if edges is None else edges.select("src", "dst", F.col("w").cast("double").alias("w")).where("src <> dst and w > 0"))
     is_ = lambda v: F.avg(F.when(F.col("rule_verdict") == v, 1.0).otherwise(0.0))
     hosts = written(base.where("host <> ''").groupBy("host").agg(is_("allow").alias("allowed"), is_("block").alias("blocked")))
-    scores = hosts
     shares = written(links.join(links.groupBy("src").agg(F.sum("w").alias("all")), "src").select("src", "dst", (F.col("w") / F.col("all")).alias("p")))
-    for name, seed, src, dst in (("trust", "allowed", "src", "dst"), ("distrust", "blocked", "dst", "src")):
-        own = shares.select(F.col(src).alias("src"), F.col(dst).alias("dst"), "p")
-        scores = scores.join(spread(hosts.select("host", F.col(seed).alias("seed")), own).withColumnRenamed("score", name), "host", "left")
-    scores = written(scores.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
+    scores = written(hosts.select("host").join(spread(hosts, shares), "host"))
     bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
     judged = base.drop("html", "url").join(small_side(scores), "host", "left")
     verdict = F.coalesce("rule_verdict", F.when(bad, "block"), F.lit("allow"))
@@ -117,16 +120,17 @@ def _oracle() -> str:
         "h AS MATERIALIZED (SELECT host, avg(CASE WHEN rv = 'allow' THEN 1.0 ELSE 0.0 END) AS allow, avg(CASE WHEN rv = 'block' THEN 1.0 ELSE 0.0 END) AS block FROM r WHERE host <> '' GROUP BY host)",
         f"e0 AS (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {az}) AS dst FROM r WHERE host <> '')",
         f"f AS (SELECT host, regexp_replace(host, '^[^.]*\\.', '') AS parent FROM h WHERE regexp_matches(host, '{PARENT}'))",
-        "e1 AS (SELECT src, dst FROM e0 WHERE src <> dst AND dst <> '' UNION ALL SELECT host, parent FROM f UNION ALL SELECT parent, host FROM f)",
+        "e1 AS (SELECT src, dst FROM e0 WHERE src <> dst AND dst <> '' UNION ALL SELECT host, parent FROM f WHERE parent IN (SELECT host FROM h))",
         "e AS MATERIALIZED (SELECT src, dst, count(*)::DOUBLE AS w FROM e1 GROUP BY ALL)",
         "fw AS MATERIALIZED (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS p FROM e)",
         "bw AS MATERIALIZED (SELECT dst AS src, src AS dst, p FROM fw)",
     ]
     for name, seed, edges in (("t", "allow", "fw"), ("d", "block", "bw")):
-        parts.append(f"{name}0 AS MATERIALIZED (SELECT host, {seed} AS score FROM h)")
+        parts.append(f"{name}s AS MATERIALIZED (SELECT x.host, coalesce({seed}, 0) AS seed, x.host IN (SELECT dst FROM {edges}) AS has FROM (SELECT host FROM h UNION SELECT src FROM e UNION SELECT dst FROM e) x LEFT JOIN h ON h.host = x.host)")
+        parts.append(f"{name}0 AS MATERIALIZED (SELECT host, seed AS score FROM {name}s)")
         for k in range(ROUNDS):
             parts.append(
-                f"{name}{k + 1} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (SELECT host, {seed} AS score FROM h UNION ALL SELECT b.dst, a.score * b.p * {DAMPING} FROM {name}{k} a JOIN {edges} b ON a.host = b.src) GROUP BY host)"
+                f"{name}{k + 1} AS MATERIALIZED (SELECT s.host, least(1, CASE WHEN has THEN {1 - DAMPING} * seed + {DAMPING} * coalesce(flow, 0) ELSE seed END) AS score FROM {name}s s LEFT JOIN (SELECT b.dst AS host, sum(a.score * b.p) AS flow FROM {name}{k} a JOIN {edges} b ON a.host = b.src GROUP BY b.dst) g ON g.host = s.host)"
             )
     return (
         f"WITH {', '.join(parts)} SELECT page_id, r.host, path, rule, CASE WHEN rv IS NOT NULL THEN rv WHEN coalesce(d.score, 0) >= {THRESHOLD} AND coalesce(d.score, 0) > coalesce(t.score, 0) THEN 'block' ELSE 'allow' END AS verdict "

@@ -33,6 +33,22 @@ def test_urls_distrust_of_a_hub_with_many_linkers(spark):
     assert abs(by[1000]["distrust"] - 0.85 / 4) < 1e-9 and by[1000]["verdict"] == "allow"
 
 
+def test_urls_subdomains_take_from_their_parent_and_not_from_each_other(spark):
+    bad = [(i, f"http://bad.shop.co.net/es/{i}", None) for i in range(9)]  # a tenant whose pages are all blocked
+    rows = [*bad, (20, "http://fine.shop.co.net/x", None), (21, "http://shop.co.net/y", None), (22, "http://other.co.net/z", None)]  # co.net has no pages of its own
+    rows += [(30, "http://evil.net/fr/", None), (31, "http://www.evil.net/home", None), (32, "http://evil.org/home", None)]
+    by = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(by[i]["verdict"] == "allow" and by[i]["distrust"] == 0 for i in (20, 21, 22, 32))
+    assert by[31]["verdict"] == "block" and abs(by[31]["distrust"] - 0.85) < 1e-9 and by[30]["verdict"] == "block"
+
+
+def test_urls_scores_stay_shares(spark):
+    ring = [(i, f"http://r{i % 5}.org/" if i % 2 else f"http://r{i % 5}.net/es/", f'<a href="http://r{(i + 1) % 5}.org/"><a href="http://r{(i + 2) % 5}.net/">') for i in range(40)]
+    rows = [*ring, (90, "http://good.com/", "".join(f'<a href="http://r{i}.org/">' for i in range(5))), *((100 + i, f"http://g{i}.com/", '<a href="http://r1.org/">') for i in range(9))]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(0 <= r["distrust"] <= 1 and 0 <= r["trust"] <= 1 for r in got) and max(r["trust"] for r in got if r["host"] == "r1.org") == 1
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(40)] + [(200, i) for i in range(201, 300)] + [(5, 5), (None, 3)]
