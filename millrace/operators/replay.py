@@ -234,14 +234,6 @@ def target_protected_disjoint(targets: DataFrame, protected: DataFrame) -> DataF
     return t.join(p, ["case_id", "endpoint"], "full_outer").groupBy("case_id").agg(F.count("t").alias("n_targets"), F.count("p").alias("n_protected"), F.count(F.when(F.col("t").isNotNull() & F.col("p").isNotNull(), 1)).alias("n_both"))
 
 
-def inverse_policy(injection: DataFrame, repair: DataFrame) -> DataFrame:
-    """Per case: is the repair the exact inverse of the injection, does it hold any inverse pair?"""
-    i = injection.select("case_id", "instance", F.col("old_ref").alias("a"), F.col("new_ref").alias("b")).distinct().withColumn("i", F.lit(1))
-    r = repair.select("case_id", "instance", F.col("new_ref").alias("a"), F.col("old_ref").alias("b")).distinct().withColumn("r", F.lit(1))
-    out = i.join(r, ["case_id", "instance", "a", "b"], "full_outer").groupBy("case_id").agg(F.count("i").alias("n_injected"), F.count("r").alias("n_repaired"), F.count(F.when(F.col("i").isNotNull() & F.col("r").isNotNull(), 1)).alias("n_inverse"))
-    return out.withColumn("exact_inverse", (F.col("n_inverse") == F.col("n_injected")) & (F.col("n_inverse") == F.col("n_repaired")))
-
-
 def measurement_union_dedupe(*measured: DataFrame, key: list[str], best: list) -> DataFrame:
     """All runs together, one row per operation by best evidence."""
     every = reduce(DataFrame.unionByName, measured)
@@ -363,9 +355,6 @@ query("fingerprint_collisions", f"WITH f AS (SELECT case_id, sha256(string_agg(C
 query("target_protected_disjoint", "WITH t AS (SELECT DISTINCT run_id AS case_id, endpoint FROM {paths} WHERE slack_ns < 0), p AS (SELECT DISTINCT run_id AS case_id, endpoint FROM {paths} WHERE slack_ns > 0.4) SELECT coalesce(t.case_id, p.case_id) AS case_id, count(t.endpoint) AS n_targets, count(p.endpoint) AS n_protected, count(CASE WHEN t.endpoint = p.endpoint THEN 1 END) AS n_both FROM t FULL JOIN p ON t.case_id = p.case_id AND t.endpoint = p.endpoint GROUP BY 1")(
     lambda t: target_protected_disjoint(t.paths.where("slack_ns < 0").withColumnRenamed("run_id", "case_id"), t.paths.where("slack_ns > 0.4").withColumnRenamed("run_id", "case_id"))
 )
-query("inverse_policy", "WITH i AS (SELECT DISTINCT case_id, instance % 40 AS instance, old_ref AS a, new_ref AS b FROM {operations} WHERE kind = 'injection'), r AS (SELECT DISTINCT case_id, instance % 40 AS instance, new_ref AS a, old_ref AS b FROM {operations} WHERE kind = 'repair'), x AS (SELECT coalesce(i.case_id, r.case_id) AS case_id, i.case_id AS ii, r.case_id AS rr FROM i FULL JOIN r ON i.case_id = r.case_id AND i.instance = r.instance AND i.a = r.a AND i.b = r.b) SELECT case_id, count(ii) AS n_injected, count(rr) AS n_repaired, count(CASE WHEN ii = rr THEN 1 END) AS n_inverse, count(CASE WHEN ii = rr THEN 1 END) = count(ii) AND count(ii) = count(rr) AS exact_inverse FROM x GROUP BY case_id")(
-    lambda t: inverse_policy(*(t.operations.where(F.col("kind") == k).withColumn("instance", F.col("instance") % 40) for k in ("injection", "repair")))
-)
 query("measurement_union_dedupe", "WITH u AS (SELECT * FROM {measured} UNION ALL SELECT * REPLACE (evidence_level + 1 AS evidence_level) FROM {measured} WHERE new_ref < 50), r AS (SELECT *, row_number() OVER (PARTITION BY endpoint, instance, baseline_ref, new_ref ORDER BY evidence_level DESC, measured_slack_ns, hierarchy_group) AS n FROM u) SELECT endpoint, instance, baseline_ref, new_ref, evidence_level, measured_slack_ns FROM r WHERE n = 1")(
     lambda t: measurement_union_dedupe(t.measured, t.measured.where("new_ref < 50").withColumn("evidence_level", F.col("evidence_level") + 1), key=["endpoint", "instance", "baseline_ref", "new_ref"], best=[F.desc("evidence_level"), "measured_slack_ns", "hierarchy_group"])
     .select("endpoint", "instance", "baseline_ref", "new_ref", "evidence_level", "measured_slack_ns")
