@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.lineage import written
+
 LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 
 #: role -> SQL over tables and other roles, each in braces
@@ -60,6 +62,11 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def keep(self, name: str) -> Tables:
+        """Write the role ``name`` once for all that is made from it."""
+        setattr(self, name, written(getattr(self, name)))
+        return self
+
     def __getattr__(self, name: str) -> DataFrame:
         if name == "cells":
             text = TENSOR_SPARK

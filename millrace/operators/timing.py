@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.lineage import small_side, written
 from millrace.registry import query
 
 #: Admission fractions, and the group labels of an endpoint name.
@@ -220,11 +221,15 @@ def unseen_first_quota(candidates: DataFrame, measured: DataFrame, per_instance:
 
 
 def mine_candidates(paths: DataFrame, points: DataFrame, ladders: DataFrame, reach: DataFrame, measured: DataFrame, k: int = 1000, target: float = 0.0, max_slack: float = 0.1) -> DataFrame:
-    """Repair candidates: admitted paths, their endpoint-local cells, weaker variants, not measured yet, nearest the target."""
-    admitted = path_admission(paths.where(F.col("slack_ns") <= max_slack).join(path_delay_split(points), "path_id"))
-    cells = cell_eligibility(path_point_join(admitted, points))
-    local = endpoint_local_cells(cells, reach)
-    found = ladder_candidates(local, ladders).withColumnRenamed("variant_ref", "new_ref")
+    """Repair candidates: admitted paths, their endpoint-local cells, weaker variants, not measured yet, nearest the target.
+
+    Points of paths above ``max_slack`` are left behind first; those of the others are written once and read for the delay shares and for the cells. Ladders are broadcast if their count
+    allows. Null slacks are not near; ties go by endpoint, instance, new_ref, path and point.
+    """
+    own = written(path_point_join(paths.where(F.col("slack_ns") <= max_slack), points))
+    admitted = path_admission(path_delay_split(own)).select("path_id")
+    cells = cell_eligibility(own).join(admitted, "path_id", "left_semi")
+    found = ladder_candidates(endpoint_local_cells(cells, reach), small_side(ladders)).withColumnRenamed("variant_ref", "new_ref")
     return topk_candidates(unmeasured_candidates(found, measured), k, target)
 
 
@@ -333,4 +338,4 @@ MINE = f"""WITH {SPLIT}, c AS (SELECT o.endpoint, q.instance, variant_ref AS new
     WHERE slack_ns <= 0.1 AND c + n > 0 AND c / (c + n) >= 0.7 AND n / (c + n) <= 0.3 AND {ELIGIBLE} AND q.instance IN (SELECT instance FROM {{reach}} GROUP BY instance HAVING count(*) = 1))
     SELECT endpoint, instance, new_ref, path_id, point_index, predicted_ns FROM c WHERE NOT EXISTS (SELECT 1 FROM {{measured}} m WHERE m.endpoint = c.endpoint AND m.instance = c.instance AND m.new_ref = c.new_ref)
     ORDER BY round(abs(predicted_ns), 12), endpoint, instance, new_ref, path_id, point_index LIMIT 1000"""
-query("mine_candidates", MINE)(lambda t: mine_candidates(t.paths, t.points, t.ladders, t.reach, t.measured).select("endpoint", "instance", "new_ref", "path_id", "point_index", "predicted_ns"))
+query("mine_candidates", MINE)(lambda t: mine_candidates(t.keep("points").paths, t.points, t.ladders, t.reach, t.measured).select("endpoint", "instance", "new_ref", "path_id", "point_index", "predicted_ns"))
