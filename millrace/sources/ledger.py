@@ -6,17 +6,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from millrace.lineage import new_path
 from millrace.registry import query
 
 #: Buckets of a registry; a bucket holds rows / BUCKETS and is read by one task, so choose it for the size that is expected.
 BUCKETS = 64
 
 
+def _bucketed(df: DataFrame, table: str, key: list[str], buckets: int) -> None:
+    """Write ``df`` to a table bucketed by ``key``; a new one lies in the shared folder."""
+    writer = df.write.bucketBy(buckets, *key).sortBy(*key).mode("append")
+    spark = df.sparkSession
+    (writer if spark.catalog.tableExists(table) else writer.option("path", new_path(spark, "registry"))).saveAsTable(table)
+
+
 def append_measured(measured: DataFrame, table: str, key: list[str], buckets: int = BUCKETS) -> None:
     """Add measurements to the registry ``table``, which is made if it isn't there; each load writes its own files of every bucket."""
-    measured.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key).mode("append").saveAsTable(table)
+    _bucketed(measured.repartition(buckets, *key), table, key, buckets)
 
 
 def unmeasured_in(candidates: DataFrame, table: str, key: list[str]) -> DataFrame:
@@ -38,7 +45,7 @@ def upsert_registry(spark: SparkSession, table: str, changes: DataFrame, key: li
     newer = F.col("_old").isNull() | (F.col("_new").isNotNull() & F.coalesce((F.col("_new._order") >= F.col(f"_old.{order}")), F.col(f"_old.{order}").isNull()))
     pick = both.select(*[F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c) for c in columns])
     odd = changes.where(" or ".join(f"`{c}` is null" for c in key)).select(*columns)
-    pick.unionByName(odd).write.bucketBy(buckets, *key).sortBy(*key).saveAsTable(into)
+    _bucketed(pick.unionByName(odd), into, key, buckets)
 
 
 def measurement_sketches(measured: DataFrame, by: list[str], shard: list[str], operation: list[str]) -> DataFrame:
@@ -81,7 +88,8 @@ query("unmeasured_registry", "WITH c AS (SELECT o.endpoint, p.instance, p.ref %
 def _upserted(t) -> DataFrame:
     names = [_name() for _ in range(3)]
     rows = t.events.select("user_id", "event_type", "value", "event_id")
-    rows.where("event_id % 3 = 0").groupBy("user_id", "event_type").agg(F.max_by(F.struct("value", "event_id"), "event_id").alias("s")).select("user_id", "event_type", "s.*").write.bucketBy(BUCKETS, "user_id", "event_type").saveAsTable(names[0])
+    first = rows.where("event_id % 3 = 0").groupBy("user_id", "event_type").agg(F.max_by(F.struct("value", "event_id"), "event_id").alias("s")).select("user_id", "event_type", "s.*")
+    append_measured(first, names[0], ["user_id", "event_type"])
     for k in (1, 2):
         upsert_registry(t.spark, names[k - 1], rows.where(F.col("event_id") % 3 == k), ["user_id", "event_type"], "event_id", names[k])
     return t.spark.table(names[2])
