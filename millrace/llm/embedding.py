@@ -62,34 +62,59 @@ def _describe(pivots, nearest: int):
     return run
 
 
+def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
+    """The two sides of a block of a list, and whether they are one."""
+    one_block = pdf["i"].iloc[0] == pdf["j"].iloc[0]
+    return (pdf, pdf, True) if one_block else (pdf[pdf["chunk"] == pdf["i"]], pdf[pdf["chunk"] == pdf["j"]], False)
+
+
+def _candidates(left: pd.DataFrame, right: pd.DataFrame, one_block: bool, pivot: int, min_shared: int, listed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (places in left and right) that share ``min_shared`` pivots and whose smallest shared list is that of ``pivot``, in pieces."""
+    if not len(left) or not len(right):
+        return
+    ta, tb = np.stack(left["nearest"].to_list()), np.stack(right["nearest"].to_list())
+    names = np.unique(np.concatenate((ta.ravel(), tb.ravel())))
+    held = [np.zeros((len(t), len(names)), np.float32) for t in (ta, tb)]
+    for m, t in zip(held, (ta, tb)):
+        np.put_along_axis(m, np.searchsorted(names, t), 1, 1)
+    shared = held[0] @ held[1].T >= min(min_shared, ta.shape[1])  # shared pivots of every two members
+    if one_block:
+        shared = np.triu(shared, 1)
+    x, y = np.nonzero(shared)
+    for lo in range(0, len(x), 100_000):
+        i, j = x[lo : lo + 100_000], y[lo : lo + 100_000]
+        s, t = ta[i, :listed], tb[j, :listed]
+        here = np.where((s[:, :, None] == t[:, None, :]).any(2), s, np.iinfo(np.int32).max).min(1) == pivot  # a pair counts in one list only
+        yield i[here], j[here]
+
+
+def _with_candidates(min_shared: int, listed: int):
+    """Those members of a block that are in any of its candidate pairs; reads ids and pivots only."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right, one_block = _sides(pdf)
+        met = [np.zeros(len(left), bool), np.zeros(len(right), bool)]
+        for i, j in _candidates(left, right, one_block, int(pdf["pivot"].iloc[0]), min_shared, listed):
+            met[0][i] = met[1][j] = True
+        if one_block:
+            return pdf[met[0] | met[1]]
+        return pd.concat([left[met[0]], right[met[1]]])
+
+    return run
+
+
 def _link_block(cosine: float, min_shared: int, listed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right, one_block = _sides(pdf)
         none = pd.DataFrame({"rep": pd.Series(dtype="int64"), "n_links": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
-        pivot = int(pdf["pivot"].iloc[0])
-        one_block = pdf["i"].iloc[0] == pdf["j"].iloc[0]
-        left = pdf if one_block else pdf[pdf["chunk"] == pdf["i"]]
-        right = pdf if one_block else pdf[pdf["chunk"] == pdf["j"]]
         if not len(left) or not len(right):
             return none
-        ta, tb = np.stack(left["nearest"].to_list()), np.stack(right["nearest"].to_list())
-        names = np.unique(np.concatenate((ta.ravel(), tb.ravel())))
-        held = [np.zeros((len(t), len(names)), np.float32) for t in (ta, tb)]
-        for m, t in zip(held, (ta, tb)):
-            np.put_along_axis(m, np.searchsorted(names, t), 1, 1)
-        candidates = held[0] @ held[1].T >= min(min_shared, ta.shape[1])  # shared pivots of every two members
-        if one_block:
-            candidates = np.triu(candidates, 1)
-        x, y = np.nonzero(candidates)
         a, b = (_unit(np.stack(side["embedding"].to_list()).astype(np.float64)) for side in (left, right))
-        keep = np.zeros(len(x), bool)
-        for lo in range(0, len(x), 100_000):
-            i, j = x[lo : lo + 100_000], y[lo : lo + 100_000]
-            s, t = ta[i, :listed], tb[j, :listed]
-            both = (s[:, :, None] == t[:, None, :]).any(2)
-            enough = np.where(both, s, np.iinfo(np.int32).max).min(1) == pivot  # a pair counts in one list only
-            enough[enough] = np.einsum("ij,ij->i", a[i[enough]], b[j[enough]]) >= cosine
-            keep[lo : lo + 100_000] = enough
-        x, y = x[keep], y[keep]
+        linked = [(np.empty(0, int), np.empty(0, int))]
+        for i, j in _candidates(left, right, one_block, int(pdf["pivot"].iloc[0]), min_shared, listed):
+            close = np.einsum("ij,ij->i", a[i], b[j]) >= cosine
+            linked.append((i[close], j[close]))
+        x, y = (np.concatenate(side) for side in zip(*linked))
         if not len(x):
             return none
         ids = np.concatenate((left["rep"].to_numpy(), right["rep"].to_numpy()))
@@ -124,7 +149,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
 
     Every vector is indexed; the pivots are a sample of vectors by hash order, sqrt(n) of them
     between LEAST_PIVOTS and MOST_PIVOTS. A list longer than BLOCK is dealt out over pairs of
-    blocks, each a task of bounded size that returns one row per linked vector, never pairs.
+    blocks, each a task of bounded size: first over ids and pivots, which leaves the members that
+    have a candidate there, then over the vectors of these, which returns one row per linked
+    vector, never pairs.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
@@ -143,12 +170,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     shared = spark.sparkContext.broadcast([_unit(p[None])[0] for p in pivots])
     described = written(reps.select("rep", "copies", "label", "dim", "embedding").mapInArrow(_describe(shared, nearest), "rep long, copies long, label string, dim int, embedding array<double>, nearest array<int>"))
-    entries = described.withColumn("pivot", F.explode(F.slice("nearest", 1, listed)))
+    entries = described.select("rep", "label", "dim", "nearest", F.explode(F.slice("nearest", 1, listed)).alias("pivot"))
     lists = entries.groupBy("label", "dim", "pivot").agg(F.count("*").alias("n")).where("n > 1")
     dealt = entries.join(lists, ["label", "dim", "pivot"]).withColumn("chunks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("label", "dim", "pivot", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "copies", "embedding", "nearest")
-    linked = written(dealt.groupBy("label", "dim", "pivot", "i", "j").applyInPandas(_link_block(cosine, min_shared, listed), "rep long, n_links long, root long"))
+    dealt = dealt.select("label", "dim", "pivot", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "nearest")
+    block = ["label", "dim", "pivot", "i", "j"]
+    met = written(dealt.groupBy(*block).applyInPandas(_with_candidates(min_shared, listed), dealt.schema))
+    verified = met.join(described.select("rep", "copies", "embedding"), "rep")
+    linked = written(verified.groupBy(*block).applyInPandas(_link_block(cosine, min_shared, listed), "rep long, n_links long, root long"))
     counts = linked.groupBy("rep").agg(F.sum("n_links").alias("n"))
     classes = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     known = reps.select("key", "rep", "copies").join(counts, "rep", "left").join(classes.withColumnRenamed("id", "rep"), "rep", "left")
