@@ -3,7 +3,6 @@
 import random
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.llm import chat, common, embedding, urls
@@ -99,12 +98,6 @@ def test_embedding_one_list_of_all_rows(spark, monkeypatch):
     assert [(got[i]["n_links"], got[i]["component_id"]) for i in range(len(rows))] == [(int(n) - 1, int(r)) for n, r in zip(near.sum(1), root)]
 
 
-def test_members_without_candidates_bring_no_vectors():
-    block = pd.DataFrame({"label": "a", "dim": 2, "pivot": 1, "i": 0, "j": 1, "chunk": [0, 0, 1, 1], "rep": [1, 2, 3, 4], "nearest": [[1, 2, 3], [1, 5, 6], [1, 2, 3], [1, 7, 8]]})
-    assert embedding._with_candidates(3, 2)(block)["rep"].tolist() == [1, 3]
-    assert embedding._with_candidates(3, 2)(block.assign(pivot=2)).empty  # the pair belongs to its smallest list
-
-
 def test_chat_tree_paths_and_round_trip(spark):
     nodes = [("t", 1, None, "user", "hi", 0.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 3, 1, "assistant", "b", 2.0), ("t", 4, 3, "user", None, None), ("t", 5, 4, "assistant", "\\<|im_end|> \\n", 1.0), ("t", 9, 77, "user", "lost parent", 0.0), ("u", 1, 2, "x", "cycle", 0.0), ("u", 2, 1, "x", "cycle", 0.0), (None, 1, None, "user", "no tree", 0.0)]
     n = spark.createDataFrame(nodes, "tree_id string, node_id long, parent_id long, role string, text string, score double")
