@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import langid, quality, toxicity
@@ -136,3 +137,79 @@ def test_long_words_are_cut_between_characters():
     parts = list(langid.cut(word))
     assert b"".join(parts) == word and all(len(p) <= langid.MOST_BYTES and p.decode() for p in parts)
     assert list(langid.cut(b"")) == []
+
+
+def by_hand(rows):
+    """Site and combined chance of each (host, path, p), from sums in plain loops."""
+    mean = sum(p for *_, p in rows) / len(rows)
+
+    def groups(key):
+        found = {}
+        for row in rows:
+            found.setdefault(key(row), []).append(row[2])
+        return found
+
+    hosts, paths = groups(lambda r: r[0]), groups(lambda r: r[:2])
+
+    def strength(of, prior):
+        """Documents that the prior is worth; ``prior``: (mean, documents) that a group shrinks toward."""
+        n = sum(map(len, of.values()))
+        within = sum(p * (1 - p) for ps in of.values() for p in ps) / n
+        between = sum(len(ps) * (sum(ps) / len(ps) - prior(g)[0]) ** 2 for g, ps in of.items())
+        free = n - sum(len(ps) ** 2 / prior(g)[1] for g, ps in of.items())
+        if free <= 0:
+            return quality.MOST_STRENGTH
+        extra = (between - within * (len(of) - sum(len(ps) / prior(g)[1] for g, ps in of.items()))) / free
+        return min(quality.MOST_STRENGTH, max(quality.LEAST_STRENGTH, mean * (1 - mean) / extra - 1)) if extra > 0 else quality.MOST_STRENGTH
+
+    at_host = strength(hosts, lambda g: (mean, len(rows)))
+    at_path = strength(paths, lambda g: (sum(hosts[g[0]]) / len(hosts[g[0]]), len(hosts[g[0]])))
+    out = []
+    for host, path, p in rows:
+        h = (sum(hosts[host]) - p + at_host * mean) / (len(hosts[host]) - 1 + at_host)
+        site = (sum(paths[host, path]) - p + at_path * h) / (len(paths[host, path]) - 1 + at_path)
+        odds = p / (1 - p) * site / (1 - site) / (mean / (1 - mean))
+        out.append((host, path, p, site, odds / (1 + odds)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quality_posterior_equals_plain_loops(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for h in range(rng.randint(1, 6)):
+        base = rng.uniform(0.2, 0.8)
+        for k in range(rng.randint(1, 4)):
+            rows += [(f"h{h}", f"h{h}/{k}", round(min(0.95, max(0.05, base + 0.1 * k + rng.gauss(0, 0.1))), 3)) for _ in range(rng.choice([1, 2, 30]))]
+    rows.append(rows[0])  # a repeated row counts twice
+    got = sorted((r["host"], r["path"], r["p"], r["site"], r["q"]) for r in quality.posterior(spark.createDataFrame(rows, "host string, path string, p double")).collect())
+    want = by_hand(rows)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3:] for g in got], [w[3:] for w in want], rtol=1e-6)
+
+
+def test_network_equals_a_loop_over_bytes():
+    net = langid.Network(["a", "b", "c"], hidden=4, seed=9)
+    p, k = {n: v.astype(float) for n, v in net.params.items()}, 4
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+
+    def states(word, way):
+        h, out = np.zeros(k), {}
+        for t in range(len(word)) if way == "f" else reversed(range(len(word))):
+            x, u = p["x" + way][word[t]], p["u" + way]
+            new = np.zeros(k)
+            for j in range(k):
+                z = sigmoid(x[j] + h @ u[:, j])
+                r = sigmoid(x[k + j] + h @ u[:, k + j])
+                c = np.tanh(x[2 * k + j] + r * (h @ u[:, 2 * k + j]))
+                new[j] = z * h[j] + (1 - z) * c
+            out[t] = h = new
+        return out
+
+    words = [b"straat", "größe".encode()[:6], b"zzzzzz"]
+    got = net.probabilities(np.stack([np.frombuffer(w, np.uint8) for w in words]))
+    for m, w in enumerate(words):
+        forward, backward = states(w, "f"), states(w, "b")
+        for t in range(len(w)):
+            e = np.exp(np.concatenate((forward[t], backward[t])) @ p["v"] + p["c"])
+            assert np.allclose(got[t, m], e / e.sum(), atol=1e-5)

@@ -184,6 +184,41 @@ def test_leaks_do_not_depend_on_the_word_before():
     assert leaks_of([item], "Bob has 4 pears and eats one. Dave sees it.") == {}
 
 
+def longest_leak(item, text, n):
+    """Most words that item and text share along one shift, numbers standing for numbers one to one, in at least min(n, all) words; else 0."""
+    size, best = min(n, len(item)), 0
+    for i in range(len(item)):
+        for j in range(len(text)):
+            forth, back = {}, {}
+            for length, (a, b) in enumerate(zip(item[i:], text[j:]), 1):
+                both = a.isdigit() and b.isdigit()
+                if (not both and a != b) or (both and (forth.setdefault(a, b) != b or back.setdefault(b, a) != a)):
+                    break
+                if length >= size:
+                    best = max(best, length)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_leaks_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+
+    def some(length):
+        numbers = rng.randrange(3)
+        return [str(rng.randint(1, 3)) if k % 3 == numbers else rng.choice(["red", "sun", "oak"]) for k in range(length)]
+
+    items = [(i, some(rng.randint(5, 11))) for i in range(12)]
+    texts = [(i, some(rng.randint(0, 60))) for i in range(60)]
+    texts += [(100 + i, [*some(4), *item, *some(3)]) for i, item in items]
+    texts.append((7, texts[7][1]))  # a repeated row is judged alike
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    for block_bytes in (10**6, 500):
+        got = sorted((r["doc_id"], sorted((x["item_id"], x["words"]) for x in r["leaks"])) for r in decontaminate.find_leaks(docs, bench, 5, block_bytes).collect())
+        want = sorted((i, sorted((k, w) for k, item in items if (w := longest_leak(item, t, 5)))) for i, t in texts)
+        assert got == want and any(found for _, found in want) and not all(found for _, found in want)
+
+
 def check_packing(pieces, capacity):
     by = {}
     for p in pieces:
