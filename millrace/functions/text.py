@@ -259,6 +259,24 @@ def render_instruction(headers: DataFrame, targets: DataFrame) -> DataFrame:
     return headers.join(t, "case_id", "left").select("case_id", F.concat_ws("\n", F.col("header"), F.nullif(body, F.lit(""))).alias("prompt"))
 
 
+def render_evidence(headers: DataFrame, targets: DataFrame, cells: DataFrame, least: int = 1) -> DataFrame:
+    """Prompt text with evidence: the case's header line, its targets in order and below each its cells, the slowest first: case_id, prompt, reasons.
+
+    ``targets``: case_id, seq, endpoint, slack_ns; ``cells``: case_id, endpoint, instance, pin, ref, delay_ns, ties by instance and pin. Reasons against a case: ``no_targets``, ``few_cells`` (a target with
+    fewer than ``least``), ``malformed_cell`` (a field that is null or empty, or a delay that isn't positive). A refused case has its prompt too, where null fields are left blank; cells of no target are left out.
+    """
+    sound = (F.length("instance") > 0) & (F.length("pin") > 0) & (F.length(F.col("ref").cast("string")) > 0) & (F.col("delay_ns") > 0) & (F.col("delay_ns") < float("inf"))
+    place = F.row_number().over(Window.partitionBy("case_id", "endpoint").orderBy(F.desc_nulls_last("delay_ns"), "instance", "pin"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    line = F.concat(F.lit("  "), F.col("k").cast("string"), F.lit(". "), text("instance"), F.lit(" pin "), text("pin"), F.lit(" ref "), text("ref"), F.lit(" delay "), F.coalesce(F.format_string("%.6f", "delay_ns"), F.lit("")), F.lit(" ns"))
+    own = cells.withColumn("k", place).groupBy("case_id", "endpoint").agg(F.array_sort(F.collect_list(F.struct("k", line.alias("line")))).alias("c"), F.count("*").alias("n"), F.bool_and(F.coalesce(sound, F.lit(False))).alias("sound"))
+    both = targets.join(own, ["case_id", "endpoint"], "left")
+    said = F.concat_ws("\n", F.format_string("- %s slack %.6f ns", F.col("endpoint"), F.col("slack_ns")), F.array_join("c.line", "\n"))
+    t = both.groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("seq", said.alias("line")))).alias("t"), F.bool_or(F.coalesce("n", F.lit(0)) < least).alias("few"), F.bool_or(~F.coalesce("sound", F.lit(True))).alias("bad"))
+    reasons = F.array_compact(F.array(F.when(F.col("t").isNull(), "no_targets"), F.when(F.col("few"), "few_cells"), F.when(F.col("bad"), "malformed_cell")))
+    return headers.join(t, "case_id", "left").select("case_id", F.concat_ws("\n", F.col("header"), F.array_join("t.line", "\n")).alias("prompt"), reasons.alias("reasons"))
+
+
 def chat_assembly(turns: DataFrame) -> DataFrame:
     """Ordered turns to an array of messages; an assistant turn is its text and, below, its fenced code if any."""
     content = F.when((F.col("role") == "assistant") & F.col("code").isNotNull(), F.concat(F.col("text"), F.lit("\n\n```tcl\n"), F.col("code"), F.lit("\n```"))).otherwise(F.col("text"))
@@ -365,6 +383,17 @@ query("normalize_timestamp_lines", "SELECT event_id, event_id % 3 = 0 AS raw_equ
 query("render_instruction", "SELECT c.case_id, sha256('Case ' || c.case_id || coalesce(chr(10) || t.t, '')) AS prompt FROM {specs} c LEFT JOIN (SELECT endpoint AS case_id, string_agg('- p' || path_id || ' slack ' || printf('%.6f', floor(round(slack_ns * 1e8) / 100) / 1e6) || ' ns', chr(10) ORDER BY path_id) AS t FROM {paths} GROUP BY endpoint) t ON t.case_id = c.case_id")(
     lambda t: render_instruction(t.specs.select("case_id", F.concat(F.lit("Case "), F.col("case_id").cast("string")).alias("header")), t.paths.select(F.col("endpoint").alias("case_id"), F.col("path_id").alias("seq"), F.concat(F.lit("p"), F.col("path_id").cast("string")).alias("endpoint"), (F.floor(F.round(F.col("slack_ns") * 1e8) / 100) / 1e6).alias("slack_ns"))).withColumn("prompt", F.sha2("prompt", 256))
 )
+query("render_evidence", """WITH c AS (SELECT q.path_id, q.instance, 'P' || q.point_index AS pin, q.ref, floor(round(q.delay_ns * 1e8) / 100) / 1e6 AS d FROM {points} q WHERE q.delay_kind = 'cell'),
+    k AS (SELECT *, row_number() OVER (PARTITION BY path_id ORDER BY d DESC, instance, pin) AS k FROM c),
+    l AS (SELECT path_id, string_agg('  ' || k || '. ' || instance || ' pin ' || pin || ' ref ' || ref || ' delay ' || printf('%.6f', d) || ' ns', chr(10) ORDER BY k) AS t, count(*) AS n FROM k GROUP BY path_id),
+    t AS (SELECT p.endpoint AS case_id, string_agg('- p' || p.path_id || ' slack ' || printf('%.6f', floor(round(slack_ns * 1e8) / 100) / 1e6) || ' ns' || coalesce(chr(10) || l.t, ''), chr(10) ORDER BY p.path_id) AS t, bool_or(coalesce(n, 0) < 2) AS few FROM {paths} p LEFT JOIN l ON l.path_id = p.path_id GROUP BY p.endpoint)
+    SELECT s.case_id, sha256('Case ' || s.case_id || coalesce(chr(10) || t.t, '')) AS prompt, CASE WHEN t.case_id IS NULL THEN 'no_targets' WHEN few THEN 'few_cells' ELSE '' END AS reasons FROM {specs} s LEFT JOIN t ON t.case_id = s.case_id""")(
+    lambda t: render_evidence(
+        t.specs.select("case_id", F.concat(F.lit("Case "), F.col("case_id").cast("string")).alias("header")),
+        t.paths.select(F.col("endpoint").alias("case_id"), F.col("path_id").alias("seq"), F.concat(F.lit("p"), F.col("path_id").cast("string")).alias("endpoint"), (F.floor(F.round(F.col("slack_ns") * 1e8) / 100) / 1e6).alias("slack_ns")),
+        t.points.where("delay_kind = 'cell'").join(t.paths.select("path_id", F.col("endpoint").alias("case_id")), "path_id").select("case_id", F.concat(F.lit("p"), F.col("path_id").cast("string")).alias("endpoint"), "instance", F.concat(F.lit("P"), F.col("point_index").cast("string")).alias("pin"), "ref", (F.floor(F.round(F.col("delay_ns") * 1e8) / 100) / 1e6).alias("delay_ns")), 2,
+    ).select("case_id", F.sha2("prompt", 256).alias("prompt"), F.array_join("reasons", ",").alias("reasons"))
+)
 query("chat_assembly", "SELECT conv_id, count(*) AS n, sha256(string_agg(role || ':' || text || CASE WHEN role = 'assistant' AND turn % 2 = 1 THEN chr(10) || chr(10) || '```tcl' || chr(10) || 'fix' || chr(10) || '```' ELSE '' END, chr(10) ORDER BY turn)) AS h FROM conversations GROUP BY conv_id")(
     lambda t: chat_assembly(t.conversations.withColumn("code", F.when(F.col("turn") % 2 == 1, "fix"))).select("conv_id", F.size("messages").cast("long").alias("n"), F.sha2(F.array_join(F.transform("messages", lambda m: F.concat_ws(":", m["role"], m["content"])), "\n"), 256).alias("h"))
 )

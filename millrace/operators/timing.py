@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.text import parse_drive_name
 from millrace.lineage import small_side, written
 from millrace.registry import query
 
@@ -105,6 +106,20 @@ def drive_families(signatures: DataFrame) -> DataFrame:
     return per.withColumn("family_size", F.when(F.col("status") == "OK", F.count("*").over(size)).otherwise(0)).select("ref", "status", "active_copies", "signature", "family_size")
 
 
+def drive_variants(signatures: DataFrame) -> DataFrame:
+    """The variants of each ref: source_ref, source_drive, variant_ref, variant_drive, equivalent (both agree over their copies and share a signature).
+
+    ``signatures``: ref, active, signature, one row a library copy. Variants are other refs of the same stem, flavor and tail with another drive. A ref whose name has no drive, and one that stands alone, has one row
+    without a variant; equivalent is null there. Null refs are left out, repeated copies change nothing but the count of copies. A family is as large as its ladder of drives, whatever the number of copies.
+    """
+    refs = parse_drive_name(drive_families(signatures.where("ref is not null").withColumn("stem", F.lit(0))).select("ref", "status", "signature"), "ref")
+    named = refs.where("drive is not null")
+    v = named.select("stem", "flavor", "tail", F.col("ref").alias("variant_ref"), F.col("drive").alias("variant_drive"), F.col("status").alias("_status"), F.col("signature").alias("_signature"))
+    kin = named.select("stem", "flavor", "tail", "ref", "drive").join(v, ["stem", "flavor", "tail"]).where("drive <> variant_drive").select("ref", "variant_ref", "variant_drive", "_status", "_signature")
+    alike = (F.col("status") == "OK") & (F.col("_status") == "OK") & (F.col("signature") == F.col("_signature"))
+    return refs.join(kin, "ref", "left").select(F.col("ref").alias("source_ref"), F.col("drive").alias("source_drive"), "variant_ref", "variant_drive", F.when(F.col("variant_ref").isNotNull(), F.coalesce(alike, F.lit(False))).alias("equivalent"))
+
+
 def endpoint_local_cells(path_points: DataFrame, reach: DataFrame) -> DataFrame:
     """Points whose instance reaches its own path's endpoint and no other; sets are never collected."""
     alone = reach.groupBy("instance").agg(F.min("endpoint").alias("endpoint"), F.max("endpoint").alias("last")).where("endpoint = last").select("instance", "endpoint")
@@ -276,6 +291,12 @@ query("drive_families", """WITH s AS (SELECT l_partkey AS ref, l_quantity > 10 A
     SELECT ref, status, active_copies, signature, CASE WHEN status = 'OK' THEN count(*) OVER (PARTITION BY stem, signature, status) ELSE 0 END AS family_size FROM q""")(
     lambda t: drive_families(t.lineitem.select(F.col("l_partkey").alias("ref"), (F.col("l_quantity") > 10).alias("active"), F.when(F.col("l_tax") < 0.08, F.col("l_returnflag")).alias("signature"), (F.col("l_partkey") % 50).alias("stem")))
 )
+_COPIES = "SELECT CASE WHEN l_partkey % 40 = 0 THEN 'R' || l_partkey ELSE 'S' || (l_partkey % 199) || '_X' || (l_partkey % 7 + 1) || CASE WHEN l_partkey % 3 = 0 THEN 'P5L' ELSE '' END || '_T' END AS ref, l_quantity > 10 AS active, CASE WHEN l_tax < 0.08 OR l_partkey % 2 = 0 THEN 'f' || (l_partkey % 2) END AS signature FROM {lineitem}"
+query("drive_variants", f"""WITH s AS ({_COPIES}), p AS (SELECT ref, count(CASE WHEN active THEN 1 END) AS a, count(DISTINCT CASE WHEN active THEN signature END) AS k, count(CASE WHEN active AND signature IS NULL THEN 1 END) AS u, min(CASE WHEN active THEN signature END) AS signature FROM s GROUP BY ref),
+    n AS (SELECT ref, a > 0 AND u = 0 AND k = 1 AS ok, signature, CASE WHEN ref LIKE 'S%' THEN split_part(ref, '_', 1) END AS stem, ref LIKE '%P5L%' AS flavor, CASE WHEN ref LIKE 'S%' THEN CAST(split_part(split_part(ref, '_X', 2), '_', 1)[1] AS DOUBLE) + CASE WHEN ref LIKE '%P5L%' THEN 0.5 ELSE 0 END END AS drive FROM p)
+    SELECT x.ref AS source_ref, x.drive AS source_drive, y.ref AS variant_ref, y.drive AS variant_drive, CASE WHEN y.ref IS NOT NULL THEN x.ok AND y.ok AND x.signature = y.signature END AS equivalent FROM n x LEFT JOIN n y ON x.stem = y.stem AND x.flavor = y.flavor AND x.drive <> y.drive""")(
+    lambda t: drive_variants(t.spark.sql(_COPIES, lineitem=t.lineitem))
+)
 query("endpoint_local_cells", "SELECT p.path_id, point_index, p.instance, o.endpoint FROM {points} p JOIN {paths} o ON o.path_id = p.path_id WHERE p.instance IN (SELECT instance FROM {reach} GROUP BY instance HAVING count(*) = 1)")(
     lambda t: endpoint_local_cells(path_point_join(t.paths, t.points), t.reach).select("path_id", "point_index", "instance", "endpoint")
 )

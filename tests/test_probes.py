@@ -1,6 +1,8 @@
 """One sound probe, copied for every rule with one thing changed; all are judged at once."""
 
+from millrace.functions.text import render_evidence
 from millrace.operators.probes import COLUMNS, COMMANDS, METADATA, REPORTS, SAYS, SELECTIONS, WRITTEN, probe_findings, probe_summary
+from millrace.operators.timing import drive_variants
 
 DRC = "# Command: verify_drc -limit {1000000}\nVIA1: (\n  Total Violations : 1 Viols.\n# done\n"
 
@@ -86,3 +88,22 @@ def test_summary_of_a_sound_probe_and_of_none(spark):
     (row,) = probe_summary(*frames(spark, [sound()])).collect()
     assert row.asDict() == {"probe_id": 0, "complete": True, "n_broken": 0, "n_unsupported": 0, "n_candidates": 4, "n_refs": 1, "n_sources": 1, "n_variants": 1, "n_rejections": 1, "n_equal_constraints": 2}
     assert probe_summary(*frames(spark, [])).count() == 0
+
+
+def test_variants_of_drives(spark):
+    rows = [("A_X1_T", True, "f"), ("A_X1_T", True, "f"), ("A_X2_T", True, "f"), ("A_X2_T", False, "g"), ("A_X4_T", True, "f"), ("A_X4_T", True, "g"), ("A_X2L_T", True, "f"), ("plain", True, "f"), (None, True, "f"), ("B_X1_T", True, None), ("B_X0P5_T", True, None)]
+    got = {(r["source_ref"], r["variant_ref"]): r["equivalent"] for r in drive_variants(spark.createDataFrame(rows, "ref string, active boolean, signature string")).collect()}
+    family = ("A_X1_T", "A_X2_T", "A_X4_T")
+    want = {(a, b): "A_X4_T" not in (a, b) for a in family for b in family if a != b} | {("A_X2L_T", None): None, ("plain", None): None, ("B_X1_T", "B_X0P5_T"): False, ("B_X0P5_T", "B_X1_T"): False}
+    assert got == want
+    assert drive_variants(spark.createDataFrame([], "ref string, active boolean, signature string")).count() == 0
+
+
+def test_prompts_with_evidence(spark):
+    heads = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "case_id long, header string")
+    targets = spark.createDataFrame([(1, 2, "b", -0.5), (1, 1, "a", -0.25), (2, 1, "a", None)], "case_id long, seq int, endpoint string, slack_ns double")
+    cells = spark.createDataFrame([(1, "a", "u1", "Z", "INV", 0.1), (1, "a", "u2", "Z", "INV", 0.3), (1, "a", "u0", "Z", "INV", 0.1), (1, "b", "u9", "Y", "OR", 2.0), (1, "zz", "u8", "Y", "OR", 2.0), (2, "a", "u1", None, "INV", 0.1)], "case_id long, endpoint string, instance string, pin string, ref string, delay_ns double")
+    got = {r["case_id"]: (r["prompt"], r["reasons"]) for r in render_evidence(heads, targets, cells).collect()}
+    assert got[1] == ("one\n- a slack -0.250000 ns\n  1. u2 pin Z ref INV delay 0.300000 ns\n  2. u0 pin Z ref INV delay 0.100000 ns\n  3. u1 pin Z ref INV delay 0.100000 ns\n- b slack -0.500000 ns\n  1. u9 pin Y ref OR delay 2.000000 ns", [])
+    assert got[2][1] == ["malformed_cell"] and got[3] == ("three", ["no_targets"])
+    assert {r["case_id"]: r["reasons"] for r in render_evidence(heads, targets, cells, 2).collect()}[1] == ["few_cells"]
