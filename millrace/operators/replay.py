@@ -297,12 +297,23 @@ def _files(t) -> tuple[DataFrame, DataFrame]:
 
 FILES = "d AS (SELECT source AS case_id, CAST(doc_id AS STRING) AS path, CAST(strlen(text) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents), f AS (SELECT case_id, path, bytes + CASE WHEN CAST(path AS BIGINT) % 17 = 0 THEN 1 ELSE 0 END AS bytes, CASE WHEN CAST(path AS BIGINT) % 19 = 0 THEN '0' ELSE sha256 END AS sha256 FROM d WHERE CAST(path AS BIGINT) % 13 <> 0)"
 query("inventory_verify", f"WITH {FILES} SELECT d.case_id, d.path, CASE WHEN f.bytes IS NULL THEN 'missing' WHEN d.bytes <> f.bytes THEN 'bytes' ELSE 'hash' END AS reason FROM d LEFT JOIN f ON d.case_id = f.case_id AND d.path = f.path WHERE f.bytes IS NULL OR d.bytes <> f.bytes OR d.sha256 <> f.sha256")(lambda t: inventory_verify(*_files(t)))
-query("tree_digest", f"WITH {FILES} SELECT case_id, sha256(string_agg(path || chr(9) || CAST(bytes AS STRING) || chr(9) || sha256, chr(10) ORDER BY path)) AS digest, count(*) AS n FROM d GROUP BY case_id")(lambda t: tree_digest(_files(t)[0], ["case_id"]))
-query("tree_digest_deep", f"""WITH {FILES}, r AS (SELECT case_id, path || chr(9) || CAST(bytes AS STRING) || chr(9) || sha256 AS line, row_number() OVER (PARTITION BY case_id ORDER BY path) - 1 AS k, count(*) OVER (PARTITION BY case_id) AS n FROM d),
-    a AS (SELECT case_id, n, k // 16 AS k, sha256(string_agg(line, chr(10) ORDER BY r.k)) AS line FROM r GROUP BY case_id, n, r.k // 16),
-    b AS (SELECT case_id, n, k // 16 AS k, CASE WHEN n <= 16 THEN any_value(line) ELSE sha256(string_agg(line, chr(10) ORDER BY a.k)) END AS line FROM a GROUP BY case_id, n, a.k // 16),
-    c AS (SELECT case_id, n, CASE WHEN n <= 256 THEN any_value(line) ELSE sha256(string_agg(line, chr(10) ORDER BY b.k)) END AS line FROM b GROUP BY case_id, n)
-    SELECT case_id, line AS digest, n FROM c""")(lambda t: tree_digest(_files(t)[0], ["case_id"], 16))
+
+
+def _tree_sql(fanout: int) -> str:
+    """The rule of ``tree_digest``: lines, then hashes, in runs of ``fanout`` by path, as often as it takes to be left with one (a tree of one run: its lines hashed once)."""
+    line = "concat_ws(chr(9), coalesce(path, ''), CAST(bytes AS STRING), sha256)"
+    text = f"WITH {FILES}, t0 AS (SELECT case_id, {line} AS line, row_number() OVER (PARTITION BY case_id ORDER BY path NULLS FIRST, {line}) - 1 AS k, count(*) OVER (PARTITION BY case_id) AS n FROM d)"
+    levels, left = 0, 1
+    while left < 2**63:  # no table is larger
+        hashed = "sha256(string_agg(line, chr(10) ORDER BY k))"
+        one = hashed if levels == 0 else f"CASE WHEN n <= {left} THEN min(line) ELSE {hashed} END"
+        levels, left = levels + 1, left * fanout
+        text += f", t{levels} AS (SELECT case_id, n, k // {fanout} AS k, {one} AS line FROM t{levels - 1} GROUP BY case_id, n, k // {fanout})"
+    return f"{text} SELECT case_id, line AS digest, n FROM t{levels}"
+
+
+query("tree_digest", _tree_sql(4096))(lambda t: tree_digest(_files(t)[0], ["case_id"]))
+query("tree_digest_deep", _tree_sql(16))(lambda t: tree_digest(_files(t)[0], ["case_id"], 16))
 query("dataset_sync_diff", "SELECT conv_id * 100 + turn AS id, CASE WHEN (conv_id * 100 + turn) % 7 = 0 THEN 'missing' ELSE 'changed' END AS reason FROM conversations WHERE (conv_id * 100 + turn) % 7 = 0 OR (conv_id * 100 + turn) % 11 = 0")(
     lambda t: dataset_sync_diff(
         e := t.conversations.select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), "role", "text"), e.where("id % 7 <> 0").withColumn("text", F.when(F.col("id") % 11 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))), "id",

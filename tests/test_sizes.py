@@ -21,3 +21,9 @@ def same(spark, folder, name, **tables):
 def test_distribution_without_a_cell_of_one(spark, folder):
     part = spark.range(0, 60).select((F.col("id") * 5).alias("p_partkey"), F.lit("b").alias("p_brand"), (F.col("id") % 4).cast("string").alias("p_type"), (F.col("id") % 3).cast("int").alias("p_size"))
     assert len(same(spark, folder, "distribution_check", part=part)) == 13
+
+
+def test_digests_of_trees_over_the_first_levels(spark, folder):
+    docs = spark.range(0, 4150).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 4120, "large").otherwise("small").alias("source"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    for name in ("tree_digest", "tree_digest_deep"):
+        assert len(same(spark, folder, name, documents=docs.unionByName(docs.limit(1).selectExpr("-1L AS doc_id", "'one' AS source", "text")))) == 3
