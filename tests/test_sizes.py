@@ -27,3 +27,14 @@ def test_digests_of_trees_over_the_first_levels(spark, folder):
     docs = spark.range(0, 4150).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 4120, "large").otherwise("small").alias("source"), F.concat(F.lit("t"), F.col("id")).alias("text"))
     for name in ("tree_digest", "tree_digest_deep"):
         assert len(same(spark, folder, name, documents=docs.unionByName(docs.limit(1).selectExpr("-1L AS doc_id", "'one' AS source", "text")))) == 3
+
+
+def test_every_pair_of_a_thousand_ranks(spark, folder):
+    orders = spark.range(0, 4000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"), (F.col("id") * 50.0).alias("o_totalprice"), F.lit("O").alias("o_orderstatus"), F.lit("2020-01-01").cast("date").alias("o_orderdate"))
+    assert len(same(spark, folder, "interval_overlap", orders=orders)) > 4000 * 4 / 2
+
+
+def test_every_window_of_a_group(spark, folder):
+    orders = spark.range(0, 500).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"), (50000.0 + F.col("id") * 100).alias("o_totalprice"), F.lit("O").alias("o_orderstatus"), F.lit("2020-01-01").cast("date").alias("o_orderdate"))
+    part = spark.range(0, 100).select((F.col("id") * 5 + 1).alias("p_partkey"), (F.col("id") % 50 + 1).cast("int").alias("p_size"))
+    assert len(same(spark, folder, "window_match", orders=orders, part=part)) > 100
