@@ -4,6 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
+from millrace.operators.probes import written_constraints
 
 
 def same(spark, folder, name, **tables):
@@ -38,3 +39,10 @@ def test_every_window_of_a_group(spark, folder):
     orders = spark.range(0, 500).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"), (50000.0 + F.col("id") * 100).alias("o_totalprice"), F.lit("O").alias("o_orderstatus"), F.lit("2020-01-01").cast("date").alias("o_orderdate"))
     part = spark.range(0, 100).select((F.col("id") * 5 + 1).alias("p_partkey"), (F.col("id") % 50 + 1).cast("int").alias("p_size"))
     assert len(same(spark, folder, "window_match", orders=orders, part=part)) > 100
+
+
+def test_no_probe_table_is_broadcast(spark):
+    sdc = spark.createDataFrame([("p", "setup", "1", "OK", "a"), ("p", "setup", "2", "OK", "b")], "probe_id string, analysis string, sequence string, status string, relative_file string")
+    files = spark.createDataFrame([("p", "a", "x"), ("p", "b", "x")], "probe_id string, relative_file string, text string")
+    found = written_constraints(sdc, files)
+    assert "Broadcast" not in found._jdf.queryExecution().toString() and [tuple(r) for r in found.collect()] == [("p", "setup", True, True, True, True)]
