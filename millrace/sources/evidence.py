@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -232,10 +233,31 @@ def _sft(t) -> DataFrame:
 query("read_sft_jsonl", "SELECT row_number() OVER (ORDER BY doc_id) AS line_no, CASE WHEN doc_id % 40 < 7 THEN -1 ELSE doc_id END AS doc_id, CASE doc_id % 40 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in SFT_BAD.items()) + " ELSE '' END AS reason FROM documents")(_sft)
 
 
+def write_files(df: DataFrame, path: str) -> None:
+    """A text file for each ``name``, of its ``value`` lines in order, straight below ``path``; names should be fit for files.
+
+    Tasks write the files themselves: Spark's writer takes a task's whole commit, with a folder and checksum file, for each. A task that is run again writes the same files.
+    """
+    uri = path if "://" in path else "file://" + path.removeprefix("file:")
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = pa_fs.FileSystem.from_uri(uri)
+        store.create_dir(root)
+        for batch in batches:
+            for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist()):
+                with store.open_output_stream(f"{root}/{name}") as f:
+                    f.write(text.encode())
+            yield pa.RecordBatch.from_arrays([batch.column("name")], names=["name"])
+
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    whole = df.repartition(tasks, "name").groupBy("name").agg(F.concat(F.array_join(F.array_sort(F.collect_list("value")), "\n"), F.lit("\n")).alias("text"))
+    whole.select("name", "text").mapInArrow(put, "name string").write.format("noop").mode("overwrite").save()
+
+
 def _by_supplier(t, line: Column, kind: str) -> str:
     """A folder of one text file a supplier."""
     path = new_path(t.spark, kind)
-    t.supplier.select("s_suppkey", line.alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").option("lineSep", "\n").text(path)
+    write_files(t.supplier.select(F.concat(F.lit("s_suppkey="), "s_suppkey", F.lit(".txt")).alias("name"), line.alias("value")), path)
     return path
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from millrace.operators.probes import written_constraints
+from millrace.sources.evidence import read_reports, write_files
 
 
 def same(spark, folder, name, **tables):
@@ -46,3 +47,11 @@ def test_no_probe_table_is_broadcast(spark):
     files = spark.createDataFrame([("p", "a", "x"), ("p", "b", "x")], "probe_id string, relative_file string, text string")
     found = written_constraints(sdc, files)
     assert "Broadcast" not in found._jdf.queryExecution().toString() and [tuple(r) for r in found.collect()] == [("p", "setup", True, True, True, True)]
+
+
+def test_a_file_for_each_name(spark, folder):
+    rows = [(f"s_suppkey={i}.txt", line) for i in range(300) for line in ("version 7", f"é{i}")[: 1 + i % 2]]
+    write_files(spark.createDataFrame(rows, "name string, value string"), str(folder / "reports"))
+    got = {r["path"].split("=")[1]: r["text"] for r in read_reports(spark, str(folder / "reports"), "version 7").collect()}
+    assert got == {f"{i}.txt": "version 7\n" + (f"é{i}\n" if i % 2 else "") for i in range(300)}
+    assert not list((folder / "reports").glob("*/")) and len(list((folder / "reports").iterdir())) == 300
