@@ -21,6 +21,17 @@ def functional_pair_lookup(diffs: DataFrame, pairs: DataFrame) -> DataFrame:
     return diffs.join(known, ["old_ref", "new_ref"], "left").withColumn("equivalent", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
+def pairs_in_classes(diffs: DataFrame, members: DataFrame, by: list[str]) -> DataFrame:
+    """Of the pairs (old_ref, new_ref) of ``diffs`` those that share a class ``by`` and differ in drive: source_ref, variant_ref.
+
+    ``members``: ref, drive and the columns of ``by``; null matches nothing. Only pairs that are asked for are made, so the work grows with diffs and members and not with the square of a class.
+    """
+    asked = diffs.select(F.col("old_ref").alias("source_ref"), F.col("new_ref").alias("variant_ref")).distinct()
+    one = members.select(F.col("ref").alias("source_ref"), F.col("drive").alias("_drive"), *by)
+    two = members.select(F.col("ref").alias("variant_ref"), F.col("drive").alias("_other"), *by)
+    return asked.join(one, "source_ref").join(two, ["variant_ref", *by]).where("_drive <> _other").select("source_ref", "variant_ref").distinct()
+
+
 def _sides(left: DataFrame, right: DataFrame, on: list[str], columns: dict[str, tuple[str, str]]) -> DataFrame:
     """Full outer join of two keyed tables with ``_l`` and ``_r``, which say where a key is, whatever its values; null keys are keys."""
     one = left.select(*on, *[F.col(c).alias(a) for c, (a, _) in columns.items()], F.lit(True).alias("_l")).alias("l")
@@ -260,8 +271,17 @@ def spec_range_checks(specs: DataFrame, rules: DataFrame) -> DataFrame:
 
 query("functional_pair_lookup", """WITH k AS (SELECT source_ref AS a, variant_ref AS b FROM {ladders} UNION SELECT variant_ref, source_ref FROM {ladders})
     SELECT l_orderkey AS case_id, l_linenumber AS seq, l_partkey AS old_ref, l_suppkey AS new_ref, (l_partkey, l_suppkey) IN (SELECT (a, b) FROM k) AS equivalent FROM lineitem""")(
-    lambda t: functional_pair_lookup(t.lineitem.select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("seq"), F.col("l_partkey").alias("old_ref"), F.col("l_suppkey").alias("new_ref")), t.ladders)
+    lambda t: _pair_lookup(t)
 )
+
+
+def _pair_lookup(t) -> DataFrame:
+    """Both ways round are the same question here: parts of one class with other sizes, as in the ladders."""
+    diffs = t.lineitem.select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("seq"), F.col("l_partkey").alias("old_ref"), F.col("l_suppkey").alias("new_ref"))
+    parts = t.part.select(F.col("p_partkey").alias("ref"), F.col("p_size").alias("drive"), "p_brand", "p_type", F.floor((F.col("p_size") - 1) / 10).alias("reach"))
+    return functional_pair_lookup(diffs, pairs_in_classes(diffs, parts, ["p_brand", "p_type", "reach"]))
+
+
 query("cell_diff", """SELECT coalesce(b.instance, a.instance) AS instance, coalesce(b.ref, -1) AS old_ref, coalesce(a.ref, -1) AS new_ref, CASE WHEN b.ref IS NULL THEN 'added' WHEN a.ref IS NULL THEN 'removed' ELSE 'changed' END AS change
     FROM {cells_before} b FULL JOIN {cells_after} a ON a.instance = b.instance WHERE b.ref IS DISTINCT FROM a.ref""")(
     lambda t: cell_diff(t.cells_before, t.cells_after).withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("old_ref", "new_ref")})

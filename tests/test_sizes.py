@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from millrace.operators.probes import written_constraints
+from millrace.operators.replay import pairs_in_classes
 from millrace.sources.evidence import read_reports, write_files
 
 
@@ -55,3 +56,9 @@ def test_a_file_for_each_name(spark, folder):
     got = {r["path"].split("=")[1]: r["text"] for r in read_reports(spark, str(folder / "reports"), "version 7").collect()}
     assert got == {f"{i}.txt": "version 7\n" + (f"é{i}\n" if i % 2 else "") for i in range(300)}
     assert not list((folder / "reports").glob("*/")) and len(list((folder / "reports").iterdir())) == 300
+
+
+def test_pairs_of_a_class_are_made_for_questions_only(spark):
+    members = spark.range(0, 3000).select(F.col("id").alias("ref"), (F.col("id") % 3).alias("drive"), F.when(F.col("id") < 2990, "c").alias("kind"))
+    diffs = spark.createDataFrame([(1, 2), (2, 1), (1, 4), (1, 2), (2991, 2992), (1, None), (7, 9999)], "old_ref long, new_ref long")
+    assert sorted(tuple(r) for r in pairs_in_classes(diffs, members, ["kind"]).collect()) == [(1, 2), (2, 1)]
