@@ -62,3 +62,25 @@ def test_pairs_of_a_class_are_made_for_questions_only(spark):
     members = spark.range(0, 3000).select(F.col("id").alias("ref"), (F.col("id") % 3).alias("drive"), F.when(F.col("id") < 2990, "c").alias("kind"))
     diffs = spark.createDataFrame([(1, 2), (2, 1), (1, 4), (1, 2), (2991, 2992), (1, None), (7, 9999)], "old_ref long, new_ref long")
     assert sorted(tuple(r) for r in pairs_in_classes(diffs, members, ["kind"]).collect()) == [(1, 2), (2, 1)]
+
+
+def most(spark, metric, run):
+    """The largest value that ``metric`` has in a step of the plans that ``run`` executes."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    found, execs = [0], store.executionsList()
+    for i in range(before, execs.size()):
+        key = execs.apply(i).executionId()
+        values, nodes = store.executionMetrics(key), store.planGraph(key).allNodes()
+        for m in (nodes.apply(j).metrics().apply(k) for j in range(nodes.size()) for k in range(nodes.apply(j).metrics().size())):
+            if m.name() == metric and values.contains(m.accumulatorId()):
+                found.append(int(values.apply(m.accumulatorId()).split("\n")[-1].split(" ")[0].replace(",", "")))
+    return max(found)
+
+
+def test_pairs_of_a_group_are_not_shuffled(spark, folder):
+    part = spark.range(0, 300).select(F.col("id").alias("p_partkey"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), F.lit(1).alias("p_size"))
+    part = part.unionByName(spark.createDataFrame([(0, "c", "t", 1), (1, "c", "t", 1), (1, "c", "t", 1), (7000, "c", "t", 1), (7001, None, "t", 1)], "p_partkey long, p_brand string, p_type string, p_size int"))
+    assert most(spark, "shuffle records written", lambda: same(spark, folder, "equivalence_ladders", part=part)) < 10_000
