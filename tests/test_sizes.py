@@ -1,6 +1,7 @@
 """Queries against their SQL on tables large or odd enough to meet rules that the smallest tables don't."""
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
@@ -80,6 +81,27 @@ def most(spark, metric, run):
     return max(found)
 
 
+def one_class(spark):
+    """2,000 parts of one class with ten drives, and 100 points that ask for them; some candidates were measured."""
+    part = spark.range(0, 2000).select(F.col("id").alias("p_partkey"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), (F.col("id") % 10 + 1).cast("int").alias("p_size"))
+    orders = spark.range(0, 20).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"), (50000.0 + F.col("id") * 100).alias("o_totalprice"), F.lit("O").alias("o_orderstatus"), F.lit("2020-01-01").cast("date").alias("o_orderdate"))
+    line = spark.range(0, 100).select((F.col("id") % 20).alias("l_orderkey"), (F.col("id") * 13).alias("l_partkey"), F.lit(3).cast("long").alias("l_suppkey"), F.expr("int(id / 20) + 1").alias("l_linenumber"), F.lit(1.0).alias("l_quantity"), (F.col("id") * 7.0 + 100).alias("l_extendedprice"),
+        F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"), F.when(F.col("id") < 90, "A").otherwise("R").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), F.lit("2020-01-01").cast("date").alias("l_shipdate"))
+    return {"part": part, "orders": orders, "lineitem": line}
+
+
+@pytest.mark.parametrize("name", "topk_candidates mine_candidates".split())
+def test_ladders_of_a_large_class_are_not_made(spark, folder, name):
+    assert most(spark, "number of output rows", lambda: same(spark, folder, name, **one_class(spark))) < 200_000  # the class has 3,600,000 pairs
+
+
+def test_measured_first_variants_give_way(spark, folder):
+    parts, tables = spark.createDataFrame([(i, "b", "t", 1 + i // 300) for i in range(600)], "p_partkey long, p_brand string, p_type string, p_size int"), one_class(spark)
+    line = tables["lineitem"].withColumns({"l_partkey": F.expr("388 + (l_orderkey % 2) * 97"), "l_suppkey": F.col("l_orderkey")})  # measured: new_ref 0, the first ref of the only lower drive
+    got = same(spark, folder, "mine_candidates", part=parts, orders=tables["orders"], lineitem=line)
+    assert got and all(r[2] > 0 for r in got)
+
+
 def test_pairs_of_a_group_are_not_shuffled(spark, folder):
     part = spark.range(0, 300).select(F.col("id").alias("p_partkey"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), F.lit(1).alias("p_size"))
     part = part.unionByName(spark.createDataFrame([(0, "c", "t", 1), (1, "c", "t", 1), (1, "c", "t", 1), (7000, "c", "t", 1), (7001, None, "t", 1)], "p_partkey long, p_brand string, p_type string, p_size int"))
