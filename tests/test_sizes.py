@@ -90,7 +90,7 @@ def one_class(spark):
     return {"part": part, "orders": orders, "lineitem": line}
 
 
-@pytest.mark.parametrize("name", "topk_candidates mine_candidates endpoint_specialists ladder_levels".split())
+@pytest.mark.parametrize("name", "topk_candidates mine_candidates endpoint_specialists ladder_levels ladder_candidates ladder_candidates_up".split())
 def test_ladders_of_a_large_class_are_not_made(spark, folder, name):
     assert most(spark, "number of output rows", lambda: same(spark, folder, name, **one_class(spark))) < 200_000  # the class has 3,600,000 pairs
 
