@@ -140,3 +140,15 @@ def test_negative_rows_and_counts(spark):
     df = spark.createDataFrame([("r", "a", -1.0), ("r", "a", 2.0), ("r", "b", None), ("s", "a", 1.0), ("r", None, -1.0)], "run_id string, endpoint string, slack_ns double")
     assert sorted((r["endpoint"] or "") for r in timing.negative_set(df, ["run_id"]).collect()) == ["", "a"]
     assert {r["run_id"]: (r["n_negative"], r["n_endpoints"]) for r in timing.negative_counts(df, ["run_id"]).collect()} == {"r": (2, 3), "s": (0, 1)}
+
+
+def test_scores_are_met_before_the_shuffle(spark):
+    metrics = spark.range(0, 400, 1, 4).selectExpr("id % 100 as case_id", "'m' || cast(floor(id / 100) as int) as metric", "cast(if(id = 7, -1, 1) as double) as value").repartition(4, "case_id")
+    twice = metrics.unionByName(spark.createDataFrame([(9, "m3", 1.0), (9, "m3", 1.0), (200, "else", None)], "case_id long, metric string, value double"))
+    criteria = spark.createDataFrame([(f"g{k % 70}", f"m{k % 4}", "least", k / 1e3) for k in range(140)], "gate string, metric string, rule string, bound double")
+    profiles = spark.createDataFrame([("p", f"g{k}", "OK", True) for k in range(70)], "profile string, gate string, decision_label string, official boolean")
+    got = {r["case_id"]: r for r in gates.score_candidates(twice, criteria, profiles, "p").collect()}
+    own = lambda m: sorted({f"g{k % 70}:m{k % 4}" for k in range(140) if k % 4 in m})
+    assert {k: r["reasons"] for k, r in got.items() if not r["passed"]} == {7: own({0}), 9: own({3}), 200: own(range(4))} and len(got) == 101
+    plan = gates.score_candidates(metrics, criteria, profiles, "p")._jdf.queryExecution().toString()
+    assert plan[plan.index("== Physical Plan =="):].count("Exchange hashpartitioning") == 1  # metrics that lie by case are not shuffled again, nor gathered as lists
