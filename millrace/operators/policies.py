@@ -132,16 +132,18 @@ def fix_script_policy(scripts: DataFrame, cells: DataFrame, budgets: DataFrame)
     name = r"(?:\{[A-Za-z0-9_/\[\]\.]+\}|[A-Za-z0-9_/\.]+)"
     resize = rf"^ecoChangeCell -inst ({name}) -cell ({name})$"
     instance = F.translate(F.regexp_extract("line", resize, 1), "{}", "")
-    l = l.withColumns({"depth": depth, "instance": F.nullif(instance, F.lit("")), "place": F.col("line") == "refinePlace -eco true", "route": F.col("line") == "ecoRoute -target"})  # noqa: E741
+    l = l.withColumns({"instance": F.nullif(instance, F.lit("")), "place": F.col("line") == "refinePlace -eco true", "route": F.col("line") == "ecoRoute -target"})  # noqa: E741
+    # what is asked of a line is answered before the shuffles, which carry no texts
+    fine = F.col("open") | F.col("close") | F.col("instance").isNotNull() | F.col("place") | F.col("route")
+    asked = {"act": F.col("word") == "ecoChangeCell", "allowed": F.col("word").isin("setEcoMode", "ecoChangeCell", "refinePlace", "ecoRoute"), "fine": fine, "subst": F.col("line").rlike(r"[;\[\]$\\]") & F.col("instance").isNull()}
+    l = l.withColumns(asked).select("script_id", "line_no", "instance", "open", "close", "place", "route", *asked).withColumn("depth", depth)  # noqa: E741
     seen = cells.select("script_id", "instance", F.lit(True).alias("seen")).distinct()
     l = l.join(seen, ["script_id", "instance"], "left")  # noqa: E741
     n = lambda test: F.count_if(F.coalesce(test, F.lit(False)))
-    act = F.col("word") == "ecoChangeCell"
-    allowed = F.col("word").isin("setEcoMode", "ecoChangeCell", "refinePlace", "ecoRoute")
-    fine = F.col("open") | F.col("close") | F.col("instance").isNotNull() | F.col("place") | F.col("route")
+    act, allowed, fine = F.col("act"), F.col("allowed"), F.col("fine")
     at = lambda test: F.max(F.when(test, F.col("line_no")))
     s = l.groupBy("script_id").agg(
-        n(F.col("line").rlike(r"[;\[\]$\\]") & F.col("instance").isNull()).alias("subst"), n(~allowed).alias("unknown"), n(allowed & ~fine).alias("form"), n(act & F.col("instance").isNotNull() & F.col("seen").isNull()).alias("hidden"), n(act & (F.col("depth") != 1)).alias("outside"),
+        n(F.col("subst")).alias("subst"), n(~allowed).alias("unknown"), n(allowed & ~fine).alias("form"), n(act & F.col("instance").isNotNull() & F.col("seen").isNull()).alias("hidden"), n(act & (F.col("depth") != 1)).alias("outside"),
         n((F.col("place") | F.col("route")) & (F.col("depth") > 0)).alias("inside"), n(act).alias("n_actions"), n(F.col("open")).alias("opens"), n(F.col("close")).alias("closes"), at(F.col("open")).alias("o"), at(F.col("close")).alias("c"), n(F.col("place")).alias("places"), n(F.col("route")).alias("routes"),
         at(act).alias("last"), at(F.col("place")).alias("p"), at(F.col("route")).alias("r"),
     )

@@ -69,3 +69,11 @@ def test_scripts_by_one_mutation(spark):
     got = {r["script_id"]: r["reasons"] for r in policies.fix_script_policy(scripts, cells, spark.createDataFrame([(k, 4) for k in forms], "script_id string, budget int")).collect()}
     more = {"good": [], "substitution": ["substitution", "form"], "batch": ["inside_batch", "batch"], "empty": ["no_action", "batch", "placement"]}
     assert {k: v for k, v in got.items()} == {k: more.get(k, [k]) for k in forms}
+
+
+def test_scripts_are_shuffled_without_their_texts(spark):
+    scripts = spark.createDataFrame([("a", "setEcoMode -batchMode true\necoChangeCell -inst x -cell y;")], "script_id string, text string")
+    found = policies.fix_script_policy(scripts, spark.createDataFrame([("a", "x")], "script_id string, instance string"), spark.createDataFrame([("a", 4)], "script_id string, budget int"))
+    assert found.first()["reasons"][:2] == ["substitution", "form"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan and "RLIKE" not in plan[: plan.index("Window")]
