@@ -75,7 +75,7 @@ def _name() -> str:
 
 def _unmeasured(t) -> DataFrame:
     """Two loads of the registry, then the candidates that neither holds."""
-    table = _name()
+    table, t = _name(), t.keep("points")
     for load in (0, 1):
         append_measured(t.measured.where(F.col("new_ref") % 2 == load).select(*KEY, "measured_slack_ns"), table, KEY)
     both = t.paths.join(t.points, "path_id").select("endpoint", "instance", (F.col("ref") % 97).alias("new_ref"), "path_id", "point_index")

@@ -56,3 +56,10 @@ def test_sketches_of_shards_and_loads(spark):
         assert r["n_rows"] == len(own) and abs(r["n_operations"] / len({x[2] for x in own}) - 1) < 0.02
         for q, c in ((0.1, "p10_ns"), (0.5, "median_ns"), (0.9, "p90_ns")):
             assert abs(sum(s <= r[c] for s in slacks) / len(slacks) - q) < 0.015
+
+
+def test_points_of_a_registry_are_made_once(spark):
+    from millrace.plans import QUERIES
+
+    plan = QUERIES["unmeasured_registry"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "point_index" in plan and "l_shipdate" not in plan
