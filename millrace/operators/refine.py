@@ -6,6 +6,8 @@ may have any number, stay rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -85,20 +87,21 @@ def refinement_vectors(operations: DataFrame, slacks: DataFrame, specs: DataFram
 def _covers(limit: int):
     """Greedy covers of one case from all starts together: rows are starts, columns are cells or endpoints."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place", ignore_index=True)
-        need, n = sorted(pdf["required"].iloc[0]), int(pdf["n"].iloc[0])
-        touches = np.array([[e in own for e in need] for own in map(set, pdf["endpoints"])])
-        left_out, seeds = (np.nonzero(pdf[c])[0] for c in ("weak", "seed"))
+    def best(n: int, need: np.ndarray, names: np.ndarray, ends: np.ndarray, weak: np.ndarray, seed: np.ndarray, strength: np.ndarray) -> list[tuple[tuple, float]]:
+        at = {e: i for i, e in enumerate(need)}
+        touches = np.zeros((len(names), len(need)), bool)
+        for i, own in enumerate(ends):
+            touches[i, [at[e] for e in own]] = True
+        left_out, seeds = np.nonzero(weak)[0], np.nonzero(seed)[0]
         starts = np.array([(w, s) for w in left_out for s in seeds], np.int64).reshape(-1, 2)
         row = np.arange(len(starts))
-        taken = np.zeros((len(starts), len(pdf)), bool)
+        taken = np.zeros((len(starts), len(names)), bool)
         taken[row, starts[:, 1]] = True
         closed = taken.copy()
         closed[row, starts[:, 0]] = True
         covered = touches[starts[:, 1]]
         for _ in range(n - 1):  # the most endpoints gained, then the earliest place
-            worth = (~covered).astype(np.int64) @ touches.T * len(pdf) - np.arange(len(pdf))
+            worth = (~covered).astype(np.int64) @ touches.T * len(names) - np.arange(len(names))
             worth[closed] = np.iinfo(np.int64).min
             best = worth.argmax(axis=1)
             able = ~closed[row, best]
@@ -106,10 +109,13 @@ def _covers(limit: int):
             closed[row[able], best[able]] = True
             covered |= touches[best] & able[:, None]
         fine = covered.all(axis=1) & (taken.sum(axis=1) == n)
-        names, strength = pdf["instance"].to_numpy(), pdf["strength"].to_numpy(float)
         sets = {tuple(sorted(names[t])): round(float(strength[t].sum()), PLACES) for t in taken[fine]}
-        first = sorted(sets.items(), key=lambda x: (-x[1], x[0]))[:limit]
-        return pd.DataFrame([(pdf["case_id"].iloc[0], k, list(i), s) for k, (i, s) in enumerate(first)], columns=["case_id", "rank", "instances", "strength"])
+        return sorted(sets.items(), key=lambda x: (-x[1], x[0]))[:limit]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(case, k, list(i), s) for case, *rest in pdf.itertuples(index=False) for k, (i, s) in enumerate(best(*rest))]
+            yield pd.DataFrame(rows, columns=["case_id", "rank", "instances", "strength"])
 
     return run
 
@@ -134,7 +140,10 @@ def repair_alternatives(cells: DataFrame, cases: DataFrame, limit: int = 6) -> D
     own = own.withColumns({"weak": F.col("injected") & (weakest <= 2), "seed": ~F.col("injected") & (window("case_id", "injected") <= most), "place": window("case_id"), "alike": window("case_id", "endpoints")})
     few = own.where(F.col("weak") | F.col("seed") | (F.col("alike") <= F.col("n") + 2)).drop("injected", "alike")
     kind = {f.name: f.dataType.simpleString() for f in few.schema.fields}
-    return few.groupBy("case_id").applyInPandas(_covers(limit), f"case_id {kind['case_id']}, rank int, instances array<{kind['instance']}>, strength double")
+    cells = F.array_sort(F.collect_list(F.struct("place", "instance", "endpoints", "weak", "seed", "strength")))
+    grouped = few.groupBy("case_id").agg(F.first("n").alias("n"), F.first("required").alias("required"), cells.alias("c")).where(F.exists("c", lambda x: x["weak"]) & F.exists("c", lambda x: x["seed"]))
+    grouped = grouped.select("case_id", "n", "required", "c.instance", "c.endpoints", "c.weak", "c.seed", "c.strength")
+    return grouped.mapInPandas(_covers(limit), f"case_id {kind['case_id']}, rank int, instances array<{kind['instance']}>, strength double")
 
 
 # --- registered queries ---

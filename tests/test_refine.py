@@ -127,3 +127,11 @@ def test_foreign_endpoints_cover_nothing(spark):
     assert refine.repair_alternatives(df, spark.createDataFrame([("k", 2, ["a", "b"])], "case_id string, n int, endpoints array<string>")).count() == 0
     (row,) = refine.repair_alternatives(df, spark.createDataFrame([("k", 2, ["a"])], "case_id string, n int, endpoints array<string>")).collect()
     assert row["instances"] == ["o1", "o2"]
+
+
+def test_covers_take_no_python_call_per_case(spark):
+    cells = [("k", i, i < "b", ["a"], 1.0, 1.0) for i in "abc"]
+    df = spark.createDataFrame(cells, "case_id string, instance string, injected boolean, endpoints array<string>, strength double, delay_ns double")
+    found = refine.repair_alternatives(df, spark.createDataFrame([("k", 1, ["a"])], "case_id string, n int, endpoints array<string>"))
+    assert [(r["rank"], r["instances"]) for r in found.orderBy("rank").collect()] == [(0, ["b"]), (1, ["c"])]
+    assert "FlatMapGroups" not in found._jdf.queryExecution().toString()
