@@ -152,3 +152,4 @@ def test_scores_are_met_before_the_shuffle(spark):
     assert {k: r["reasons"] for k, r in got.items() if not r["passed"]} == {7: own({0}), 9: own({3}), 200: own(range(4))} and len(got) == 101
     plan = gates.score_candidates(metrics, criteria, profiles, "p")._jdf.queryExecution().toString()
     assert plan[plan.index("== Physical Plan =="):].count("Exchange hashpartitioning") == 1  # metrics that lie by case are not shuffled again, nor gathered as lists
+    assert "collect_list" not in plan
