@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.lineage import dealt
 from millrace.registry import query
 
 #: Comparison of doubles; one ps in ns; shares of cell and net delay on a target's path.
 EPSILON, TOLERANCE_NS = 1e-12, 0.001
 MIN_CELL, MAX_NET = 0.7, 0.3
-#: Criteria whose bits share a long.
-WORD = 63
+#: Rules that a criterion may have.
+RULES = ("least", "most", "equal", "close", "no_worse", "at_most_reference", "same")
 
 
 def _sure(test: Column) -> Column:
@@ -130,7 +131,7 @@ def score_candidates(metrics: DataFrame, criteria: DataFrame, profiles: DataFram
     ``metrics``: case_id, metric, value, reference and, where the rule is ``same``, text and text_reference. ``criteria``: gate, metric, rule, bound, where rule is ``least`` (value >= bound), ``most`` (value <= bound), ``equal``,
     ``close`` (value within bound of the reference), ``no_worse`` or ``at_most_reference`` (value <= reference + bound) or ``same`` (equal texts). ``profiles``: profile, gate, decision_label, official.
     A criterion whose metric is missing, told twice, null or no number fails, as does one of an unknown rule, and a gate without criteria. A profile that isn't there fails every case
-    with ``unknown_profile``. Cases are those with any metric. The criteria, a few, are broadcast, and those that a case meets are bits of a few longs.
+    with ``unknown_profile``. Cases are those with any metric. The criteria, a few, are broadcast, and each has a sum in the row of a case.
     """
     spark = metrics.sparkSession
     own = profiles.where(F.col("profile") == profile).select("gate", "decision_label", "official").distinct().orderBy("gate").collect()
@@ -140,25 +141,26 @@ def score_candidates(metrics: DataFrame, criteria: DataFrame, profiles: DataFram
         if c not in metrics.columns:
             metrics = metrics.withColumn(c, F.lit(None))
     m = metrics.select("case_id", "metric", F.col("value").cast("double"), F.col("reference").cast("double"), F.col("text").cast("string"), F.col("text_reference").cast("string"))
-    asked = spark.createDataFrame([(metric, rule, bound, k // WORD, 1 << k % WORD) for k, (_, metric, rule, bound) in enumerate(need)], "metric string, rule string, bound double, word int, mark long")
-    x, ref, b, rule = F.col("value"), F.col("reference"), F.col("bound"), F.col("rule")
-    number = F.when(rule == "least", x >= b - EPSILON).when(rule == "most", x <= b + EPSILON).when(rule == "equal", F.abs(x - b) <= EPSILON).when(rule == "close", F.abs(x - ref) <= b + EPSILON)
-    number = number.when(rule.isin("no_worse", "at_most_reference"), x <= ref + b + EPSILON) & ~F.isnan(x) & ~F.coalesce(F.isnan(ref), F.lit(False))
-    # both groupings have the case in their key, so that metrics that lie by case are not shuffled
-    one = m.join(F.broadcast(asked), "metric", "left").select("case_id", "word", "mark", _sure(F.when(rule == "same", F.col("text") == F.col("text_reference")).otherwise(number)).alias("fine"))
-    one = one.groupBy("case_id", "word", "mark").agg((F.bool_and("fine") & (F.count("*") == 1)).alias("met"))
-    words = [F.coalesce(F.bit_or(F.when(F.col("met") & (F.col("word") == w), F.col("mark"))), F.lit(0)) for w in range(len(need) // WORD + 1)]
-    per = one.groupBy("case_id").agg(F.array(*words).alias("c"))
-    told = [F.struct(F.lit(g).alias("gate"), F.lit(f"{g}:{metric}").alias("reason")) for g, metric, *_ in need]
-    none = [F.struct(F.lit(g).alias("gate"), F.lit(f"{g}:no_criteria").alias("reason")) for g in gates if g not in {n[0] for n in need}]
-    none += [] if gates else [F.struct(F.lit("unknown_profile").alias("gate"), F.lit("unknown_profile").alias("reason"))]
-    kind = "array<struct<gate:string,reason:string>>"
-    always = F.array(*none).cast(kind)
-    failed = F.filter(F.array(*told).cast(kind), lambda _, i: F.getbit(F.get("c", F.floor(i / WORD).cast("int")), i % WORD) == 0)
-    out = per.select("case_id", F.concat(failed, always).alias("t")).withColumn("passed", F.size("t") == 0)
+    asked = spark.createDataFrame([(metric, RULES.index(rule) if rule in RULES else -1, bound, k) for k, (_, metric, rule, bound) in enumerate(need)], "metric string, rule int, bound double, k int")
+    x, ref, b, rule = F.col("value"), F.col("reference"), F.col("bound"), lambda *names: F.col("rule").isin(*[RULES.index(n) for n in names])
+    number = F.when(rule("least"), x >= b - EPSILON).when(rule("most"), x <= b + EPSILON).when(rule("equal"), F.abs(x - b) <= EPSILON).when(rule("close"), F.abs(x - ref) <= b + EPSILON)
+    number = number.when(rule("no_worse", "at_most_reference"), x <= ref + b + EPSILON) & ~F.isnan(x) & ~F.coalesce(F.isnan(ref), F.lit(False))
+    fine = _sure(F.when(rule("same"), F.col("text") == F.col("text_reference")).otherwise(number))
+    # a fine row counts 1 and another 2, so that a criterion is met where its rows sum to 1; one grouping by case, which has no more groups than cases and shuffles no metrics that lie by case
+    one = m.join(F.broadcast(asked), "metric", "left").select("case_id", "k", F.when(fine, 1).otherwise(2).cast("long").alias("v"))
+    per = one.groupBy("case_id").agg(F.count("*").alias("n"), *[F.sum(F.when(F.col("k") == k, F.col("v"))).alias(f"c{k}") for k in range(len(need))])
+    failing: dict[str, dict[str, Column]] = {"gate": {}, "reason": {}}
+    for k, (g, metric, *_) in enumerate(need):
+        for kind, name in (("gate", g), ("reason", f"{g}:{metric}")):
+            failing[kind][name] = failing[kind].get(name, F.lit(False)) | ~_sure(F.col(f"c{k}") == 1)
+    for g in gates if gates else ["unknown_profile"]:
+        if g not in failing["gate"]:
+            failing["gate"][g] = failing["reason"][f"{g}:no_criteria" if gates else g] = F.lit(True)
+    told = lambda kind: F.array_compact(F.array(*[F.when(failing[kind][n], F.lit(n)) for n in sorted(failing[kind])]))
+    out = per.select("case_id", told("gate").alias("failed"), told("reason").alias("reasons")).withColumn("passed", F.size("failed") == 0)
     labels, official = {r["decision_label"] for r in own}, bool(own) and all(r["official"] for r in own)
     return out.select(
-        "case_id", "passed", F.array_sort(F.array_distinct("t.gate")).alias("failed"), F.array_sort(F.array_distinct("t.reason")).alias("reasons"), F.lit(len(gates)).cast("long").alias("n_gates"),
+        "case_id", "passed", "failed", "reasons", F.lit(len(gates)).cast("long").alias("n_gates"),
         F.when(F.col("passed"), min(labels, default="FAIL")).otherwise("FAIL").alias("decision"), (F.col("passed") & F.lit(official)).alias("official"), F.when(F.col("passed"), 1.0).otherwise(0.0).alias("reward"),
     )
 
@@ -228,16 +230,13 @@ def _metrics(t) -> DataFrame:
     """Every metric of CRITERIA for each order; each fails where the order's key is divisible by the prime of its place."""
     names = sorted({(m, r) for _, m, r, _ in CRITERIA if (m, r) != ("eco_actions", "least") and (m, r) != ("replays", "least")})
     names = names + [("replays", "two")]
-    told = t.spark.createDataFrame([(m, r, 31 + 2 * i) for i, (m, r) in enumerate(names)], "metric string, rule string, place int")
-    bad, rule = F.col("o_orderkey") % F.col("place") == 0, F.col("rule")
-    value = (
-        F.when(rule == "least", F.when(bad, -1.0).otherwise(0.5)).when(rule == "equal", F.when(bad, 1.0).otherwise(0.0)).when(rule.isin("close", "at_most_reference"), F.when(bad, 3.0).otherwise(1.0))
-        .when(rule == "two", F.when(bad, 1.0).otherwise(2.0))
-    )
-    # few bytes but many metrics an order: a fixed number of parts by case, which adaptive execution doesn't join into one task
-    keys = t.orders.select("o_orderkey").repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
+    values = {"least": (-1.0, 0.5), "equal": (1.0, 0.0), "close": (3.0, 1.0), "at_most_reference": (3.0, 1.0), "two": (1.0, 2.0)}  # of a bad one, of a good one
+    told = t.spark.createDataFrame([(m, 31 + 2 * i, *values.get(r, (None, None))) for i, (m, r) in enumerate(names)], "metric string, place int, off double, fine double")
+    bad = F.col("o_orderkey") % F.col("place") == 0
+    # few bytes but many metrics an order: parts by case, which adaptive execution doesn't join into one task
+    keys = dealt(t.orders.select("o_orderkey"), "o_orderkey", rows=100_000)
     rows = keys.crossJoin(F.broadcast(told))
-    return rows.select(F.col("o_orderkey").alias("case_id"), "metric", value.alias("value"), F.lit(1.0).alias("reference"), F.when(bad, "b").otherwise("a").alias("text"), F.lit("a").alias("text_reference"))
+    return rows.select(F.col("o_orderkey").alias("case_id"), "metric", F.when(bad, F.col("off")).otherwise(F.col("fine")).alias("value"), F.lit(1.0).alias("reference"), F.when(bad, "b").otherwise("a").alias("text"), F.lit("a").alias("text_reference"))
 
 
 def _score_sql(profile: str) -> str:

@@ -153,3 +153,13 @@ def test_scores_are_met_before_the_shuffle(spark):
     plan = gates.score_candidates(metrics, criteria, profiles, "p")._jdf.queryExecution().toString()
     assert plan[plan.index("== Physical Plan =="):].count("Exchange hashpartitioning") == 1  # metrics that lie by case are not shuffled again, nor gathered as lists
     assert "collect_list" not in plan
+
+
+def test_scores_take_one_grouping_of_a_row_for_each_case(spark):
+    criteria = spark.createDataFrame([("g", "m0", "least", 0.0), ("g", "m0", "most", 5.0), ("h", "m1", "equal", 1.0)], "gate string, metric string, rule string, bound double")
+    profiles = spark.createDataFrame([("p", g, "OK", True) for g in "ghi"], "profile string, gate string, decision_label string, official boolean")
+    metrics = spark.createDataFrame([(1, "m0", 1.0), (1, "m1", 1.0), (2, "m0", 9.0), (2, "m1", 1.0), (2, "m1", 1.0), (2, "m1", 1.0), (3, "other", None)], "case_id long, metric string, value double")
+    df = gates.score_candidates(metrics, criteria, profiles, "p")
+    assert {r["case_id"]: (r["failed"], r["reasons"]) for r in df.collect()} == {1: (["i"], ["i:no_criteria"]), 2: (["g", "h", "i"], ["g:m0", "h:m1", "i:no_criteria"]), 3: (["g", "h", "i"], ["g:m0", "h:m1", "i:no_criteria"])}
+    plan = df._jdf.queryExecution().toString()
+    assert plan[plan.index("== Optimized Logical Plan ==") : plan.index("== Physical Plan ==")].count("Aggregate ") == 1  # a table of cases times criteria grew beyond memory
