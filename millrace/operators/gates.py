@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.lineage import dealt
@@ -11,6 +11,8 @@ from millrace.registry import query
 #: Comparison of doubles; one ps in ns; shares of cell and net delay on a target's path.
 EPSILON, TOLERANCE_NS = 1e-12, 0.001
 MIN_CELL, MAX_NET = 0.7, 0.3
+#: Replays that a task takes, with all that belongs to their cases.
+CASE_ROWS = 40_000
 #: Rules that a criterion may have.
 RULES = ("least", "most", "equal", "close", "no_worse", "at_most_reference", "same")
 
@@ -20,8 +22,12 @@ def _sure(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
-def _all(test: Column, where: Column) -> Column:
-    return F.coalesce(F.bool_and(F.when(where, _sure(test))), F.lit(True))
+def _packed(tests: dict[str, Column]) -> Column:
+    """Tests as bits of a long, from bit 0 on."""
+    bits = F.lit(0).cast("long")
+    for i, test in enumerate(tests.values()):
+        bits = bits.bitwiseOR(F.when(_sure(test), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+    return bits
 
 
 def _same(a: str, b: str) -> Column:
@@ -41,38 +47,67 @@ def validate_replay(replays: DataFrame, specs: DataFrame, endpoints: DataFrame,
     target, protected, before_ns, resized_ns, after_ns, baseline_ns (of protected ones), cell_ns, net_ns, path_ns (of targets' paths). ``operations``: case_id, instance, old_ref, new_ref.
     ``diffs``: case_id, replay, instance, old_ref, new_ref, equivalent. ``sensitivity``: case_id, replay, instance, endpoint, gain_ns.
 
-    A replay without a spec, or without endpoints, fails all that needs them. Repeated endpoints, instances or specs of a case fail by their count.
+    A replay without a spec, or without endpoints, fails all that needs them. Repeated endpoints, instances or specs of a case fail by their count. A case with all its replays and endpoints, some thousands, is
+    one task's; tasks take CASE_ROWS replays each, so ``replays`` should be cheap to count.
     """
     at = ["case_id", "replay"]
     e = endpoints.withColumns({"t": _sure(F.col("target")), "p": _sure(F.col("protected"))})
     total = F.col("cell_ns") + F.col("net_ns")
     dominated = (total > 0) & (F.col("cell_ns") / total + EPSILON >= MIN_CELL) & (F.col("net_ns") / total - EPSILON <= MAX_NET) & (F.abs(F.col("path_ns") - F.col("before_ns")) <= TOLERANCE_NS + EPSILON)
     kept = (F.col("after_ns") >= 0) & (F.col("baseline_ns") - F.col("after_ns") <= max_drop + EPSILON)
-    ends = e.groupBy(*at).agg(
-        F.count_if("t").alias("n_t"), F.count_distinct(F.when(F.col("t"), F.col("endpoint"))).alias("d_t"), F.count_if("p").alias("n_p"), F.count_distinct(F.when(F.col("p"), F.col("endpoint"))).alias("d_p"),
-        F.count_if(F.col("t") & F.col("p")).alias("n_both"), F.min("before_ns").alias("wns"), _all((F.col("before_ns") < 0) == F.col("t"), F.lit(True)).alias("negative"), _all(dominated, F.col("t")).alias("dominated"),
-        _all(F.col("resized_ns") >= 0, F.lit(True)).alias("resized"), _all(F.col("after_ns") >= 0, F.lit(True)).alias("closed"), _all(kept, F.col("p")).alias("kept"),
+    n = replays.count()
+    by_case = lambda df: dealt(df, "case_id", rows=CASE_ROWS, n=n)
+    # everything meets in its case: each table is shuffled once, with the bits that its gates ask and no more, and is grouped and joined where it lies
+    bits = {"negative": (F.col("before_ns") < 0) == F.col("t"), "dominated": ~F.col("t") | dominated, "resized": F.col("resized_ns") >= 0, "closed": F.col("after_ns") >= 0, "kept": ~F.col("p") | kept}
+    e = by_case(e.select(*at, "endpoint", "before_ns", _packed({"t": F.col("t"), "p": F.col("p"), **bits}).alias("bits")))
+    bit = {k: F.getbit("bits", F.lit(i)) == 1 for i, k in enumerate(("t", "p", *bits))}
+    # repeated endpoints are told by a row for each endpoint, so that distinct ones need no copies of the rows
+    one = e.groupBy(*at, "endpoint").agg(
+        F.count_if(bit["t"]).alias("n_t"), F.count_if(bit["p"]).alias("n_p"), F.count_if(bit["t"] & bit["p"]).alias("n_both"), F.min("before_ns").alias("wns"), *[F.bool_and(bit[k]).alias(k) for k in bits]
     )
-    every = replays.select(*at).join(operations.select("case_id", "instance", F.col("old_ref").alias("o"), F.col("new_ref").alias("n")), "case_id").withColumn("asked", F.lit(1))
-    done = diffs.select(*at, "instance", "old_ref", "new_ref", "equivalent", F.lit(1).alias("found"))
-    both = every.join(done, [*at, "instance"], "full_outer").groupBy(*at).agg(
-        _all(F.col("asked").isNotNull() & F.col("found").isNotNull() & (F.col("o") == F.col("old_ref")) & (F.col("n") == F.col("new_ref")) & (F.col("old_ref") != F.col("new_ref")), F.lit(True)).alias("diff"),
-        _all(F.col("equivalent"), F.col("found").isNotNull()).alias("alike"), F.count_if(F.col("found").isNotNull()).alias("n_diff"), F.count_distinct("instance").alias("d_diff"),
+    named = F.col("endpoint").isNotNull()
+    ends = one.groupBy(*at).agg(
+        *[F.sum(c).alias(c) for c in ("n_t", "n_p", "n_both")], *[F.count_if((F.col(f"n_{c}") > 0) & named).alias(f"d_{c}") for c in "tp"], F.min("wns").alias("wns"), *[F.bool_and(k).alias(k) for k in bits]
     )
-    gains = sensitivity.groupBy(*at, "instance").agg(F.max("gain_ns").alias("gain")).withColumn("measured", F.lit(1))
-    gains = every.join(gains, [*at, "instance"], "full_outer").groupBy(*at).agg(_all(F.col("asked").isNotNull() & F.col("measured").isNotNull() & (F.col("gain") >= min_gain - EPSILON), F.lit(True)).alias("sensitive"))
-    spec = specs.select("case_id", *[F.col(c).alias(f"spec_{c}") for c in SHARED], "n_targets", "n_protected", "nominal_ns", "tolerance_ns")
-    r = replays.join(spec, "case_id", "left").join(ends, at, "left").join(both, at, "left").join(gains, at, "left")
     no_more = F.lit(True)
     for c in NO_MORE:
         no_more = no_more & (F.col(f"{c}_after") <= F.col(f"{c}_before"))
+    states = {
+        "status": F.col("status") == "PASS", "hold_not_gated": ~F.col("hold_gated"), "hold_recorded": F.col("hold_recorded"), "placement": F.col("placement_legal"), "equivalence": F.col("equivalent"),
+        "no_regression": no_more & (F.col("max_fanout_after") == F.col("max_fanout_before")), "constraints": _same("constraints_before", "constraints_after"), "routing": (F.col("moved_by_resize") == 0) & (F.col("moved_by_legalize") == 0), "topology": _same("topology_before", "topology_after"),
+    }
+    r = by_case(replays.select(*at, *SHARED, _packed(states).alias("states")))
+    every = by_case(replays.select(*at)).join(by_case(operations.select("case_id", "instance", F.col("old_ref").alias("o"), F.col("new_ref").alias("n"))), "case_id").withColumn("asked", F.lit(1))
+    done = by_case(diffs.select(*at, "instance", "old_ref", "new_ref", _sure(F.col("equivalent")).alias("equivalent"), F.lit(1).alias("found")))
+    gains = by_case(sensitivity.groupBy(*at, "instance").agg(F.max("gain_ns").alias("gain"))).withColumn("measured", F.lit(1))
+    values = ("o", "n", "old_ref", "new_ref")
+    of = every.unionByName(done, allowMissingColumns=True).unionByName(gains, allowMissingColumns=True).groupBy(*at, "instance").agg(
+        *[F.count(c).alias(c) for c in ("asked", "found", "measured")], *[F.count(c).alias(f"n_{c}") for c in values], *[f(c).alias(f"{k}_{c}") for c in values for k, f in (("min", F.min), ("max", F.max))],
+        F.bool_and("equivalent").alias("equivalent"), F.max("gain").alias("gain"),
+    )
+    named, asked, found, measured = F.col("instance").isNotNull(), F.col("asked") > 0, F.col("found") > 0, F.col("measured") > 0
+    # every pair of an asked and a found change is the same one: nothing is null, and each side has one value, which is the other's
+    fit = named & asked & found
+    for a, b in (("o", "old_ref"), ("n", "new_ref")):
+        fit = fit & (F.col(f"n_{a}") == F.col("asked")) & (F.col(f"n_{b}") == F.col("found")) & (F.col(f"min_{a}") == F.col(f"max_{a}")) & (F.col(f"min_{b}") == F.col(f"max_{b}")) & (F.col(f"min_{a}") == F.col(f"min_{b}"))
+    fit = fit & (F.col("min_old_ref") != F.col("min_new_ref"))
+    both = of.groupBy(*at).agg(
+        F.bool_and(F.when(asked | found, _sure(fit))).alias("diff"), F.when(F.bool_or(asked | found), F.coalesce(F.bool_and("equivalent"), F.lit(True))).alias("alike"),
+        F.sum(F.when(named & asked, F.col("asked") * F.col("found")).otherwise(F.col("found"))).alias("n_diff"), F.count_if(named & (asked | found)).alias("d_diff"),
+        F.bool_and(F.when(asked | measured, _sure(named & asked & measured & (F.col("gain") >= min_gain - EPSILON)))).alias("sensitive"),
+    )
+    spec = by_case(specs.select("case_id", *[F.col(c).alias(f"spec_{c}") for c in SHARED], "n_targets", "n_protected", "nominal_ns", "tolerance_ns"))
+    # a replay takes the one row of its endpoints and of its changes by a window, as a join by case and replay would shuffle all three again; null keys match nothing
+    told, own = [c for c in (*ends.columns, *both.columns) if c not in at], Window.partitionBy(*at)
+    r = r.join(spec, "case_id", "left").withColumn("_row", F.lit(1))
+    for part in (ends, both):
+        r = r.unionByName(part.where("case_id is not null and replay is not null"), allowMissingColumns=True)
+    r = r.withColumns({c: F.max(c).over(own) for c in told}).where("_row = 1")
     gates = {
-        "status": F.col("status") == "PASS", **{c: _same(c, f"spec_{c}") for c in SHARED}, "hold_not_gated": ~F.col("hold_gated"), "hold_recorded": F.col("hold_recorded"), "placement": F.col("placement_legal"), "equivalence": F.col("equivalent"),
+        **{g: F.getbit("states", F.lit(i)) == 1 for i, g in enumerate(states)}, **{c: _same(c, f"spec_{c}") for c in SHARED},
         "targets": (F.col("n_t") == F.col("n_targets")) & (F.col("d_t") == F.col("n_t")), "protected": (F.col("n_p") == F.col("n_protected")) & (F.col("d_p") == F.col("n_p")), "disjoint": F.col("n_both") == 0,
         "negative_set": F.col("negative"), "severity": F.abs(F.col("wns") - F.col("nominal_ns")) <= F.col("tolerance_ns") + EPSILON, "domination": F.col("dominated"), "resize_closure": F.col("resized"), "closure": F.col("closed"),
-        "no_regression": no_more & (F.col("max_fanout_after") == F.col("max_fanout_before")), "constraints": _same("constraints_before", "constraints_after"),
-        "routing": (F.col("moved_by_resize") == 0) & (F.col("moved_by_legalize") == 0), "topology": _same("topology_before", "topology_after"), "protected_slack": F.col("kept"),
-        "cell_diff": F.col("diff") & (F.col("n_diff") == F.col("d_diff")), "resize_equivalence": F.col("alike"), "sensitivity": F.col("sensitive"),
+        "protected_slack": F.col("kept"), "cell_diff": F.col("diff") & (F.col("n_diff") == F.col("d_diff")), "resize_equivalence": F.col("alike"), "sensitivity": F.col("sensitive"),
     }
     rows = F.array(*[F.struct(F.lit(g).alias("gate"), _sure(test).alias("passed")) for g, test in gates.items()])
     return r.select(*at, F.explode(rows).alias("g")).select(*at, "g.gate", "g.passed")

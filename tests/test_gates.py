@@ -55,6 +55,28 @@ def test_replay_sets(spark):
     assert {"targets", "severity", "status"} <= failed(spark, specs=[SPEC | {"case_id": "other"}], replays=[REPLAY | {"status": None}])
 
 
+def test_repeated_and_null_changes_of_a_replay(spark):
+    two = [OPERATION, OPERATION | {"instance": "j", "new_ref": "z"}]
+    both = [DIFF, DIFF | {"instance": "j", "new_ref": "z"}]
+    gains = [GAIN, GAIN | {"gain_ns": 0.0}, GAIN | {"instance": "j"}]
+    assert failed(spark, operations=two, diffs=both, sensitivity=gains) == set()
+    assert failed(spark, operations=[*two, OPERATION], diffs=both, sensitivity=gains) == failed(spark, operations=two, diffs=[*both, DIFF], sensitivity=gains) == {"cell_diff"}
+    assert failed(spark, operations=[*two, OPERATION | {"instance": None}], diffs=[*both, DIFF | {"instance": None}], sensitivity=[*gains, GAIN | {"instance": None}]) == {"cell_diff", "sensitivity"}
+    assert failed(spark, sensitivity=[GAIN, GAIN | {"instance": "other"}]) == failed(spark, sensitivity=[]) == {"sensitivity"}
+    assert failed(spark, operations=[], diffs=[], sensitivity=[]) == {"cell_diff", "resize_equivalence", "sensitivity"} and failed(spark, diffs=[]) == {"cell_diff"}
+    assert failed(spark, endpoints=[TARGET, GUARD, GUARD | {"endpoint": None}]) == {"protected"} and failed(spark, endpoints=[TARGET, TARGET, GUARD]) == {"targets"}
+
+
+def test_tables_of_replays_are_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = [spark.createDataFrame([tuple(r.values()) for r in START[k]], kind(START[k][0])) for k in START]
+        plan = gates.validate_replay(*frames)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange ") <= 8 and "Expand" not in plan  # seven tables, and gains before and after they are grouped
+
+
 def compared(spark, evidence=("f", "f"), process=(1, 2), slot=(1, 2), right=(("m", "k", 1.0),), n=2):
     runs = [("c", i + 1, process[i], slot[i], {"fix": evidence[i], "same": None}) for i in range(n)]
     values = [("c", 1, "m", "k", 1.0), ("c", 1, "m", "nan", float("nan")), ("c", 2, "m", "nan", float("nan")), *(("c", 2, *x) for x in right)]
