@@ -22,13 +22,14 @@ NUMBER = r"[-+]?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?"
 
 def lines(df: DataFrame, text: str = "text") -> DataFrame:
     """One row per line with its number from 0; CRLF counts as one line end."""
-    return df.select("*", F.posexplode(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n")).alias("line_no", "line"))
+    # an outer explode: for an inner one Spark asks first whether there are elements, by making them again, twice
+    return df.select("*", F.posexplode_outer(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n")).alias("line_no", "line")).where("line is not null")
 
 
 def _path_blocks(reports: DataFrame) -> DataFrame:
     """One row ``b`` per ``Path N:`` block; other columns are kept."""
     blocks = F.slice(F.split(F.regexp_replace("text", "\r\n?", "\n"), r"(?m)^\s*Path (?=\d+:)", -1), 2, 2_000_000_000)
-    return reports.select(*[c for c in reports.columns if c != "text"], F.explode(blocks).alias("b"))
+    return reports.select(*[c for c in reports.columns if c != "text"], F.explode_outer(blocks).alias("b")).where("b is not null")
 
 
 def _block_field(name: str) -> Column:
@@ -64,15 +65,20 @@ def parse_path_points(reports: DataFrame, sequential: tuple[str, ...] = SEQUENTI
     report's columns, endpoint, pin, edge, net, ref, delay_ns, instance and line_no, the row's place in the block.
     """
     keys = [c for c in reports.columns if c != "text"]
-    fields = F.transform(F.split("b", "\n"), lambda x: F.transform(F.split(F.regexp_replace(F.trim(x), r"^\||\|$", ""), r"\|"), lambda y: F.trim(y)))
-    rows = F.transform(fields, lambda c, i: F.struct(i.alias("line_no"), c.alias("c")))
-    table = F.filter(rows, lambda r: F.size(r["c"]) == 7)
-    begin = F.array_position(F.transform("table", lambda r: r["c"][0]), F.col("beginpoint"))
+    # rows of other widths have another number of pipes and are not taken apart; one pass finds the beginpoint's row
+    bare = lambda x: F.regexp_replace(F.trim(x), r"^\||\|$", "")
+    lines_ = F.transform(F.split("b", "\n"), lambda x, i: F.struct(i.alias("line_no"), bare(x).alias("x")))
+    table = F.filter(lines_, lambda r: F.length(r["x"]) - F.length(F.replace(r["x"], F.lit("|"), F.lit(""))) == 6)
     blocks = _path_blocks(reports).withColumns({"endpoint": _block_field("Endpoint"), "beginpoint": _block_field("Beginpoint"), "table": table})
-    cells = blocks.withColumn("r", F.explode(F.when(begin > 0, F.slice("table", begin.cast("int") + 1, F.size("table")))))
+    begin = F.array_position(F.transform("table", lambda r: F.trim(F.substring_index(r["x"], "|", 1))), F.col("beginpoint"))
+    blocks = blocks.withColumn("begin", begin.cast("int"))
+    cut = lambda r: F.struct(r["line_no"].alias("line_no"), F.transform(F.split(r["x"], r"\|"), lambda y: F.trim(y)).alias("c"))
+    cells = blocks.withColumn("r", F.explode_outer(F.when(F.col("begin") > 0, F.transform(F.slice("table", F.col("begin") + 1, F.size("table")), cut))))
     at = lambda i: F.col("r.c")[i]
+    # asked of what was cut, so that nothing is cut or replaced again for a test; the arrow of a pin has no slash
+    cells = cells.where((at(4).try_cast("double") > 0) & (at(3) != "") & F.contains(at(0), F.lit("/")) & ~at(3).rlike("^(" + "|".join(sequential) + ")"))
     cells = cells.select(*keys, "endpoint", F.col("r.line_no").cast("long").alias("line_no"), F.regexp_replace(at(0), r"\s*->$", "").alias("pin"), at(1).alias("edge"), at(2).alias("net"), at(3).alias("ref"), at(4).try_cast("double").alias("delay_ns"))
-    cells = cells.where((F.col("delay_ns") > 0) & (F.col("ref") != "") & F.contains("pin", F.lit("/")) & ~F.col("ref").rlike("^(" + "|".join(sequential) + ")")).withColumn("instance", F.regexp_extract("pin", r"^(.*)/[^/]*$", 1))
+    cells = cells.withColumn("instance", F.regexp_extract("pin", r"^(.*)/[^/]*$", 1))
     # a path's cells are few: ranks within (report, endpoint)
     one = cells.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "endpoint", "instance").orderBy(F.desc("delay_ns"), "line_no"))).where("_n = 1")
     return one.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "endpoint").orderBy(F.desc("delay_ns"), "instance"))).where(F.col("_n") <= max_cells).drop("_n")
@@ -299,10 +305,10 @@ query("parse_timing_paths", "SELECT endpoint AS report, path_id AS path_no, 'e'
 )
 query("parse_path_points", "SELECT path_id AS report, 'e' || path_id AS endpoint, instance, CASE WHEN delay_kind = 'cell' THEN 'INV_X1' ELSE 'NAND_X2' END AS ref, delay_ns * 1e8 AS delay FROM (SELECT *, row_number() OVER (PARTITION BY path_id, instance ORDER BY delay_ns DESC, point_index) AS k FROM {points} WHERE delay_kind <> 'net' AND point_index > 1) WHERE k = 1")(
     lambda t: parse_path_points(
-        t.points.groupBy(F.col("path_id").alias("report")).agg(F.array_sort(F.collect_list(F.struct("point_index", F.concat(
+        t.deal("lineitem", "l_orderkey").points.groupBy("path_id").agg(F.array_sort(F.collect_list(F.struct("point_index", F.concat(
             F.lit("| "), F.when(F.col("point_index") == 1, "b/Q").otherwise(F.concat("instance", F.lit("/Z ->"))), F.lit(" | ^ | n1 | "), F.when(F.col("delay_kind") == "cell", "INV_X1").when(F.col("delay_kind") == "net", "TLATX1").otherwise("NAND_X2"),
             F.lit(" | "), F.round(F.col("delay_ns") * 1e8).cast("long").cast("string"), F.lit(" | 1.0 | 2.0 |"),
-        ).alias("l")))).alias("r")).select("report", F.concat(F.lit("Path 1: MET Setup Check with Pin c/CK\nEndpoint: e"), F.col("report").cast("string"), F.lit("\nBeginpoint: b/Q\n Timing Path:\n| a/Z | ^ | n | INV_X1 | 9 | 1 | 2 |\n"), F.array_join(F.transform("r", lambda x: x["l"]), "\n")).alias("text")),
+        ).alias("l")))).alias("r")).select(F.col("path_id").alias("report"), F.concat(F.lit("Path 1: MET Setup Check with Pin c/CK\nEndpoint: e"), F.col("path_id").cast("string"), F.lit("\nBeginpoint: b/Q\n Timing Path:\n| a/Z | ^ | n | INV_X1 | 9 | 1 | 2 |\n"), F.array_join(F.transform("r", lambda x: x["l"]), "\n")).alias("text")),
         max_cells=1000,
     ).select("report", "endpoint", "instance", "ref", F.col("delay_ns").alias("delay"))
 )
@@ -330,13 +336,14 @@ query("parse_kv_marker", "SELECT o_orderkey AS id, round(o_totalprice) AS tns, o
     .select("id", "tns", "status", F.array_join("reasons", ",").alias("reasons"))
 )
 def _fixes(t) -> DataFrame:
-    o = t.operations.groupBy(F.concat_ws("-", F.col("case_id").cast("string"), F.col("kind")).alias("script_id")).agg(F.array_sort(F.collect_list(F.struct("seq", F.format_string("ecoChangeCell -inst {i%d} -cell {C%d}", "instance", "new_ref").alias("l")))).alias("o"))
+    t.deal("lineitem", "l_orderkey")
+    o = t.operations.groupBy("case_id", "kind").agg(F.array_sort(F.collect_list(F.struct("seq", F.format_string("ecoChangeCell -inst {i%d} -cell {C%d}", "instance", "new_ref").alias("l")))).alias("o"))
     end = F.when(F.size("o") % 4 == 3, "\ncreate_clock x").otherwise("")
-    return o.select("script_id", F.size("o").cast("long").alias("n"), F.concat_ws("\n", F.lit("# fix"), F.lit(OPEN_BATCH), F.array_join(F.transform("o", lambda x: x["l"]), "\n"), F.lit(CLOSE_BATCH), F.concat(F.lit(LEGALIZE), end)).alias("text"))
+    return o.select("case_id", F.concat_ws("-", F.col("case_id").cast("string"), F.col("kind")).alias("script_id"), F.size("o").cast("long").alias("n"), F.concat_ws("\n", F.lit("# fix"), F.lit(OPEN_BATCH), F.array_join(F.transform("o", lambda x: x["l"]), "\n"), F.lit(CLOSE_BATCH), F.concat(F.lit(LEGALIZE), end)).alias("text"))
 
 
 query("parse_fix_operations", "SELECT case_id || '-' || kind AS script_id, 'i' || instance AS instance, 'C' || new_ref AS cell, count(*) AS n FROM {operations} GROUP BY ALL")(
-    lambda t: parse_fix_operations(_fixes(t).drop("n")).where("instance is not null and not refused").groupBy("script_id", "instance", "cell").agg(F.count("*").alias("n"))
+    lambda t: parse_fix_operations(_fixes(t).drop("n")).where("instance is not null and not refused").groupBy("case_id", "script_id", "instance", "cell").agg(F.count("*").alias("n")).drop("case_id")
 )
 query("fix_script_reasons", "WITH s AS (SELECT case_id || '-' || kind AS script_id, count(*) AS n, count(DISTINCT instance) AS d FROM {operations} GROUP BY ALL) SELECT script_id, n AS resizes, concat_ws(',', CASE WHEN n % 4 = 3 THEN 'refused_line' END, CASE WHEN n % 4 = 3 THEN 'last_line' END, CASE WHEN n % 5 = 4 THEN 'resize_count' END, CASE WHEN d < n THEN 'resized_twice' END) AS reasons FROM s")(
     lambda t: fix_script_reasons(_fixes(t).select("script_id", "text"), _fixes(t).select("script_id", F.when(F.col("n") % 5 == 4, F.col("n") + 1).otherwise(F.col("n")).alias("n"))).withColumn("reasons", F.array_join("reasons", ","))
