@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
+from millrace.operators import timing
 from millrace.operators.probes import written_constraints
 from millrace.operators.replay import pairs_in_classes
 from millrace.sources.evidence import read_reports, write_files
@@ -106,3 +107,28 @@ def test_pairs_of_a_group_are_not_shuffled(spark, folder):
     part = spark.range(0, 300).select(F.col("id").alias("p_partkey"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), F.lit(1).alias("p_size"))
     part = part.unionByName(spark.createDataFrame([(0, "c", "t", 1), (1, "c", "t", 1), (1, "c", "t", 1), (7000, "c", "t", 1), (7001, None, "t", 1)], "p_partkey long, p_brand string, p_type string, p_size int"))
     assert most(spark, "shuffle records written", lambda: same(spark, folder, "equivalence_ladders", part=part)) < 10_000
+
+
+@pytest.mark.parametrize("name", "parse_fix_operations parse_path_points endpoint_local_cells".split())
+def test_lines_are_shuffled_once_to_their_group(spark, name):
+    plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == (2 if name == "endpoint_local_cells" else 1)  # of lines by order, then by instance; orders are broadcast here
+
+
+def test_first_candidates_suffice_unless_they_were_measured(spark, monkeypatch):
+    rows = spark.range(0, 5000, 1, 4).selectExpr("concat('i', cast(id % 900 as string)) AS instance", "id % 7 AS new_ref", "id AS path_id", "id % 5 AS point_index", "if(id = 4999, null, (id * 37 % 1000) / 8D) AS predicted_ns").cache()
+    for seen in ("false", "instance like 'i1%'", "predicted_ns < 100", "predicted_ns < 124"):
+        want = {}
+        for r in sorted(rows.collect(), key=lambda r: (r["predicted_ns"] is not None, r["predicted_ns"] or 0.0, r["path_id"])):
+            want.setdefault(r["instance"], []).append(r)
+        gone = {r["instance"] for r in rows.where(seen).collect()}
+        best = sorted((r for i, v in want.items() if i not in gone for r in v[:2]), key=lambda r: (r["predicted_ns"] is not None, r["predicted_ns"] or 0.0, r["instance"], r["path_id"]))[:10]
+        for first in (0, 200, 100_000):
+            monkeypatch.setattr(timing, "FIRST_ROWS", first)
+            got = timing.unseen_first_quota(rows, rows.where(seen), 2, 10).collect()
+            assert [(r["instance"], r["path_id"]) for r in got] == [(r["instance"], r["path_id"]) for r in best]
+
+
+def test_candidates_behind_the_first_are_not_shuffled(spark):
+    rows = spark.range(0, 50_000, 1, 4).selectExpr("cast(id as string) AS instance", "id AS new_ref", "id AS path_id", "id AS point_index", "cast(id as double) AS predicted_ns")
+    assert most(spark, "shuffle records written", lambda: timing.unseen_first_quota(rows, rows.where("path_id % 10 = 0"), 2, 10).collect()) < 20_000
