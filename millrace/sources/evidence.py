@@ -109,8 +109,8 @@ def read_json_evidence(spark: SparkSession, path: str, schema: T.StructType) ->
 SFT = "struct<messages:array<struct<role:string,content:string>>,metadata:map<string,string>>"
 
 
-def read_sft_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(good records, bad lines): messages, metadata, file, line_no; and file, line_no, value, reasons.
+def judge_sft_jsonl(spark: SparkSession, path: str) -> DataFrame:
+    """Every line: file, line_no, value, r (messages and metadata, as far as they can be read) and reasons why it is no record, read and judged once.
 
     A record is an object with three messages, of system, user and assistant in this order, each with a content that is a string and not blank, and a
     metadata object. Line numbers are those of the file.
@@ -129,7 +129,12 @@ def read_sft_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
         .when(~F.coalesce(roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant")), F.lit(False)), "roles").when(~texts | F.coalesce(blank, F.lit(True)), "content")
         .when(~kind("$.metadata").startswith("OBJECT"), "metadata"),
     ))
-    r = r.withColumn("reasons", reasons).drop("v")
+    return r.withColumn("reasons", reasons).drop("v")
+
+
+def read_sft_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good records, bad lines) of ``judge_sft_jsonl``: messages, metadata, file, line_no; and file, line_no, value, reasons. Each of the two reads the files; who needs both should take the judged lines."""
+    r = judge_sft_jsonl(spark, path)
     return r.where(F.size("reasons") == 0).select("r.*", "file", "line_no"), r.where(F.size("reasons") > 0).select("file", "line_no", "value", "reasons")
 
 
@@ -222,10 +227,9 @@ def _sft(t) -> DataFrame:
     for k, form in enumerate(bad):
         line = F.when(F.col("doc_id") % 40 == k, form).otherwise(line)
     t.documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select(F.coalesce(line, whole(*good))).write.option("lineSep", "\n").text(path)
-    good_rows, bad_rows = read_sft_jsonl(t.spark, path)
-    part = F.regexp_extract("file", r"part-(\d+)", 1)
-    ok = good_rows.select(part.alias("part"), "line_no", F.element_at("metadata", "id").cast("long").alias("doc_id"), F.lit("").alias("reason"))
-    every = written(ok.unionByName(bad_rows.select(part.alias("part"), "line_no", F.lit(None).cast("long").alias("doc_id"), F.col("reasons")[0].alias("reason"))))
+    judged, good = judge_sft_jsonl(t.spark, path), F.size("reasons") == 0
+    own = [F.regexp_extract("file", r"part-(\d+)", 1).alias("part"), "line_no", F.when(good, F.element_at("r.metadata", "id").cast("long")).alias("doc_id"), F.when(good, "").otherwise(F.get("reasons", F.lit(0))).alias("reason")]
+    every = written(judged.select(*own))
     before = every.groupBy("part").agg(F.max("line_no").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return every.join(before.select("part", "before"), "part").select((F.col("line_no") + F.col("before")).alias("line_no"), F.coalesce("doc_id", F.lit(-1).cast("long")).alias("doc_id"), "reason")
 

@@ -66,6 +66,13 @@ def test_sft_lines_and_their_numbers(spark, folder, small_splits):
     assert sorted(r["line_no"] for r in ok.collect()) == [i for i, k in enumerate(kinds, 1) if not k] and ok.first()["metadata"] == {"id": "1"}
 
 
+def test_judged_lines_are_read_once(spark, folder):
+    (folder / "s.jsonl").write_text('{"messages": []}\n \n')
+    df = evidence.judge_sft_jsonl(spark, str(folder))
+    assert {r["line_no"]: r["reasons"] for r in df.collect()} == {1: ["messages"], 2: ["blank_line"]}
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+
+
 def test_canonical_dataset_in_parts(spark, folder):
     rows = [(i * 7 % 1000, f"text é\n{i}" if i % 9 else None) for i in range(1000)]
     df = spark.createDataFrame(rows, "id long, text string").repartition(5)
