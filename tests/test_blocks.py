@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import lineage
 from millrace.operators import intervals
+from tests.test_ranges import some_intervals
 
 
 @pytest.fixture
@@ -75,3 +76,19 @@ def test_one_hot_window_takes_many_tasks(spark, monkeypatch):
     specs = spark.range(0, 50).selectExpr("id AS s", "if(id < 0, 'y', 'x') AS hierarchy_group", "0D AS low", "0.02D AS high")
     got = intervals.window_match(measured, specs)
     assert got.count() == 400 * 50 and tasks(got) > 4
+
+
+def test_overlaps_of_small_slices(spark, small):
+    rows = some_intervals() + [(300 + i, "a", 5, 2) for i in range(30)] + [(310, "a", 5, 2), (None, "a", 5, 2)]
+    df = spark.createDataFrame(rows, "id long, timing string, first_rank long, n_ranks long").repartition(3)
+    good = [r for r in rows if None not in r and r[3] > 0]
+    want = sorted((a[1], a[0], b[0]) for a in good for b in good if a[0] < b[0] and a[1] == b[1] and a[2] < b[2] + b[3] and b[2] < a[2] + a[3])
+    assert sorted(tuple(r) for r in intervals.interval_overlap(df).collect()) == want
+
+
+def test_equal_intervals_are_compared_once(spark, monkeypatch):
+    monkeypatch.setattr(lineage, "KEY_PAIRS", 1000)
+    df = spark.range(0, 900).selectExpr("id", "if(id < 0, 'u', 't') AS timing", "id % 3 AS first_rank", "2L AS n_ranks")
+    found = []
+    assert joined(spark, lambda: found.append(intervals.interval_overlap(df).count())) < 20_000
+    assert found == [3 * 300 * 299 // 2 + 2 * 300 * 300] and tasks(intervals.interval_overlap(df)) > 4
