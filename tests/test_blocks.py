@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace import lineage
 from millrace.operators import intervals
 from tests.test_ranges import some_intervals
+from tests.test_sizes import one_class, same
 
 
 @pytest.fixture
@@ -92,3 +93,17 @@ def test_equal_intervals_are_compared_once(spark, monkeypatch):
     found = []
     assert joined(spark, lambda: found.append(intervals.interval_overlap(df).count())) < 20_000
     assert found == [3 * 300 * 299 // 2 + 2 * 300 * 300] and tasks(intervals.interval_overlap(df)) > 4
+
+
+@pytest.mark.parametrize("name", "ladder_levels ladder_candidates ladder_candidates_up".split())
+def test_variants_of_a_drive_are_joined_together(spark, folder, name):
+    tables = one_class(spark)
+    pairs = []
+    assert joined(spark, lambda: pairs.append(len(same(spark, folder, name, **tables)))) < 2000 and pairs[0] > 50_000
+
+
+@pytest.mark.parametrize("name", "ladder_levels ladder_candidates ladder_candidates_up".split())
+def test_ladders_of_small_slices(spark, folder, small, name):
+    tables = one_class(spark)
+    odd = spark.createDataFrame([(5000, None, "t", 3), (5001, "b", None, 3), (5002, "b", "t", None), (5003, "c", "t", 4)], "p_partkey long, p_brand string, p_type string, p_size int")
+    assert same(spark, folder, name, orders=tables["orders"], lineitem=tables["lineitem"], part=tables["part"].where("p_partkey % 13 = 0").unionByName(odd))
